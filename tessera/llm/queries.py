@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from tessera.llm.bpe import op5_bpe
+from tessera.llm.language import op1_language
+from tessera.llm.minhash import op4_minhash
 from tessera.llm.packing import op10_packing
+from tessera.llm.quality import op9_quality
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
+    "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 
