@@ -6,14 +6,19 @@ from tessera.llm.bpe import op5_bpe
 from tessera.llm.language import op1_language
 from tessera.llm.minhash import op4_minhash
 from tessera.llm.packing import op10_packing
+from tessera.llm.pii import op6_pii
 from tessera.llm.quality import op9_quality
+from tessera.llm.secrets import ORACLE_SQL as SECRETS_SQL
+from tessera.llm.secrets import op8_secrets
 
 QUERIES = {
     "op1_language": op1_language,
     "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
+    "op6_pii": op6_pii,
+    "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op8_secrets": SECRETS_SQL}
