@@ -10,15 +10,18 @@ from tessera.llm.pii import op6_pii
 from tessera.llm.quality import op9_quality
 from tessera.llm.secrets import ORACLE_SQL as SECRETS_SQL
 from tessera.llm.secrets import op8_secrets
+from tessera.llm.warc import ORACLE_SQL as WARC_SQL
+from tessera.llm.warc import op7_warc
 
 QUERIES = {
     "op1_language": op1_language,
     "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
     "op6_pii": op6_pii,
+    "op7_warc": op7_warc,
     "op8_secrets": op8_secrets,
     "op9_quality": op9_quality,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op8_secrets": SECRETS_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_warc": WARC_SQL, "op8_secrets": SECRETS_SQL}
