@@ -93,12 +93,14 @@ def map_column(df: DataFrame, keep: list[str], column: str, make: Callable, sche
     made = StructType.fromDDL(schema)
     whole = StructType([df.schema[k] for k in keep] + made.fields)
     types = [field.type for field in to_arrow_schema(made)]
+    columns = keep if column in keep else [*keep, column]
+    read, width = columns.index(column), len(keep)
 
     def run(batches):
         work = make()
         for batch in batches:
-            kept = [batch.column(k) for k in range(len(keep))]
-            out = work(batch.column(len(keep)).to_pylist())
+            kept = [batch.column(k) for k in range(width)]
+            out = work(batch.column(read).to_pylist())
             if rows:
                 index, out = out
                 index = pa.array(index, type=pa.int64())
@@ -106,4 +108,4 @@ def map_column(df: DataFrame, keep: list[str], column: str, make: Callable, sche
             made_columns = [pa.array(values, type=kind) for values, kind in zip(out, types, strict=True)]
             yield pa.RecordBatch.from_arrays([*kept, *made_columns], names=whole.names)
 
-    return df.select(*keep, column).mapInArrow(run, whole)
+    return df.select(*columns).mapInArrow(run, whole)

@@ -22,6 +22,7 @@ import hashlib
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.common import map_column, prepare, staged, table
 from tessera.llm.components import components
@@ -35,6 +36,8 @@ BLOCK = 512
 #: Groups up to this many members are compared pair by pair.
 SMALL = 12
 _COLUMNS = 4096
+#: Tells texts of equal ids apart; 42, the seed, for a null text.
+TEXT_KEY = "xxhash64(text)"
 
 
 def _digest(shingles: np.ndarray) -> bytes:
@@ -42,7 +45,7 @@ def _digest(shingles: np.ndarray) -> bytes:
 
 
 def sketch_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, digest, bands; digest and bands are null where there is no word."""
+    """doc_id, text_key, n_shingles, digest, bands; digest and bands are null where there is no word."""
 
     def make():
         def work(texts: list[str | None]) -> list[list]:
@@ -55,7 +58,8 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
 
         return work
 
-    return map_column(docs, ["doc_id"], "text", make, "n_shingles long, digest binary, bands array<long>")
+    docs = docs.withColumn("text_key", F.expr(TEXT_KEY))
+    return map_column(docs, ["doc_id", "text_key"], "text", make, "n_shingles long, digest binary, bands array<long>")
 
 
 def _sets(docs: DataFrame) -> DataFrame:
@@ -156,7 +160,7 @@ def _verify(work: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, digest for every row."""
+    """doc_id, n_shingles, component_id, kept and text_key for every row."""
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketched = staged(sketch_documents(docs), "sketches")
@@ -186,7 +190,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     classes = staged(classes.select(F.col("digest").alias("of_class"), F.coalesce("component", "rep").alias("component")), "class-names")
     rows = sketched.drop("bands").join(classes, F.col("digest") == F.col("of_class"), "left")
     rows = rows.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")))
-    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "digest")
+    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
+
+
+def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of docs that stay: one of each component, that of the smallest id; of equal rows one stays."""
+    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key")).distinct()
+    docs = docs.withColumn("text_key", F.expr(TEXT_KEY))
+    same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key"))
+    stay = docs.join(kept, same, "left_semi")
+    first = Window.partitionBy("doc_id", "text_key").orderBy("doc_id")
+    return stay.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth", "text_key")
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

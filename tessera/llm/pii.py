@@ -20,7 +20,6 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tessera.llm.common import map_column, table
 
@@ -346,14 +345,13 @@ def redacted(text: str, spans: list[Span]) -> str:
 
 
 def redact(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The kept columns with the text after redaction; a null text stays null."""
+    """The kept columns, then the text after redaction; a null text stays null."""
     w = weights()
 
     def make():
         return lambda texts: [[text if not text else redacted(text, all_spans(text, w)[1]) for text in texts]]
 
-    own = docs.withColumn("of_text", F.col("text"))
-    return map_column(own.select(*keep, "of_text"), keep, "of_text", make, "text string")
+    return map_column(docs.withColumnRenamed("text", "of_text"), keep, "of_text", make, "text string")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

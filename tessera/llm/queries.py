@@ -5,6 +5,8 @@ from __future__ import annotations
 from tessera.llm.bpe import op5_bpe
 from tessera.llm.caps import ORACLE_SQL as CAPS_SQL
 from tessera.llm.caps import op3_caps
+from tessera.llm.covertree import ORACLE_SQL as TOPK_SQL
+from tessera.llm.covertree import op2_topk
 from tessera.llm.language import op1_language
 from tessera.llm.minhash import op4_minhash
 from tessera.llm.packing import op10_packing
@@ -17,6 +19,7 @@ from tessera.llm.warc import op7_warc
 
 QUERIES = {
     "op1_language": op1_language,
+    "op2_topk": op2_topk,
     "op3_caps": op3_caps,
     "op4_minhash": op4_minhash,
     "op5_bpe": op5_bpe,
@@ -27,4 +30,4 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op3_caps": CAPS_SQL, "op7_warc": WARC_SQL, "op8_secrets": SECRETS_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_topk": TOPK_SQL, "op3_caps": CAPS_SQL, "op7_warc": WARC_SQL, "op8_secrets": SECRETS_SQL}
