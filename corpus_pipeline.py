@@ -1,20 +1,55 @@
-"""The corpus pipeline: documents pass through the stages in order; each writes its result for the next."""
+"""The corpus pipeline: documents pass through the stages in order; each writes its result for the next.
+
+quality    documents that the line classifier scores below 0.5 go
+language   documents without a letter, or whose best language scores below LEAST_LANGUAGE, go
+near_dedup of each group of near-duplicates the document of the smallest id stays
+pii        personal data is replaced by the name of its kind, and n_chars follows
+packing    every document, with its end token, is placed in sequences of at most 2048 tokens
+
+All stages but the last return the columns of documents. A null text passes as an empty one.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tessera.llm import language as languages
+from tessera.llm import pii as personal
+from tessera.llm import quality as qualities
 from tessera.llm.common import staged, table
+from tessera.llm.minhash import without_near_duplicates
 from tessera.llm.packing import pack_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: A document stays if its best language has at least this mean probability.
+LEAST_LANGUAGE = 0.4
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = qualities.learn(docs, table(spark, sf_dir, "labels"))
+    return qualities.score(docs, COLUMNS, model).where("predicted = 1").select(*COLUMNS)
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = languages.predict(docs, COLUMNS, languages.learn(docs))
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return without_near_duplicates(docs.select(*COLUMNS))
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = personal.redact(docs, ["doc_id", "lang", "source"])
+    return found.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs)
 
 
-STAGES = [("packing", packing)]
+STAGES = [("quality", quality), ("language", language), ("near_dedup", near_dedup), ("pii", pii), ("packing", packing)]
 
 #: The stages train models, tokenise and link by sketches, which SQL cannot express.
 ORACLE_SQL = None
