@@ -19,7 +19,6 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -29,43 +28,34 @@ from tessera.llm.common import map_column, staged, table
 
 CAPACITY = 2048
 END = 0
-#: Distinct pre-tokens that a worker keeps.
-CACHE = 600_000
 #: Pieces in a rank bucket, on average; the number of buckets follows the table.
 BUCKET = 20_000
 
 
-class Tokens:
-    """Ids of texts; each distinct pre-token is tokenised once."""
+def vocabulary_bytes(names: dict[str, int]) -> dict[bytes, int]:
+    """A byte-level vocabulary with its entries as bytes.
 
-    def __init__(self, path: str, pattern: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(pattern).findall
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        split = [self.split(text) if text else [] for text in texts]
-        new = set().union(*split) - self.known.keys()
-        if new:
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = set().union(*split)
-            new = list(new)
-            for token, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[token] = np.asarray(found.ids, dtype="<u4").tobytes()
-        known = self.known.__getitem__
-        return [b"".join(map(known, tokens)) for tokens in split]
+    Such files write a byte as one character: the printable ones of Latin-1 as themselves, the others in order from 256.
+    """
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = (b for b in range(256) if b not in shown)
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
+    return {bytes(map(byte.__getitem__, name)): i for name, i in names.items()}
 
 
 @lru_cache(maxsize=2)
-def tokens(path: str, pattern: str) -> Tokens:
-    import os
+def encoder(path: str, pattern: str):
+    """A function from a text to its ids as an array of 32-bit integers.
+
+    The vocabulary is read from the tokenizers file, whose ids rank its merges. tiktoken runs them: it gives the same ids
+    as the tokenizers library (compared in the tests) in a quarter of its time and without a cache of words.
+    """
+    import tiktoken
+    from tokenizers import Tokenizer
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return Tokens(path, pattern)
+    ranks = vocabulary_bytes(Tokenizer.from_file(path).get_vocab(with_added_tokens=False))
+    own = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return lambda text: own.encode_to_numpy(text, disallowed_special=())
 
 
 def pieces(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
@@ -76,12 +66,12 @@ def pieces(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, w
     end = np.asarray([END], dtype="<u4").tobytes()
 
     def make():
-        own = tokens(path, pattern)
+        own = encoder(path, pattern)
 
         def work(texts: list[str | None]):
             index, columns = [], [[] for _ in range(4 + with_ids)]
-            for i, ids in enumerate(own(texts)):
-                ids += end
+            for i, text in enumerate(texts):
+                ids = (own(text).astype("<u4").tobytes() if text else b"") + end
                 n, at, k = len(ids) // 4, 0, 0
                 while at < n:
                     upto = at + (n - at - 1) % capacity + 1
