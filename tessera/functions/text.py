@@ -54,8 +54,8 @@ def mime_type(path: Column | str) -> Column:
 
 
 def fixed(x: Column, places: int = 4) -> Column:
-    """Decimal text that rounds the exact value half to even, as the reports expect."""
-    return F.format_string(f"%.{places}f", F.bround(x.cast("decimal(38, 20)"), places).cast("double"))
+    """Decimal text that rounds the exact value half to even, as the reports expect; null for null."""
+    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", F.bround(x.cast("decimal(38, 20)"), places).cast("double")))
 
 
 def signed(x: Column, places: int = 4) -> Column:

@@ -31,32 +31,34 @@ def parse(line: Column | str, classes: int) -> Column:
 
     A class id too large for a long is out of range like any other unknown class.
     """
-    tokens = F.split(F.trim(F.regexp_replace(G.col(line), r"\s+", " ")), " ")
     bare = lambda t: F.replace(t, F.lit("_"), F.lit(""))
-    rest = F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
-    whole = F.get(tokens, F.lit(0)).rlike(_INT) & F.forall(rest, lambda t: t.rlike(_FLOAT))
-    class_id = F.get(tokens, F.lit(0)).cast("string")
-    number = bare(class_id).try_cast("bigint")
-    coords = F.transform(rest, lambda t: bare(t).try_cast("double"))
     outside = lambda p: ~(p["x"].between(0, 1) & p["y"].between(0, 1))
-    n = F.size(rest)
+    broken = lambda: F.struct(
+        F.lit("linha_malformada").alias("issue"), F.lit(None).cast("int").alias("class_id"), F.lit(None).cast("array<struct<x:double,y:double>>").alias("ring"),
+        F.concat(F.lit("número inválido em "), G.col(line)).alias("detail"),
+    )
 
-    def judged(ring: Column) -> Column:
+    def judged(first: Column, number: Column, ring: Column, n: Column) -> Column:
+        unknown, odd = number.isNull() | (number < 0) | (number >= classes), (n < 6) | (n % 2 != 0)
         bad = F.filter(ring, outside)
-        issue = (
-            F.when(~whole, "linha_malformada").when(number.isNull() | (number < 0) | (number >= classes), "classe_invalida")
-            .when((n < 6) | (n % 2 != 0), "poligono_degenerado").when(F.size(bad) > 0, "coord_fora_do_range")
-        )
-        first = F.get(bad, F.lit(0))
+        issue = F.when(unknown, "classe_invalida").when(odd, "poligono_degenerado").when(F.size(bad) > 0, "coord_fora_do_range")
+        point = F.get(bad, F.lit(0))
         detail = (
-            F.when(~whole, F.concat(F.lit("número inválido em "), G.col(line)))
-            .when(number.isNull() | (number < 0) | (number >= classes), F.concat(F.lit("class_id="), class_id, F.lit(f" (nc={classes})")))
-            .when((n < 6) | (n % 2 != 0), F.concat(n.cast("string"), F.lit(" coordenadas")))
-            .when(F.size(bad) > 0, F.format_string("(%.4f, %.4f)", first["x"], first["y"]))
+            F.when(unknown, F.concat(F.lit("class_id="), first, F.lit(f" (nc={classes})"))).when(odd, F.concat(n.cast("string"), F.lit(" coordenadas")))
+            .when(F.size(bad) > 0, F.format_string("(%.4f, %.4f)", point["x"], point["y"]))
         )
-        return F.struct(issue.alias("issue"), F.when(whole, number).cast("int").alias("class_id"), ring.alias("ring"), detail.alias("detail"))
-
-    return G.let(G.points(F.when(whole, coords).otherwise(F.array().cast("array<double>"))), judged)
+        return F.struct(issue.alias("issue"), number.cast("int").alias("class_id"), ring.alias("ring"), detail.alias("detail"))
+
+    def read(tokens: Column) -> Column:
+        first, rest = F.get(tokens, F.lit(0)), F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
+        whole = first.rlike(_INT) & F.forall(rest, lambda t: t.rlike(_FLOAT))
+        number = bare(first).try_cast("bigint")
+        number = F.when(number.between(-(2**31), 2**31 - 1), number)
+        ring = G.points(F.transform(rest, lambda t: bare(t).try_cast("double")))
+        return F.when(whole, G.let(ring, lambda r: judged(first, number, r, F.size(rest)))).otherwise(broken())
+
+    # every value is bound once: Catalyst does not share subexpressions within lambdas and branches
+    return G.let(F.split(F.trim(F.regexp_replace(G.col(line), r"\s+", " ")), " "), read)
 
 
 def instances(rings: DataFrame, image: str = "image", order: str = "line_no") -> DataFrame:
