@@ -25,8 +25,8 @@ from tessera.llm.common import fold, map_column, table
 #: Labelled documents a class that training reads.
 SAMPLE = 1500
 STEPS, RATE, DECAY = 250, 0.05, 1e-3
-#: Documents scored side by side.
-GROUP = 500
+#: Documents scored side by side, and their characters; bytes that are counted at a time.
+GROUP, CHARACTERS, PIECE = 500, 1 << 20, 1 << 20
 
 _CLASSES = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r\x0b\x0c", b".", b",;:", b"!?", b"|", b"#$%&*+/<=>@\\^_`{}~", b"\"'()-[]"]
 _OTHER, _N = len(_CLASSES), len(_CLASSES) + 2
@@ -38,6 +38,31 @@ _CLASS[128:] = _OTHER + 1
 OWN = 2 * _N + 7
 
 
+def _class_counts(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Bytes of each class in each of the lines that flat holds end to end; memory is bounded by PIECE."""
+    ends = np.cumsum(lengths)
+    starts, count = ends - lengths, np.zeros((len(lengths), _N), np.int64)
+    for low in range(0, len(flat), PIECE):
+        high = min(low + PIECE, len(flat))
+        first, last = np.searchsorted(ends, [low, high - 1], side="right")
+        here = np.minimum(ends[first : last + 1], high) - np.maximum(starts[first : last + 1], low)
+        of = np.repeat(np.arange(len(here)), np.maximum(here, 0))
+        count[first : last + 1] += np.bincount(of * _N + _CLASS[flat[low:high]], minlength=len(here) * _N).reshape(-1, _N)
+    return count
+
+
+def _groups(texts: list[str | None]):
+    """Stretches of at most GROUP texts and, unless one is longer, CHARACTERS."""
+    at = 0
+    while at < len(texts):
+        upto, size = at, 0
+        while upto < len(texts) and upto - at < GROUP and (upto == at or size + len(texts[upto] or "") <= CHARACTERS):
+            size += len(texts[upto] or "")
+            upto += 1
+        yield texts[at:upto]
+        at = upto
+
+
 def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features (lines, 3 * OWN + 2), line lengths, and the number of lines of each text."""
     lines, counts, words = [], [], []
@@ -56,8 +81,7 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     encoded = [line.encode() for line in lines]
     lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
     flat = np.frombuffer(b"".join(encoded), np.uint8)
-    of = np.repeat(np.arange(len(lines)), lengths)
-    count = np.bincount(of * _N + _CLASS[flat], minlength=len(lines) * _N).reshape(-1, _N)
+    count = _class_counts(flat, lengths)
     share = count / np.maximum(lengths, 1)[:, None]
     n, distinct, same, again = np.asarray(words, np.float64).reshape(-1, 4).T
     size = np.maximum(n, 1)
@@ -157,8 +181,8 @@ def score_texts(model: Model | None, texts: list[str | None]) -> np.ndarray:
     if model is None:
         return np.full(len(texts), 0.5)
     out = []
-    for at in range(0, len(texts), GROUP):
-        x, lengths, counts = line_features(texts[at : at + GROUP])
+    for group in _groups(texts):
+        x, lengths, counts = line_features(group)
         z = _logit(pooled(marginals(x @ model.weights, model.ties, counts)[0], lengths, counts))
         out.append(1 / (1 + np.exp(-(model.slope * z + model.shift))))
     return np.concatenate(out) if out else np.zeros(0)
@@ -176,9 +200,12 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     def make():
         def work(texts: list[str | None]) -> list[list]:
-            x, lengths, counts = line_features(texts)
-            cut = np.cumsum(counts)[:-1]
-            return [[v.tobytes() for v in np.split(x, cut)], [v.tobytes() for v in np.split(lengths, cut)]]
+            out: list[list] = [[], []]
+            for group in _groups(texts):
+                x, lengths, counts = line_features(group)
+                for column, values in zip(out, (x, lengths), strict=True):
+                    column += [v.tobytes() for v in np.split(values, np.cumsum(counts)[:-1])]
+            return out
 
         return work
 
