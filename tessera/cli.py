@@ -95,6 +95,15 @@ def run_states(spark, a) -> None:
     tracker.state_counts(spark.read.parquet(a.issues)).orderBy("place").show(truncate=False)
 
 
+def run_watch(spark, a) -> None:
+    """Print issues that become ready, each once, from a folder of Parquet events (id, state, labels)."""
+    from tessera.streaming import watch
+
+    issues = watch.issue_stream(spark, a.folder, spark.read.parquet(a.folder).schema)
+    ready = watch.ready_once(issues, a.state, a.label)
+    watch.watch(ready, lambda batch, _: batch.show(truncate=False), a.checkpoint, a.every).awaitTermination()
+
+
 def run_bootstrap(spark, a) -> None:
     seed = files.read_states(a.seed)["states"]
     wanted = spark.createDataFrame([(s["name"] if isinstance(s, dict) else s,) for s in seed], "state string")
@@ -127,6 +136,7 @@ def parser() -> argparse.ArgumentParser:
     add("promotion", run_promotion, "history")
     add("run", run_run, "history", run_id={})
     add("states", run_states, "issues")
+    add("watch", run_watch, "folder", "checkpoint", state={"default": "Pronto para treino"}, label={}, every={"help": "an interval such as '300 seconds'; without it, what there is"})
     add("bootstrap", run_bootstrap, "seed", "existing")
     return top
 

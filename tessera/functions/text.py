@@ -101,3 +101,17 @@ def suspicion_reasons(missed: Column, ghost: Column, mean_iou: Column, n_gt: Col
         F.when((mean_iou < 0.9) & (n_gt > 0), F.concat(F.lit("- IoU médio entre GT e predição **"), fixed(mean_iou, 2), F.lit("** (baixo)"))),
     ))
     return F.when(F.size(reasons) > 0, F.array_join(reasons, "\n")).otherwise("- (motivo genérico)")
+
+
+def suspicion_body(image: Column, score: Column, n_gt: Column, n_pred: Column, reasons: Column, model: str, preview: Column | None = None) -> Column:
+    """The markdown body of a review card."""
+    lines = [
+        F.concat(F.lit("**Tile**: `"), image, F.lit("`")), F.concat(F.lit("**Score de suspeita**: "), fixed(score, 3)),
+        F.concat(F.lit("**Instâncias GT**: "), n_gt.cast("string"), F.lit("  ·  **Predições**: "), n_pred.cast("string")),
+        F.concat(F.lit("\n![preview]("), preview, F.lit(")\n")) if preview is not None else F.lit(""), F.lit("### Motivos"), reasons, F.lit(""),
+        F.lit("### Legenda do preview"), F.lit("- **Verde**: anotação atual (GT)"), F.lit("- **Vermelho**: predição do modelo"), F.lit(""), F.lit("### Ação"),
+        F.concat(F.lit("1. Abrir `"), image, F.lit("` no anotador")), F.lit("2. Comparar rótulo atual com a predição do modelo"),
+        F.lit("3. Corrigir se rótulo estiver errado; mover card para **Em anotação**"), F.lit("4. Depois de revisado, mover para **Em revisão (QA)**"), F.lit(""),
+        F.lit(f"**Modelo avaliador**: `{model}`"),
+    ]
+    return F.array_join(F.array(*lines), "\n")

@@ -110,3 +110,18 @@ def fold_table(history: DataFrame) -> DataFrame:
     name = F.regexp_extract("tag", r"^loo_(.*)$", 1)
     metrics = [F.coalesce(_metric(m), F.lit(0.0)).alias(a) for m, a in (("seg_mAP50-95", "map50_95"), ("seg_mAP50", "map50"), ("seg_precision", "precision"), ("seg_recall", "recall"))]
     return history.where(F.col("tag").startswith("loo_")).select("seq", name.alias("held_out"), *metrics)
+
+
+def early_stop(epochs: DataFrame, value: str = "f1", patience: int = 7) -> DataFrame:
+    """best_epoch, stop_epoch of a run's epochs (epoch, value): it stops after `patience` epochs without a strict gain.
+
+    stop_epoch is the last epoch there is where training never stalled that long.
+    """
+    before = Window.partitionBy(F.lit(0)).orderBy("epoch").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(F.lit(0)).orderBy("epoch").rowsBetween(Window.unboundedPreceding, 0)
+    gain = F.col(value) > F.coalesce(F.max(value).over(before), F.lit(float("-inf")))
+    rows = epochs.withColumn("gain", gain).withColumn("at", F.max(F.when(F.col("gain"), F.col("epoch"))).over(upto))
+    stalled = F.col("epoch") - F.col("at") >= patience
+    stop = rows.withColumn("stalled", stalled).agg(F.min(F.when(F.col("stalled"), F.col("epoch"))).alias("stop"), F.max("epoch").alias("last"))
+    rows = rows.join(F.broadcast(stop)).where(F.col("stop").isNull() | (F.col("epoch") <= F.col("stop")))  # one row
+    return rows.agg(F.max("at").alias("best_epoch"), F.max(F.coalesce("stop", "last")).alias("stop_epoch"))

@@ -28,6 +28,20 @@ class Trainer(Protocol):
     def train(self, version: DataFrame, golden: DataFrame) -> tuple[dict[str, float], str]: ...
 
 
+class Raster(Protocol):
+    """Pixels of a source, read where they are needed; the library brings no image decoder."""
+
+    def window(self, path: str, x_off: int, y_off: int, size: int): ...
+
+    def centred(self, path: str, column: float, row: float, size: int): ...
+
+
+class Renderer(Protocol):
+    """Draws annotations and predictions over a tile and gives the image's path."""
+
+    def preview(self, tile: str, truth: list, found: list, title: str | None = None) -> str: ...
+
+
 def out_of_fold(items: DataFrame, make, k: int) -> Iterator[DataFrame]:
     """For each fold the predictions of a model that never saw its groups. items has image, stem."""
     dealt = folds.round_robin(items.withColumn("group", group_key("stem")), "group", k)

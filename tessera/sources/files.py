@@ -63,6 +63,26 @@ def read_labels(spark: SparkSession, folder: str) -> DataFrame:
     return read_files(spark, folder, "*.txt").withColumn("raw", F.decode("content", "UTF-8"))
 
 
+def tile_path(images: DataFrame, stem: str, types: list[str] = ("jpg", "jpeg", "png")) -> str:
+    """The path of a tile by its stem, by the first of the types it has; an error where there is none."""
+    place = F.array_position(F.array(*map(F.lit, types)), F.col("ext"))
+    found = images.where((F.col("stem") == stem) & F.col("ext").isin(list(types))).agg(F.min_by("path", F.struct(place, "path")).alias("path")).first()["path"]
+    if found is None:
+        raise FileNotFoundError(f"no tile {stem}")
+    return found
+
+
+def git_commit(folder: str | Path) -> str | None:
+    """The commit of a folder, or None where it has none."""
+    import subprocess
+
+    try:
+        found = subprocess.run(["git", "-C", str(folder), "rev-parse", "HEAD"], capture_output=True, text=True, timeout=10, check=True)
+    except (OSError, subprocess.SubprocessError):
+        return None
+    return found.stdout.strip() or None
+
+
 def relative(path: Column, folder: str) -> Column:
     """The part of a path below a folder."""
     return F.regexp_replace(path, rf"^.*?\Q{folder.rstrip('/')}\E/", "")

@@ -326,3 +326,45 @@ def test_config(tmp_path):
     (tmp_path / "c.yaml").write_text("project:\n  classes: {1: b, 0: a, 10: c}\npaths:\n  live: work/live\n")
     config = files.load_config(tmp_path / "c.yaml")
     assert config.class_names == ["a", "b", "c"] and config.path("live") == str(tmp_path / "work/live")
+
+
+def test_early_stop(spark):
+    run = lambda values: spark.createDataFrame(list(enumerate(values)), "epoch int, f1 double")
+    assert rows(history.early_stop(run([0.1, 0.3, 0.3, 0.2, 0.9]), patience=2)) == [(1, 3)]
+    assert rows(history.early_stop(run([0.1, 0.3, 0.2, 0.4]), patience=2)) == [(3, 3)]
+
+
+def test_tiles_and_commits(spark, tmp_path):
+    for name in ("a.png", "a.jpg", "b.tif"):
+        (tmp_path / name).write_bytes(b"x")
+    images = files.read_images(spark, str(tmp_path))
+    assert files.tile_path(images, "a").endswith("a.jpg")
+    with pytest.raises(FileNotFoundError):
+        files.tile_path(images, "b")
+    assert files.git_commit(tmp_path / "none") is None
+
+
+def test_suspicion_body(spark):
+    body = text.suspicion_body(F.lit("t.png"), F.lit(1.5), F.lit(2), F.lit(3), F.lit("- r"), "m.pt", F.lit("u"))
+    found = spark.range(1).select(body.alias("v")).first()["v"]
+    assert found.startswith("**Tile**: `t.png`\n**Score de suspeita**: 1.500\n") and "![preview](u)" in found and found.endswith("`m.pt`")
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    from tests.test_qa import png
+
+    from tessera import cli
+
+    monkeypatch.setattr(cli, "_session", lambda: spark)
+    for name, content in (("f_r000_c000.png", png()), ("g_r000_c000.png", png()), ("f_r000_c000.txt", b"0 0.1 0.1 0.5 0.1 0.3 0.5")):
+        (tmp_path / name).write_bytes(content)
+    cli.main(["qa", str(tmp_path), str(tmp_path / "qa"), "--classes", "2"])
+    assert "imagem_sem_label" in capsys.readouterr().out
+    cli.main(["split", str(tmp_path), str(tmp_path / "split"), "--held", "f"])
+    assert sorted(rows(spark.read.parquet(str(tmp_path / "split")).select("field", "split"))) == [("f", "golden"), ("g", "live")]
+    cli.main(["folds", str(tmp_path), str(tmp_path / "folds"), "--k", "2"])
+    (tmp_path / "history.json").write_text(json.dumps([{"run_id": "a", "version": "v1", "tag": "loo_f", "metrics": {"seg_mAP50-95": 0.1}, "promoted": True}]))
+    cli.main(["loo", str(tmp_path), str(tmp_path / "history.json")])
+    assert capsys.readouterr().out.strip().endswith("g")
+    cli.main(["report", str(tmp_path / "history.json")])
+    assert "Melhor run" in capsys.readouterr().out
