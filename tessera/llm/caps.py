@@ -211,7 +211,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, size: int = LIST
     met = met.select("label", "filter", "one", "other", "side", "member", "n", "vector", "filters")
     found = staged(by_group(met, ["label", "filter", "one", "other"], lambda g: verify(g, cosine), "a long, b long, links long"), "vector-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
-    labels = components(found.where("b is not null").select("a", "b"))
+    labels = components(found.where("b is not null").select("a", "b"), found.count())
     named = labels.join(classes.select("class", "rep"), F.col("node") == F.col("class")).select("node", "root", "rep")
     least = staged(named.groupBy("root").agg(F.min("rep").alias("component")).select(F.col("root").alias("of_root"), "component"), "vector-roots")
     named = named.join(least, F.col("root") == F.col("of_root")).select("node", "component")

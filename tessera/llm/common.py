@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Rows of an Arrow batch. Texts can be long, so batches stay far below Spark's default of 10,000 rows.
 BATCH_ROWS = 1000
+#: Rows of a partition of a staged table of small rows, and of a table of texts.
+ROWS_A_PART, TEXTS_A_PART = 20_000, 8_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,9 +68,18 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write a table into the shared folder and read it back: cuts the lineage, and lost executors lose nothing."""
+def sized(df: DataFrame, rows: int, rows_a_part: int = ROWS_A_PART) -> DataFrame:
+    """Merge partitions, without a shuffle, to about rows_a_part rows each; rows bounds the rows of df."""
+    return df.coalesce(max(1, -(-rows // rows_a_part)))
+
+
+def staged(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write a table into the shared folder and read it back: cuts the lineage, and lost executors lose nothing.
+
+    rows, a bound on its rows where one is known, keeps small tables in few files.
+    """
     path = new_path(df.sparkSession, name)
+    df = df if rows is None else sized(df, rows)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tessera.llm.common import map_column, prepare, staged, table
+from tessera.llm.common import TEXTS_A_PART, map_column, prepare, sized, staged, table
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
 from tessera.llm.sketch import bands, sketches
@@ -32,7 +32,7 @@ from tessera.llm.sketch import bands, sketches
 #: Link where 100 * intersection >= PERCENT * union.
 PERCENT = 85
 #: Members of a block of a bucket, about.
-BLOCK = 512
+BLOCK = 256
 #: Groups up to this many members are compared pair by pair.
 SMALL = 12
 _COLUMNS = 4096
@@ -164,16 +164,17 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketched = staged(sketch_documents(docs), "sketches")
+    rows = sketched.count()
     classes = sketched.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    classes = staged(classes, "classes")
+    classes = staged(classes, "classes", rows)
     members = classes.select("digest", "rep", F.explode("bands").alias("bucket"))
     mark = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "digest"))
     buckets = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), mark(1).alias("x"), mark(2).alias("y")).where("n > 1")
     # buckets with the same members count once
     buckets = buckets.groupBy("n", "x", "y").agg(F.min("bucket").alias("of_bucket"))
-    buckets = staged(buckets.select("of_bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "buckets")
+    buckets = staged(buckets.select("of_bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")), "buckets", rows)
     found = members.join(buckets, F.col("bucket") == F.col("of_bucket"))
-    found = staged(found.select("digest", "rep", "bucket", "blocks"), "members")
+    found = staged(found.select("digest", "rep", "bucket", "blocks"), "members", rows)
     mine = F.pmod(F.xxhash64(F.lit(3), "digest"), F.col("blocks")).cast("int")
     dealt = found.withColumn("mine", mine).withColumn("beside", F.explode(F.expr("sequence(0, blocks - 1)")))
     dealt = dealt.select(
@@ -182,25 +183,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     wanted = found.select(F.col("rep").alias("wanted")).distinct()
     texts = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted")), "left_semi")
     sets = _sets(texts).groupBy("digest").agg(F.first("shingles").alias("shingles"))
-    labels = components(_verify(dealt.join(sets, F.col("of_class") == F.col("digest")), percent))
+    labels = components(_verify(dealt.join(sets, F.col("of_class") == F.col("digest")), percent), rows)
     named = labels.join(classes.select("digest", "rep"), F.col("node") == F.col("digest")).select("node", "root", "rep")
     least = named.groupBy("root").agg(F.min("rep").alias("component")).select(F.col("root").alias("of_root"), "component")
-    named = staged(named.join(staged(least, "roots"), F.col("root") == F.col("of_root")).select("node", "component"), "named")
+    named = staged(named.join(staged(least, "roots", rows), F.col("root") == F.col("of_root")).select("node", "component"), "named", rows)
     classes = classes.join(named, F.col("digest") == F.col("node"), "left")
-    classes = staged(classes.select(F.col("digest").alias("of_class"), F.coalesce("component", "rep").alias("component")), "class-names")
-    rows = sketched.drop("bands").join(classes, F.col("digest") == F.col("of_class"), "left")
-    rows = rows.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")))
-    return rows.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
+    classes = staged(classes.select(F.col("digest").alias("of_class"), F.coalesce("component", "rep").alias("component")), "class-names", rows)
+    out = sketched.drop("bands").join(classes, F.col("digest") == F.col("of_class"), "left")
+    out = out.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")))
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of docs that stay: one of each component, that of the smallest id; of equal rows one stays."""
     kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key")).distinct()
+    kept = staged(kept, "kept", docs.count())
     docs = docs.withColumn("text_key", F.expr(TEXT_KEY))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key"))
     stay = docs.join(kept, same, "left_semi")
     first = Window.partitionBy("doc_id", "text_key").orderBy("doc_id")
-    return stay.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth", "text_key")
+    stay = stay.withColumn("nth", F.row_number().over(first)).where("nth = 1").drop("nth", "text_key")
+    return sized(stay, kept.count(), TEXTS_A_PART)
 
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
