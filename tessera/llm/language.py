@@ -1,7 +1,8 @@
 """Language identification by a bidirectional gated recurrent network over bytes, trained here in numpy.
 
 Whole texts are cut into windows of WINDOW bytes; in each, one recurrence runs forward and one backward, every byte gets
-a distribution over languages from both states, and a document's distribution is the mean over all its bytes. Training
+a distribution over languages from both states, and a document's distribution is the mean over all its bytes of letters:
+digits, signs and blanks have labels too but tell no language. Training
 is backpropagation through time over a bounded sample of labelled windows (parameters below); prediction reads every
 byte of every text and nothing else.
 
@@ -31,6 +32,9 @@ STEPS, BATCH, SPAN, RATE = 500, 192, 64, 0.02
 ROWS = 2048
 
 _LETTER = regex.compile(r"\p{L}")
+#: Bytes whose labels count for the document: ASCII letters and all parts of longer characters.
+_COUNTS = np.zeros(256, np.float32)
+_COUNTS[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = 1
 
 
 @dataclass
@@ -205,7 +209,7 @@ class Predictor:
         return flat.reshape(-1, WINDOW), lengths, of
 
     def documents(self, texts: list[bytes]) -> np.ndarray:
-        """Mean distribution over the bytes of each text; no text may be empty."""
+        """Mean distribution over the bytes of letters of each text; every text has one."""
         text, lengths, of = self.windows(texts)
         total = np.zeros((len(texts), len(self.model.languages)))
         order = np.argsort(lengths, kind="stable")
@@ -213,10 +217,9 @@ class Predictor:
         for at in range(0, len(order), most):
             own = order[at : at + most]
             time = lengths[own].max()
-            p = self.positions(text[own, :time])
-            if lengths[own[0]] < time:
-                p[np.arange(time)[:, None] >= lengths[own]] = 0
-            np.add.at(total, of[own], p.sum(0))
+            here = text[own, :time]
+            # padding is no letter, so it counts for nothing
+            np.add.at(total, of[own], np.einsum("trl,tr->rl", self.positions(here), _COUNTS[here.T]))
         return total / total.sum(1, keepdims=True)
 
 
