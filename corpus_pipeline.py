@@ -23,7 +23,7 @@ from tessera.llm.packing import pack_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if its best language has at least this mean probability.
-LEAST_LANGUAGE = 0.4
+LEAST_LANGUAGE = 0.3
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
