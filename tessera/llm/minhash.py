@@ -3,7 +3,7 @@
 1. Each whole text becomes its set of distinct word shingles, a digest of that set, and the band keys of its sketch.
    Texts with equal sets form one class, so thousands of copies count once from here on.
 2. Classes that share a band key form a bucket; buckets with the same members count once. At 64 coordinates in bands of
-   four, a pair at the threshold shares no bucket with probability below 1e-5.
+   four (three where the threshold is 0.8), a pair at the threshold shares no bucket with probability below 1e-5.
 3. Buckets are verified in blocks: members are dealt into blocks of about BLOCK, every pair of blocks goes to one task
    together with the full sets, and the task returns only a spanning forest of the links it confirms. No pair of a
    bucket is left out, however large the bucket, and no list of pairs is ever made.
@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 from tessera.llm.common import TEXTS_A_PART, map_column, prepare, sized, staged, table
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_sets
-from tessera.llm.sketch import bands, sketches
+from tessera.llm.sketch import bands, rows_for, sketches
 
 #: Link where 100 * intersection >= PERCENT * union.
 PERCENT = 85
@@ -44,7 +44,7 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def sketch_documents(docs: DataFrame) -> DataFrame:
+def sketch_documents(docs: DataFrame, rows: int) -> DataFrame:
     """doc_id, text_key, n_shingles, digest, bands; digest and bands are null where there is no word."""
 
     def make():
@@ -52,7 +52,7 @@ def sketch_documents(docs: DataFrame) -> DataFrame:
             sets = shingle_sets(texts)
             full = [i for i, s in enumerate(sets) if len(s)]
             digests, keys = [None] * len(sets), [None] * len(sets)
-            for i, row in zip(full, bands(sketches([sets[i] for i in full])) if full else (), strict=True):
+            for i, row in zip(full, bands(sketches([sets[i] for i in full]), rows) if full else (), strict=True):
                 digests[i], keys[i] = _digest(sets[i]), row
             return [[len(s) for s in sets], digests, keys]
 
@@ -163,7 +163,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     """doc_id, n_shingles, component_id, kept and text_key for every row."""
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    sketched = staged(sketch_documents(docs), "sketches")
+    sketched = staged(sketch_documents(docs, rows_for(percent / 100)), "sketches")
     rows = sketched.count()
     classes = sketched.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = staged(classes, "classes", rows)

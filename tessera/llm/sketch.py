@@ -12,8 +12,9 @@ import numpy as np
 
 from tessera.llm.shingles import mix
 
-COORDINATES, ROWS = 64, 4
-BANDS = COORDINATES // ROWS
+COORDINATES = 64
+#: A pair at the threshold may share no band with this probability at most.
+MISS = 1e-5
 _SHIFT = np.uint64(64 - 6)
 _LOW = np.uint64((1 << 58) - 1)
 _FULL = np.uint64(2**64 - 1)
@@ -47,10 +48,17 @@ def sketches(sets: list[np.ndarray]) -> np.ndarray:
     return out.reshape(-1, COORDINATES)
 
 
-def bands(values: np.ndarray) -> np.ndarray:
-    """(sets, BANDS) keys; equal keys mean that all rows of a band agree."""
-    parts = values.reshape(len(values), BANDS, ROWS)
-    key = np.broadcast_to(_SEEDS[:BANDS], parts.shape[:2]).copy()
-    for k in range(ROWS):
+def rows_for(similarity: float) -> int:
+    """Rows of a band: as many as keep the probability to share no band at this similarity within MISS."""
+    missed = lambda rows: (1 - similarity**rows) ** (COORDINATES // rows)
+    return max((rows for rows in range(1, COORDINATES) if missed(rows) <= MISS), default=1)
+
+
+def bands(values: np.ndarray, rows: int) -> np.ndarray:
+    """(sets, COORDINATES // rows) keys; equal keys mean that all rows of a band agree."""
+    count = COORDINATES // rows
+    parts = values[:, : count * rows].reshape(len(values), count, rows)
+    key = np.broadcast_to(_SEEDS[:count], parts.shape[:2]).copy()
+    for k in range(rows):
         key = mix(key ^ parts[:, :, k])
     return key.view(np.int64)

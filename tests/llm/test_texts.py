@@ -157,7 +157,7 @@ def plain_set(text):
     return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
 
 
-def plain_components(sets):
+def plain_components(sets, percent=85):
     root = list(range(len(sets)))
 
     def find(x):
@@ -167,7 +167,7 @@ def plain_components(sets):
 
     for i, a in enumerate(sets):
         for j in range(i):
-            if a and sets[j] and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+            if a and sets[j] and 100 * len(a & sets[j]) >= percent * len(a | sets[j]):
                 x, y = sorted((find(i), find(j)))
                 root[y] = x
     return [find(i) for i in range(len(sets))]
@@ -203,6 +203,7 @@ def test_sketches_estimate_similarity():
                 close.append((k[0] == k[1]).mean() - len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
     assert abs(np.mean(close)) < 0.02 and np.abs(close).max() < 0.3
     assert sketch.sketches([]).shape == (0, 64)
+    assert [sketch.rows_for(x) for x in (0.7, 0.8, 0.85, 1.0)] == [2, 3, 4, 63]
 
 
 def test_components_of_chains_stars_and_pairs(spark):
@@ -216,8 +217,8 @@ def test_components_of_chains_stars_and_pairs(spark):
     assert components(edges.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("block", [512, 5])
-def test_near_duplicates_equal_brute_force(spark, block):
+@pytest.mark.parametrize(("block", "percent"), [(512, 85), (5, 85), (512, 80)])
+def test_near_duplicates_equal_brute_force(spark, block, percent):
     rng = random.Random(5)
     base = [f"x{rng.randrange(400)}" for _ in range(150)]
     texts = list(ODD) + [edited(rng, base, rng.randint(0, 5)) for _ in range(40)] + [" ".join(base)] * 6
@@ -226,10 +227,10 @@ def test_near_duplicates_equal_brute_force(spark, block):
         texts += [" ".join(own), edited(rng, own, rng.randint(0, 3))]
     order = rng.sample(range(len(texts)), len(texts))
     texts = [texts[k] for k in order]
-    rows = {r.doc_id: r for r in minhash.near_duplicates(documents(spark, texts), block=block).collect()}
+    rows = {r.doc_id: r for r in minhash.near_duplicates(documents(spark, texts), percent, block).collect()}
     sets = [plain_set(t) for t in texts]
     assert [rows[i].n_shingles for i in range(len(texts))] == [len(s) for s in sets]
-    assert [rows[i].component_id for i in range(len(texts))] == plain_components(sets)
+    assert [rows[i].component_id for i in range(len(texts))] == plain_components(sets, percent)
     assert all(r.kept == (r.doc_id == r.component_id) for r in rows.values())
 
 
