@@ -2,7 +2,7 @@
 
 quality    documents that the line classifier scores below 0.5 go
 language   documents without a letter, or whose best language scores below LEAST_LANGUAGE, go
-near_dedup of each group of near-duplicates the document of the smallest id stays
+near_dedup of each group of near-duplicates, by 80 % of their shingles, the document of the smallest id stays
 pii        personal data is replaced by the name of its kind, and n_chars follows
 packing    every document, with its end token, is placed in sequences of at most 2048 tokens
 
@@ -24,6 +24,8 @@ from tessera.llm.packing import pack_documents
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A document stays if its best language has at least this mean probability.
 LEAST_LANGUAGE = 0.3
+#: Near-duplicates share this percentage of their five-word shingles at least.
+SIMILAR = 80
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +39,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without_near_duplicates(docs.select(*COLUMNS))
+    return without_near_duplicates(docs.select(*COLUMNS), SIMILAR)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
