@@ -7,17 +7,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.functions.geometry import col
+from tessera.sources.staging import frozen
+
+
+def ranged(rows: DataFrame, order: list[str]) -> DataFrame:
+    """Rows dealt into ranges of an order, with the number of their range as part.
+
+    Range bounds come from a sample that may differ between runs, so the result is frozen before it is used twice.
+    """
+    return frozen(rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
 
 
 def ordinals(keys: DataFrame, key: str) -> DataFrame:
     """(of_key, ordinal) of distinct keys in order, from 0, without one task ordering them all.
 
-    Keys are range-partitioned, numbered within partitions, and shifted by the counts of the partitions before.
+    Keys are numbered within ranges and shifted by the counts of the ranges before.
     """
-    ordered = keys.select(F.col(key).alias("of_key")).distinct().repartitionByRange("of_key").withColumn("part", F.spark_partition_id())
+    ordered = ranged(keys.select(F.col(key).alias("of_key")).distinct(), ["of_key"])
     ordered = ordered.withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("of_key")))
-    sizes = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
-    before = sizes.select(F.col("part").alias("of_part"), F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    sizes = ordered.groupBy("part").agg(F.count(F.lit(1)).alias("n"))  # a row a range
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = sizes.select(F.col("part").alias("of_part"), before.alias("before"))
     return ordered.join(before, F.col("part") == F.col("of_part")).select("of_key", (F.col("before") + F.col("nth") - 1).alias("ordinal"))
 
 
@@ -60,17 +70,34 @@ def gap_split(crops: DataFrame, site: str, position: str, fraction: float, gap:
 
     The target count rounds half to even; a site whose target is 0 is train whole.
     """
-    own = Window.partitionBy(site)
-    total = F.count(F.lit(1)).over(own)
-    target = F.bround(total * F.lit(fraction)).cast("int")
-    numbered = crops.withColumn("nth", F.row_number().over(own.orderBy(position))).withColumn("target", target).withColumn("total", total)
-    start = F.max(F.when(F.col("nth") == F.col("total") - F.col("target") + 1, F.col(position))).over(own)
-    numbered = numbered.withColumn("start", start)
+    starts = val_starts(crops, site, position, fraction)
+    both = crops.join(starts, F.col(site).eqNullSafe(F.col("of_site")))
     split = (
         F.when(F.col("target") == 0, "train").when(F.col(position) >= F.col("start"), "val")
         .when(F.col(position) < F.col("start") - gap, "train").otherwise("gap")
     )
-    return numbered.withColumn("split", split).drop("nth", "target", "total", "start")
+    return both.withColumn("split", split).drop("of_site", "target", "start")
+
+
+def val_starts(crops: DataFrame, site: str, position: str, fraction: float) -> DataFrame:
+    """(of_site, target, start): the position where each site's last share begins; null where the target is 0.
+
+    An order statistic by ranges: counts tell the range that holds it, and only that range is numbered. A site of any
+    size is spread over many tasks.
+    """
+    rows = ranged(crops.select(F.col(site).alias("of_site"), F.col(position).alias("at")), ["of_site", "at"])
+    sizes = rows.groupBy("of_site", "part").agg(F.count(F.lit(1)).alias("n"))
+    by_site = Window.partitionBy("of_site")
+    before = F.coalesce(F.sum("n").over(by_site.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = sizes.withColumn("before", before).withColumn("total", F.sum("n").over(by_site))
+    sizes = sizes.withColumn("target", F.bround(F.col("total") * F.lit(fraction)).cast("int"))
+    want = F.col("total") - F.col("target") + 1 - F.col("before")
+    here = sizes.where((F.col("target") > 0) & (want >= 1) & (want <= F.col("n"))).select(F.col("of_site").alias("here"), F.col("part").alias("of_part"), want.alias("want"))
+    numbered = rows.join(here, F.col("of_site").eqNullSafe(F.col("here")) & (F.col("part") == F.col("of_part")))
+    numbered = numbered.withColumn("nth", F.row_number().over(Window.partitionBy("here", "of_part").orderBy("at")))
+    starts = numbered.where("nth = want").select("here", F.col("at").alias("start"))
+    targets = sizes.select("of_site", "target").distinct()
+    return targets.join(starts, F.col("of_site").eqNullSafe(F.col("here")), "left").drop("here")
 
 
 def split_stems(stems: DataFrame, group: Column, held: list[str]) -> DataFrame:

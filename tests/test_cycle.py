@@ -62,6 +62,19 @@ def test_gap_split(spark):
     assert sorted(found) == [("s", "train", 8), ("s", "val", 2), ("t", "train", 2)]
 
 
+def test_gap_split_over_many_ranges(spark):
+    rng = random.Random(6)
+    data = [(site, round(rng.random() * 9000, 1)) for site, n in (("big", 3000), ("mid", 41), ("one", 1)) for _ in range(n)] + [(None, 5.0)] * 9
+    found = folds.gap_split(spark.createDataFrame(data, "site string, p double").repartition(9), "site", "p", 0.2, 224.0).collect()
+    assert len(found) == len(data)
+    for site in ("big", "mid", "one", None):
+        own = sorted(p for s, p in data if s == site)
+        target = round(len(own) * 0.2)
+        start = own[len(own) - target] if target else None
+        judge = lambda p: "train" if start is None or p < start - 224 else "val" if p >= start else "gap"  # noqa: E731,B023
+        assert sorted((r.p, r.split) for r in found if r.site == site) == [(p, judge(p)) for p in own]
+
+
 def test_leave_one_out_and_pending(spark):
     items = spark.createDataFrame([("a",), ("a",), ("b",)], "g string")
     loo = folds.leave_one_out(items, "g")
