@@ -1,8 +1,9 @@
 """Personal data: base patterns, and a semi-Markov conditional random field that adds whole spans they miss.
 
 The base spans (email, ip, card, phone) are exact leftmost non-overlapping matches. The field scores candidate segments
-of up to MOST tokens by features of the whole span and its surroundings; a dynamic programme over each region of a line
-chooses boundaries and kinds together. Regions are the stretches around digits, at signs and spelled-out at signs:
+of up to MOST tokens (blanks not counted), and whole addresses with a spaced or spelled-out at sign whatever their length, by
+features of the whole span and its surroundings; a dynamic programme over each region of a line chooses boundaries and
+kinds together. Regions are the stretches around digits, at signs and spelled-out at signs, as far as a segment may reach:
 every segment must hold one, so nothing outside them can be chosen. Weights are fitted by maximum likelihood on sentences
 that are generated from a fixed seed, with look-alikes (dates, amounts, versions, identifiers) as ordinary text. A
 segment that overlaps a base span is dropped; base spans always stay.
@@ -26,10 +27,10 @@ from tessera.llm.common import map_column, table
 KINDS = ["email", "ip", "card", "phone"]
 Span = tuple[int, int, int]  # start, kind, end
 
-#: Tokens of a segment at most.
+#: Tokens of a segment at most, blanks not counted; whole addresses may have more.
 MOST = 20
-#: Characters around a trigger that belong to its region.
-REACH = 48
+#: Labels that a domain name can have (253 characters with a dot between any two).
+LABELS = 127
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -38,7 +39,14 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]|[\[({] ?at ?[\])}]")
+_MARK = re.compile(r"[0-9]+|@|[\[({] ?at ?[\])}]")
 _TOKEN = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.")
+# up to MOST tokens of a line with the blanks before them; the same read backwards, as every token is a run of one class
+_REACH = re.compile(r"(?:[^\S\n]*+(?:[^\W\d_]++|[0-9]++|\S)){0,%d}" % MOST)
+_AT = re.compile(r"@|[\[({] ?at ?[\])}]")
+_LABEL = re.compile(r" ?(?:\.|[\[({] ?dot ?[\])}]) ?[A-Za-z0-9-]+")
+_SPELLED_DOT = re.compile(r" ?[\[({] ?dot ?[\])}]")
+_FIRST_LABEL = re.compile(r" ?[A-Za-z0-9-]+")
 
 
 def _digits(text: str) -> str:
@@ -105,7 +113,7 @@ _NUMBER = re.compile(r"[0-9]{1,3}(?:[ ,.][0-9]{3})+(?:[.,][0-9]{1,2})?|[0-9]+[.,
 _SHAPES = [*_EMAIL_SHAPES, *_IP_SHAPES, *_CARD_SHAPES, *_PHONE_SHAPES, _DATE, _NUMBER]
 _CUES = [re.compile(x, re.IGNORECASE) for x in (r"mail|contact|write", r"\bip\b|host|address|server", r"card|visa|credit|payment", r"tel|phone|call|fax|mobile", r"order|ref|id|no\.?|version|isbn|total|date|v\.?$")]
 _EDGES = ((0, 6), (7, 8), (9, 9), (10, 10), (11, 11), (12, 12), (13, 15), (16, 16), (17, 19), (20, 99))
-FEATURES = 1 + len(_SHAPES) + len(_EDGES) + len(_CUES) + 14
+FEATURES = 1 + len(_SHAPES) + len(_EDGES) + len(_CUES) + 15
 
 
 def _features(text: str, start: int, end: int) -> np.ndarray:
@@ -124,31 +132,55 @@ def _features(text: str, start: int, end: int) -> np.ndarray:
         12 <= n <= 19 and luhn(digits), 12 <= n <= 19 and not luhn(digits), ip, "@" in span, letters > 0, len(seps) > 2, n == len(span),
         before.isalnum() or after.isalnum(), bool(before) and before in ".-/+@_#$€£:", bool(after) and after in "-/@_%€:" or after == "." and text[end + 1 : end + 2].isalnum(),
         span[0] in "+(" or span[0].isalnum(), not span[-1].isalnum(), len(parts) > 5, " " in span and letters > 0,
+        bool(_SPELLED_DOT.match(text, end)),
     ]
     return np.asarray(flags, np.float64)
 
 
+def _addresses(text: str, low: int, high: int) -> list[tuple[int, list[int]]]:
+    """Starts of the addresses of any length around the at signs, each with the ends of its labels from the second on."""
+    out = []
+    for m in _AT.finditer(text, low, high):
+        start = m.start() - (text[m.start() - 1 : m.start()] == " ")
+        before = start
+        while start > low and text[start - 1] in _LOCAL:
+            start -= 1
+        label = _FIRST_LABEL.match(text, m.end(), high)
+        if start == before or not label:
+            continue
+        ends: list[int] = []
+        while len(ends) < LABELS - 1 and (label := _LABEL.match(text, label.end(), high)):
+            ends.append(label.end())
+        if ends:
+            out.append((start, ends))
+    return out
+
+
 def _regions(text: str) -> list[tuple[int, int]]:
-    """Stretches of lines within REACH of a trigger."""
+    """Stretches of lines within MOST tokens of a trigger, or within an address."""
     out: list[list[int]] = []
-    for m in _TRIGGER.finditer(text):
-        if out and m.start() - REACH <= out[-1][1]:
-            out[-1][1] = m.end() + REACH
+    for m in _MARK.finditer(text):
+        high = _REACH.match(text, m.end()).end()
+        if out and m.start() <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], high)
+            continue
+        # tokens are read backwards from the mark, to the line's start or the region before at most
+        least = max(text.rfind("\n", 0, m.start()) + 1, out[-1][1] if out else 0)
+        low = m.start() - _REACH.match(text[least : m.start()][::-1]).end()
+        if out and low <= out[-1][1]:
+            out[-1][1] = high
         else:
-            out.append([m.start() - REACH, m.end() + REACH])
-    found = []
-    for low, high in out:
-        low, high = max(0, low), min(len(text), high)
-        while low and text[low - 1].isalnum() and text[low].isalnum():
-            low += 1
-            if low >= high:
-                break
-        at = low
-        for line in text[low:high].split("\n"):
-            if _TRIGGER.search(line):
-                found.append((at, at + len(line)))
-            at += len(line) + 1
-    return found
+            out.append([low, high])
+    if not _AT.search(text):
+        return [(low, high) for low, high in out]
+    whole = sorted([*out, *([start, ends[-1]] for start, ends in _addresses(text, 0, len(text)))])
+    out = whole[:1]
+    for low, high in whole[1:]:
+        if low <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], high)
+        else:
+            out.append([low, high])
+    return [(low, high) for low, high in out]
 
 
 def _candidates(text: str, low: int, high: int):
@@ -161,15 +193,30 @@ def _candidates(text: str, low: int, high: int):
     for i, (a, _) in enumerate(tokens):
         if blank[i] or text[a] in ",;:!?])}'\"":
             continue
-        holds = weight = 0
-        for j in range(i, min(i + MOST, len(tokens))):
+        holds = weight = count = 0
+        for j in range(i, len(tokens)):
+            if blank[j]:
+                continue
+            count += 1
+            if count > MOST:
+                break
             holds |= live[j]
             b = tokens[j][1]
             weight += (b - tokens[j][0]) * live[j]
-            if blank[j] or not holds or not text[b - 1].isalnum() or b - a < 7:
+            if not holds or not text[b - 1].isalnum() or b - a < 7:
                 continue
             if weight >= 4 or "@" in text[a:b] or "at" in text[a:b]:
                 out.append((i, j + 1, a, b))
+    if found := _addresses(text, low, high):
+        starts, ends = {a: i for i, (a, _) in enumerate(tokens)}, {b: i + 1 for i, (_, b) in enumerate(tokens)}
+        known = set(out)
+        for a, after in found:
+            while a < after[0] and (a not in starts or not text[a].isalnum()):
+                a += 1
+            for b in after:
+                if a in starts and b in ends and text[b - 1].isalnum() and (s := (starts[a], ends[b], a, b)) not in known:
+                    known.add(s)
+                    out.append(s)
     return len(tokens), out
 
 
@@ -208,10 +255,14 @@ def _examples(count: int, seed: int):
         return sep.join(x[k : k + 4] for k in range(0, 16, 4))
 
     name = lambda: word().replace("é", "e") + pick("", ".", "_") + pick("", digits(2))
+    plain = lambda: word().replace("é", "e")
+    names = lambda: ".".join(plain() for _ in range(rng.integers(1, 4)))
+    labels = lambda: [plain() + pick("", "", f"-{plain()}") for _ in range(rng.integers(1, 4))] + pick(["com"], ["org"], ["edu"], ["ac", "uk"], ["co", "uk"])
     byte = lambda: str(rng.integers(0, 256))
     shown = [
         lambda: (0, f"{name()}x@{pick('mail', 'post')}{digits(1)}.example.com"), lambda: (0, f"{name()}x [at] {pick('mail', 'post')} [dot] {pick('com', 'org', 'de')}"),
         lambda: (0, f"{name()}x (at) {pick('mail', 'post')}.{pick('com', 'org', 'fr')}"), lambda: (0, f"{name()}x @ {pick('mail', 'post')}.{pick('com', 'net')}"),
+        lambda: (0, f"{names()}x [at] {' [dot] '.join(labels())}"), lambda: (0, f"{names()}x {pick('(at)', '[at]', '@')} {'.'.join(labels())}"),
         lambda: (1, ".".join(byte() for _ in range(4))), lambda: (1, "[.]".join(byte() for _ in range(4))),
         lambda: (2, card(True)), lambda: (2, fours(card(True), pick(" ", "-", ".", "  ", " - "))),
         lambda: (3, f"+{pick('1', '49', '33')} ({digits(3)}) 555-{digits(4)}"), lambda: (3, f"({digits(3)}) {digits(3)}-{digits(4)}"),

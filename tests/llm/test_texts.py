@@ -397,6 +397,17 @@ def test_field_finds_held_out_examples():
     assert hit / (hit + extra) > 0.9 and hit / (hit + missed) > 0.95
 
 
+@pytest.mark.parametrize("address", [
+    "john.doe [at] mail [dot] example [dot] com", "jane [at] mail [dot] example [dot] co [dot] uk", "j.r.smith (at) cs.dept.uni-example.ac.uk",
+    "jane [at] research-department [dot] some-long-university [dot] edu", "first.middle.van.last [at] a-b [dot] mail [dot] c-d-e [dot] dept [dot] example [dot] ac [dot] uk",
+])
+def test_spelled_addresses_are_found_whole(address):
+    text = f"write to {address}, or come on 2024-02-03"
+    assert (9, 0, 9 + len(address)) in pii.all_spans(text, pii.weights())[1]
+    low, high = next(r for r in pii._regions(text) if r[0] <= 9 < r[1])
+    assert (9, 9 + len(address)) in [s[2:] for s in pii._candidates(text, low, high)[1]]
+
+
 def test_lattice_equals_enumeration():
     segments = [(0, 2, 0, 0), (1, 3, 0, 0), (2, 4, 0, 0), (0, 4, 0, 0)]
     scores = np.asarray([[0.5, 0.1], [1.0, -1], [0.2, 0.3], [2.0, 0.0]])
