@@ -1,7 +1,7 @@
 """The corpus pipeline: documents pass through the stages in order; each writes its result for the next.
 
 quality    documents that the line classifier scores below 0.5 go
-language   documents without a letter, or whose best language scores below LEAST_LANGUAGE, go
+language   documents without a letter, or whose best language scores below least_score, go
 near_dedup of each group of near-duplicates, by 80 % of their shingles, the document of the smallest id stays
 pii        personal data is replaced by the name of its kind, and n_chars follows
 packing    every document, with its end token, is placed in sequences of at most 2048 tokens
@@ -22,7 +22,7 @@ from tessera.llm.minhash import without_near_duplicates
 from tessera.llm.packing import pack_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document stays if its best language has at least this mean probability.
+#: A document stays if its best language has at least this part of the way from an even spread over all languages to 1.
 LEAST_LANGUAGE = 0.3
 #: Near-duplicates share this percentage of their five-word shingles at least.
 SIMILAR = 80
@@ -33,9 +33,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return qualities.score(docs, COLUMNS, model).where("predicted = 1").select(*COLUMNS)
 
 
+def least_score(languages: int) -> float:
+    """The least mean probability that the best of so many languages needs; a single language always has it."""
+    even = 1 / max(1, languages)
+    return even + LEAST_LANGUAGE * (1 - even)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = languages.predict(docs, COLUMNS, languages.learn(docs))
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_LANGUAGE)).select(*COLUMNS)
+    model = languages.learn(docs)
+    found = languages.predict(docs, COLUMNS, model)
+    least = least_score(len(model.languages) if model else 0)
+    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

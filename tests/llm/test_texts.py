@@ -321,6 +321,20 @@ def test_language_on_held_out_texts(spark, corpus):
     assert [r[:2] for r in one] == [r[:2] for r in two] and np.allclose([r[2] for r in one], [r[2] for r in two], atol=1e-5)
 
 
+def test_the_language_stage_rejects_by_score(spark, corpus):
+    """With three languages too, and short texts of them stay."""
+    import corpus_pipeline
+
+    rng = random.Random(3)
+    noise = [" ".join("".join(rng.choice("bcdfghjklmnpqrstvwxzабвгдежзик") for _ in range(rng.randint(2, 9))) for _ in range(20)) for _ in range(100)]
+    short = [sentence(rng, lang, 4) for lang in WORDS for _ in range(30)]
+    rows = spark.createDataFrame([(1000 + i, t, None, "s", None) for i, t in enumerate(noise + short)], DOCS)
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, corpus.union(rows), "").select("doc_id").collect()}
+    assert sum(1000 + i in kept for i in range(100)) < 90
+    assert sum(1100 + i in kept for i in range(90)) >= 86 and sum(i in kept for i in range(400)) >= 396
+    assert [round(corpus_pipeline.least_score(n), 4) for n in (0, 1, 2, 4, 400)] == [1, 1, 0.65, 0.475, 0.3018]
+
+
 def test_language_without_labels(spark):
     docs = documents(spark, ["abc", None]).withColumn("lang", F.lit(None).cast("string"))
     assert [r.lang_pred for r in language.predict(docs, ["doc_id"], language.learn(docs)).collect()] == ["und", "und"]
