@@ -160,7 +160,7 @@ def _verify(work: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept and text_key for every row."""
+    """doc_id, n_shingles, component_id, kept, text_key and root for every row; root names the component, null without shingles."""
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     sketched = staged(sketch_documents(docs, rows_for(percent / 100)), "sketches")
@@ -186,18 +186,22 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK)
     labels = components(_verify(dealt.join(sets, F.col("of_class") == F.col("digest")), percent), rows)
     named = labels.join(classes.select("digest", "rep"), F.col("node") == F.col("digest")).select("node", "root", "rep")
     least = named.groupBy("root").agg(F.min("rep").alias("component")).select(F.col("root").alias("of_root"), "component")
-    named = staged(named.join(staged(least, "roots", rows), F.col("root") == F.col("of_root")).select("node", "component"), "named", rows)
+    named = staged(named.join(staged(least, "roots", rows), F.col("root") == F.col("of_root")).select("node", "root", "component"), "named", rows)
     classes = classes.join(named, F.col("digest") == F.col("node"), "left")
-    classes = staged(classes.select(F.col("digest").alias("of_class"), F.coalesce("component", "rep").alias("component")), "class-names", rows)
+    classes = staged(classes.select(F.col("digest").alias("of_class"), F.coalesce("component", "rep").alias("component"), F.coalesce("root", "digest").alias("root")), "class-names", rows)
     out = sketched.drop("bands").join(classes, F.col("digest") == F.col("of_class"), "left")
     out = out.withColumn("component_id", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component")))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
+    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key", "root")
 
 
 def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The rows of docs that stay: one of each component, that of the smallest id; of equal rows one stays."""
-    kept = near_duplicates(docs, percent).where("kept").select(F.col("doc_id").alias("of_doc"), F.col("text_key").alias("of_key")).distinct()
-    kept = staged(kept, "kept", docs.count())
+    """The rows of docs that stay: one of each component, by the smallest id (null last) and then text key.
+
+    Of rows without shingles one stays for each id and text.
+    """
+    found = near_duplicates(docs, percent).withColumn("alone", F.when(F.col("root").isNull(), F.struct("doc_id", "text_key")))
+    least = found.groupBy("root", "alone").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("least"))
+    kept = staged(least.select(F.col("least.doc_id").alias("of_doc"), F.col("least.text_key").alias("of_key")), "kept", docs.count())
     docs = docs.withColumn("text_key", F.expr(TEXT_KEY))
     same = F.col("doc_id").eqNullSafe(F.col("of_doc")) & (F.col("text_key") == F.col("of_key"))
     stay = docs.join(kept, same, "left_semi")

@@ -267,6 +267,16 @@ def test_repeated_ids_nulls_and_empty_tables(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0 and minhash.without_near_duplicates(df.limit(0)).count() == 0
 
 
+def test_one_row_of_a_component_stays_whatever_its_ids(spark):
+    words = [f"w{k}" for k in range(60)]
+    near = [" ".join([*words, f"end{k}"]) for k in range(3)]
+    others = [" ".join(f"{x}{k}" for k in range(60)) for x in "uv"]
+    rows = [(1, t) for t in near] + [(None, t + " u0") for t in near] + [(None, others[0]), (None, others[0] + " x"), (7, others[1]), (7, others[1] + " x"), (8, others[1] + " y"), (9, None), (9, None)]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], DOCS)
+    kept = minhash.without_near_duplicates(df).collect()
+    assert sorted((str(r.doc_id), (r.text or "")[:2]) for r in kept) == [("1", "w0"), ("7", "v0"), ("9", ""), ("None", "u0")]
+
+
 # --- language
 
 
