@@ -95,6 +95,20 @@ def test_packing_ids_equal_tokenizers():
         assert encode(text).tolist() == known.ids
 
 
+def test_packing_gives_added_tokens_their_ids(spark):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    tokenizer, mark = Tokenizer.from_file(P.path("byte_bpe_50k.json")), "<|endoftext|>"
+    texts = [f"a {mark} x", mark, mark * 2, f"a  {mark}\n\n b", f"<|{mark}|>", mark[:-1], *(mark.join(fuzzed(k, 4)) for k in range(60))]
+    known = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    assert known[0] == [64, 220, 50256, 2124]
+    encode = packing.encoder(P.path("byte_bpe_50k.json"), P.PATTERN, added=True)
+    assert [encode(text).tolist() for text in texts] == known
+    rows = {r.doc_id: r for r in packing.pack_documents(documents(spark, texts)).where("piece = 0").collect()}
+    assert all(rows[i].ids_crc32 == zlib.crc32(np.asarray([*ids, 0], "<u4").tobytes()) for i, ids in enumerate(known) if len(ids) < 2048)
+
+
 def best_fit(lengths, capacity):
     """Bins that plain best-fit decreasing opens."""
     free = []
