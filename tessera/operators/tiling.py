@@ -52,12 +52,17 @@ def pairs(files: DataFrame, classes: dict[str, int]) -> DataFrame:
 
 
 def polygons(features: DataFrame, geometry: str = "geometry") -> DataFrame:
-    """Exterior rings of Polygon and MultiPolygon features, one row a part. geometry is a struct (type, coordinates text)."""
+    """Exterior rings of Polygon and MultiPolygon features and of a collection's Polygons, one row a part.
+
+    geometry is a struct (type, coordinates text); a GeometryCollection has its geometries as text there.
+    """
     kind = F.col(f"{geometry}.type")
     point = "array<double>"
     one = F.from_json(F.col(f"{geometry}.coordinates"), f"array<array<{point}>>")
     many = F.from_json(F.col(f"{geometry}.coordinates"), f"array<array<array<{point}>>>")
-    parts = F.when(kind == "Polygon", F.array(F.get(one, F.lit(0)))).when(kind == "MultiPolygon", F.transform(many, lambda p: F.get(p, F.lit(0))))
+    members = F.from_json(F.col(f"{geometry}.coordinates"), "array<struct<type:string,coordinates:string>>")
+    own = F.transform(F.filter(members, lambda m: m["type"] == "Polygon"), lambda m: F.get(F.from_json(m["coordinates"], f"array<array<{point}>>"), F.lit(0)))
+    parts = F.when(kind == "GeometryCollection", own).when(kind == "Polygon", F.array(F.get(one, F.lit(0)))).when(kind == "MultiPolygon", F.transform(many, lambda p: F.get(p, F.lit(0))))
     out = features.select("*", F.posexplode(parts).alias("part", "exterior"))
     ring = F.transform("exterior", lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
     return out.withColumn("ring", G.open_ring(ring)).drop("exterior")

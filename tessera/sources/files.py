@@ -114,13 +114,13 @@ def read_background(spark: SparkSession, path: str) -> DataFrame:
 def read_geojson(spark: SparkSession, folder: str) -> DataFrame:
     """path, crs, idx, type, coordinates (text), properties (text) of all features of all .geojson files.
 
-    The coordinates stay text, since their depth differs by type; without a named CRS it is CRS84.
+    The coordinates stay text, since their depth differs by type; a collection has its geometries as text there. Without a named CRS it is CRS84.
     """
-    schema = "crs struct<properties:struct<name:string>>, features array<struct<geometry:struct<type:string,coordinates:string>,properties:string>>"
+    schema = "crs struct<properties:struct<name:string>>, features array<struct<geometry:struct<type:string,coordinates:string,geometries:string>,properties:string>>"
     files = read_files(spark, folder, "*.geojson").select("path", F.from_json(F.col("content").cast("string"), schema).alias("g"))
     crs = F.coalesce("g.crs.properties.name", F.lit("urn:ogc:def:crs:OGC:1.3:CRS84"))
     rows = files.select("path", crs.alias("crs"), F.posexplode("g.features").alias("idx", "f"))
-    return rows.select("path", "crs", "idx", F.col("f.geometry.type").alias("type"), F.col("f.geometry.coordinates").alias("coordinates"), F.col("f.properties").alias("properties"))
+    return rows.select("path", "crs", "idx", F.col("f.geometry.type").alias("type"), F.coalesce("f.geometry.coordinates", "f.geometry.geometries").alias("coordinates"), F.col("f.properties").alias("properties"))
 
 
 HISTORY = """run_id string, version string, arch string, seed long, imgsz long, epochs long, tag string, created_at string,

@@ -87,7 +87,7 @@ def write_geojson(kept: DataFrame, removed: int, path: str) -> str | None:
     """Features (type, coordinates, properties as text, idx) beside the original, only if some were removed."""
     if not removed:
         return None
-    quoted = F.concat(F.lit('{"type":"Feature","properties":'), F.coalesce("properties", F.lit("{}")), F.lit(',"geometry":{"type":"'), F.col("type"), F.lit('","coordinates":'), F.col("coordinates"), F.lit("}}"))
+    quoted = F.concat(F.lit('{"type":"Feature","properties":'), F.coalesce("properties", F.lit("{}")), F.lit(',"geometry":{"type":"'), F.col("type"), F.when(F.col("type") == "GeometryCollection", '","geometries":').otherwise('","coordinates":'), F.col("coordinates"), F.lit("}}"))
     target = path.removesuffix(".geojson") + ".dedup.geojson"
     body = kept.agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("idx", quoted.alias("f")))), lambda s: s["f"]), ",").alias("body"))
     text = body.select(F.concat(F.lit('{"type":"FeatureCollection","features":['), F.col("body"), F.lit("]}")).alias("value"))

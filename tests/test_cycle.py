@@ -246,6 +246,22 @@ def test_geojson_and_background(spark, tmp_path):
     back = files.read_geojson(spark, str(tmp_path)).where(F.col("path").contains("FolhaLarga"))
     assert back.count() == 2 and len(json.loads(spark.read.text(target, wholetext=True).first()[0])["features"]) == 2
     assert sinks.write_geojson(found, 0, "unused") is None
+
+
+def test_collections_keep_their_polygons(spark, tmp_path):
+    from tessera.operators import tiling
+
+    square = lambda k: [[[k, 0], [k + 1, 0], [k + 1, 1], [k, 0]]]
+    shape = lambda *ks: {"type": "GeometryCollection", "geometries": [{"type": "Point", "coordinates": [0, 0]}, *({"type": "Polygon", "coordinates": square(k)} for k in ks)]}
+    features = [{"type": "Feature", "properties": {}, "geometry": shape(*ks)} for ks in ((1, 2), (3,), (1, 2))]
+    (tmp_path / "x.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    found = files.read_geojson(spark, str(tmp_path)).withColumnRenamed("path", "file")
+    kept = dedup.geojson(found)
+    assert sorted(r.idx for r in kept.collect()) == [0, 1]
+    rings = tiling.polygons(kept.withColumn("geometry", F.struct("type", "coordinates"))).collect()
+    assert sorted((r.idx, r.part, r.ring[0].x) for r in rings) == [(0, 0, 1.0), (0, 1, 2.0), (1, 0, 3.0)]
+    back = json.loads(spark.read.text(sinks.write_geojson(kept, 1, str(tmp_path / "y.geojson"))).first()["value"])
+    assert [f["geometry"] for f in back["features"]] == [f["geometry"] for f in features[:2]]
     (tmp_path / "bg.json").write_text('{"stems": ["a", "b"]}')
     (tmp_path / "bad.json").write_text("{")
     assert sorted(rows(files.read_background(spark, str(tmp_path / "bg.json")))) == [("a",), ("b",)] and files.read_background(spark, str(tmp_path / "bad.json")).isEmpty()
