@@ -72,9 +72,17 @@ def run_dedup(spark, a) -> None:
 
 
 def run_convert(spark, a) -> None:
-    """Label lines of polygons (talhao, width, height, class_id, ring in pixels) over their tiles."""
+    """Label lines of polygons (talhao, width, height, class_id, ring in pixels) over their tiles.
+
+    The shares of valid pixels come from a table (talhao, x_off, y_off, valid_ratio); without it every pixel is valid.
+    """
     rings = spark.read.parquet(a.rings)
-    tiles = tiling.windows(rings.select("talhao", "width", "height").distinct(), a.size, a.stride).withColumn("valid_ratio", F.lit(1.0))
+    tiles = tiling.windows(rings.select("talhao", "width", "height").distinct(), a.size, a.stride)
+    if a.valid:
+        key = ["talhao", "x_off", "y_off"]
+        tiles = tiles.join(spark.read.parquet(a.valid).select(*key, "valid_ratio"), key, "left").withColumn("valid_ratio", F.coalesce("valid_ratio", F.lit(0.0)))
+    else:
+        tiles = tiles.withColumn("valid_ratio", F.lit(1.0))
     tiling.label_files(tiles, tiling.tile_polygons(rings, a.size, a.stride)).write.mode("overwrite").parquet(a.out)
 
 
@@ -131,7 +139,7 @@ def parser() -> argparse.ArgumentParser:
     add("folds", run_folds, "folder", "out", k={"type": int, "default": 4})
     add("loo", run_loo, "folder", "history")
     add("dedup", run_dedup, "folder")
-    add("convert", run_convert, "rings", "out", size={"type": int, "default": tiling.TILE}, stride={"type": int, "default": tiling.STRIDE})
+    add("convert", run_convert, "rings", "out", size={"type": int, "default": tiling.TILE}, stride={"type": int, "default": tiling.STRIDE}, valid={"help": "Parquet of valid_ratio by talhao, x_off, y_off; tiles that it lacks have no valid pixel"})
     add("report", run_report, "history", cycle={"type": int})
     add("promotion", run_promotion, "history")
     add("run", run_run, "history", run_id={})

@@ -151,6 +151,22 @@ def test_tile_polygons_cover_areas(spark):
     assert found == pytest.approx(value(spark, G.area(r)))
 
 
+def test_convert_drops_tiles_by_validity(spark, tmp_path):
+    from tessera import cli
+
+    r = ring((10, 10), (190, 30), (120, 180), (60, 90))
+    rows = spark.range(1).select(F.lit("f").alias("talhao"), F.lit(1).alias("class_id"), F.lit(200).alias("width"), F.lit(200).alias("height"), r.alias("ring"))
+    rows.write.parquet(f"{tmp_path}/rings")
+    valid = [("f", x, y, 0.4 if x else 0.6) for x in (0, 100) for y in (0, 100)]
+    spark.createDataFrame(valid, "talhao string, x_off int, y_off int, valid_ratio double").write.parquet(f"{tmp_path}/valid")
+    found = []
+    for more in ([], ["--valid", f"{tmp_path}/valid"]):
+        a = cli.parser().parse_args(["convert", f"{tmp_path}/rings", f"{tmp_path}/out", "--size", "100", "--stride", "100", *more])
+        a.run(spark, a)
+        found.append(sorted(r.stem for r in spark.read.parquet(f"{tmp_path}/out").collect()))
+    assert {s[-4:] for s in found[0]} == {"c000", "c001"} and found[1] == [s for s in found[0] if s.endswith("c000")]
+
+
 def test_label_files_keep_background_by_hash(spark):
     tiles = spark.createDataFrame([("f", 0, 0, "f_r000_c000", 1.0), ("f", 9, 0, "f_r000_c001", 0.4), ("f", 18, 0, "f_r000_c002", 0.9)], "talhao string, x_off int, y_off int, stem string, valid_ratio double")
     pieces = spark.createDataFrame([("f", 0, 0, "1 0 0"), ("f", 9, 0, "1 1 1")], "talhao string, x_off int, y_off int, line string")
