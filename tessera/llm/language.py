@@ -12,6 +12,7 @@ labelled row exists every text is `und`; an empty table gives an empty result; o
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +26,8 @@ from tessera.llm.common import fold, map_column, table
 UNITS, WINDOW = 8, 128
 #: The training sample: documents a language, windows a document, characters a window before encoding.
 SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_CHARS = 400, 3, 96
-#: Languages that are learned at most, the most frequent first; bounds the model.
-MAX_LANGUAGES = 400
+#: Languages with a full sample and full batches; beyond, samples a language and rows a batch shrink, so that neither grows.
+FULL_LANGUAGES = 400
 STEPS, BATCH, SPAN, RATE = 500, 192, 64, 0.02
 #: Windows that run through the network at a time.
 ROWS = 2048
@@ -126,10 +127,12 @@ def train(samples: list[tuple[bytes, str]], seed: int = 0, steps: int = STEPS) -
     of = [[text for text, language in samples if language == x] for x in languages]
     model = _start(languages, seed)
     weights = [model.table, model.recur, model.inner, model.out, model.bias]
+    batch = max(1, BATCH * FULL_LANGUAGES // max(FULL_LANGUAGES, len(languages)))
+    steps = steps * BATCH // batch
     mean, square = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for step in range(1, steps + 1):
-        label = rng.integers(len(languages), size=BATCH)
-        text = np.zeros((SPAN, BATCH), np.uint8)
+        label = rng.integers(len(languages), size=batch)
+        text = np.zeros((SPAN, batch), np.uint8)
         for i, x in enumerate(label):
             chosen = of[x][rng.integers(len(of[x]))]
             at = rng.integers(max(1, len(chosen) - SPAN + 1))
@@ -213,7 +216,7 @@ class Predictor:
         text, lengths, of = self.windows(texts)
         total = np.zeros((len(texts), len(self.model.languages)))
         order = np.argsort(lengths, kind="stable")
-        most = max(32, ROWS * 8 // max(8, len(self.model.languages)))
+        most = max(1, ROWS * 8 // max(8, len(self.model.languages)))
         for at in range(0, len(order), most):
             own = order[at : at + most]
             time = lengths[own].max()
@@ -224,17 +227,18 @@ class Predictor:
 
 
 def sample(docs: DataFrame) -> list[tuple[bytes, str]]:
-    """A bounded sample of labelled windows: about SAMPLE_DOCS documents a language, drawn by a hash of text and id."""
+    """A bounded sample of labelled windows: about SAMPLE_DOCS documents of every language (fewer if there are very many), drawn by a hash of text and id."""
     known = docs.where("text is not null and lang is not null")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()}
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return []
-    share = F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, SAMPLE_DOCS / n))))
+    most = max(1, SAMPLE_DOCS * FULL_LANGUAGES // max(FULL_LANGUAGES, len(counts)))
+    share = F.from_json(F.lit(json.dumps({lang: min(1.0, most / n) for lang, n in counts.items()})), "map<string,double>")
     draw = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_003)) / 1_000_003
     at = lambda k: F.substring("text", (draw(k + 1) * F.length("text")).cast("int") + 1, F.lit(SAMPLE_CHARS))
-    drawn = known.where(F.col("lang").isin(list(counts)) & (draw(0) < share[F.col("lang")]))
+    drawn = known.where(draw(0) < share[F.col("lang")])
     drawn = drawn.select("lang", *(at(k).alias(f"w{k}") for k in range(SAMPLE_WINDOWS)))
-    rows = drawn.limit(4 * SAMPLE_DOCS * len(counts)).collect()
+    rows = drawn.limit(4 * most * len(counts)).collect()
     return [(r[f"w{k}"].encode(), r["lang"]) for r in rows for k in range(SAMPLE_WINDOWS) if _LETTER.search(r[f"w{k}"])]
 
 

@@ -359,6 +359,12 @@ def test_the_language_stage_rejects_by_score(spark, corpus):
     assert [round(corpus_pipeline.least_score(n), 4) for n in (0, 1, 2, 4, 400)] == [1, 1, 0.65, 0.475, 0.3018]
 
 
+def test_every_language_is_learned(spark):
+    rows = [(2 * i + k, f"word{k} of language {i}", f"l{i}", "s", None) for i in range(450) for k in range(2)]
+    found = language.sample(spark.createDataFrame(rows, DOCS))
+    assert len({lang for _, lang in found}) == 450 and len(language.train(found, steps=1).languages) == 450
+
+
 def test_language_without_labels(spark):
     docs = documents(spark, ["abc", None]).withColumn("lang", F.lit(None).cast("string"))
     assert [r.lang_pred for r in language.predict(docs, ["doc_id"], language.learn(docs)).collect()] == ["und", "und"]
