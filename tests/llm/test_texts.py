@@ -81,7 +81,6 @@ def test_packing_ids_equal_tokenizers():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     encode = packing.encoder(P.path("byte_bpe_50k.json"), P.PATTERN)
     every = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x20000, 7)]]
     texts = [t or "" for t in ODD] + fuzzed(2, 800) + ["<|endoftext|> x"] + ["a".join(every[k : k + 50]) + " ".join(every[k : k + 50]) for k in range(0, len(every), 50)]
@@ -103,12 +102,28 @@ def test_packing_gives_added_tokens_their_ids(spark):
     texts = [f"a {mark} x", mark, mark * 2, f"a  {mark}\n\n b", f"<|{mark}|>", mark[:-1], *(mark.join(fuzzed(k, 4)) for k in range(60))]
     known = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
     assert known[0] == [64, 220, 50256, 2124]
-    encode = packing.encoder(P.path("byte_bpe_50k.json"), P.PATTERN, added=True)
+    encode = packing.encoder(P.path("byte_bpe_50k.json"), P.PATTERN)
     assert [encode(text).tolist() for text in texts] == known
     rows = {r.doc_id: r for r in packing.pack_documents(documents(spark, texts)).where("piece = 0").collect()}
     assert all(rows[i].ids_crc32 == zlib.crc32(np.asarray([*ids, 0], "<u4").tobytes()) for i, ids in enumerate(known) if len(ids) < 2048)
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "\r\n", "\u3000"])
+def test_packing_of_long_white_space(run):
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    tokenizer, encode = Tokenizer.from_file(P.path("byte_bpe_50k.json")), packing.encoder(P.path("byte_bpe_50k.json"), P.PATTERN)
+    many = run * (2_000_000 // len(run))
+    for text in (many, f"a {many[:20_000]}<|endoftext|>b don't 12 é{many[:30_000]}", many[:9_999] + "x", many[:10_000] + "x" + many[:20_000] + "\n y"):
+        assert encode(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_packing_spreads_equal_rows(spark):
+    rows = packing.pack_documents(spark.createDataFrame([(1, "a b c")] * 300, "doc_id long, text string")).collect()
+    assert len({(r.sequence_id, r.offset) for r in rows}) == 300 and {r.length for r in rows} == {4}
+
+
 def best_fit(lengths, capacity):
     """Bins that plain best-fit decreasing opens."""
     free = []
