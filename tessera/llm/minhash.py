@@ -26,7 +26,7 @@ from pyspark.sql.window import Window
 
 from tessera.llm.common import TEXTS_A_PART, map_column, prepare, sized, staged, table
 from tessera.llm.components import components
-from tessera.llm.shingles import shingle_sets
+from tessera.llm.shingles import WIDTH, shingle_sets
 from tessera.llm.sketch import bands, rows_for, sketches
 
 #: Link where 100 * intersection >= PERCENT * union.
@@ -44,15 +44,29 @@ def _digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def sketch_documents(docs: DataFrame, rows: int) -> DataFrame:
-    """doc_id, text_key, n_shingles, digest, bands; digest and bands are null where there is no word."""
+def prefix(shingles: np.ndarray, percent: int) -> np.ndarray:
+    """The least hashes of a set, so many that two sets that link have one of them in common."""
+    least = -(-percent * len(shingles) // 100)  # shared shingles that a link needs at least
+    return shingles[: len(shingles) - least + 1].view(np.int64)
+
+
+def sketch_documents(docs: DataFrame, percent: int, exact: bool = False) -> DataFrame:
+    """doc_id, text_key, n_shingles, digest, bands; digest and bands are null where there is no word.
+
+    With exact, the bands are the prefix of the set instead: no link is missed, for as many keys as shingles may differ.
+    """
+    rows = rows_for(percent / 100)
 
     def make():
         def work(texts: list[str | None]) -> list[list]:
             sets = shingle_sets(texts)
             full = [i for i, s in enumerate(sets) if len(s)]
             digests, keys = [None] * len(sets), [None] * len(sets)
-            for i, row in zip(full, bands(sketches([sets[i] for i in full]), rows) if full else (), strict=True):
+            if exact:
+                found = [prefix(sets[i], percent) for i in full]
+            else:
+                found = bands(sketches([sets[i] for i in full]), rows) if full else ()
+            for i, row in zip(full, found, strict=True):
                 digests[i], keys[i] = _digest(sets[i]), row
             return [[len(s) for s in sets], digests, keys]
 
@@ -159,11 +173,14 @@ def _verify(work: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, text_key and root for every row; root names the component, null without shingles."""
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, block: int = BLOCK, exact: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, text_key and root for every row; root names the component, null without shingles.
+
+    exact takes candidates by prefixes of the sets instead of bands of sketches, at the price of more buckets.
+    """
     prepare(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    sketched = staged(sketch_documents(docs, rows_for(percent / 100)), "sketches")
+    sketched = staged(sketch_documents(docs, percent, exact), "sketches")
     rows = sketched.count()
     classes = sketched.where("n_shingles > 0").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     classes = staged(classes, "classes", rows)
@@ -212,3 +229,22 @@ def without_near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFram
 
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+ORACLE_SQL = f"""
+with recursive split as (
+  select row_number() over () as row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+  from documents),
+sets as (
+  select row, doc_id, case when len(w) >= {WIDTH} then list_distinct(list_transform(range(1, len(w) - {WIDTH - 2}), lambda i: array_to_string(w[i:i + {WIDTH - 1}], ' ')))
+    when len(w) > 0 then [array_to_string(w, ' ')] else []::varchar[] end as shingles from split),
+items as (select row, len(shingles) as n, unnest(shingles) as item from sets),
+links as (
+  select a.row as a, b.row as b from items a join items b on a.item = b.item and a.row <> b.row
+  group by a.row, b.row, a.n, b.n having 100 * count(*) >= {PERCENT} * (a.n + b.n - count(*))),
+reach as (select row as a, row as b from sets union select reach.a, links.b from reach join links on reach.b = links.a),
+least as (select reach.a as row, min(sets.doc_id) as component_id from reach join sets on reach.b = sets.row group by reach.a)
+select doc_id, len(shingles)::bigint as n_shingles, case when len(shingles) > 0 then component_id else doc_id end as component_id,
+  case when len(shingles) > 0 then component_id is not distinct from doc_id else true end as kept
+from sets join least using (row)
+"""

@@ -8,6 +8,7 @@ from tessera.llm.caps import op3_caps
 from tessera.llm.covertree import ORACLE_SQL as TOPK_SQL
 from tessera.llm.covertree import op2_topk
 from tessera.llm.language import op1_language
+from tessera.llm.minhash import ORACLE_SQL as MINHASH_SQL
 from tessera.llm.minhash import op4_minhash
 from tessera.llm.packing import op10_packing
 from tessera.llm.pii import op6_pii
@@ -30,4 +31,4 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_topk": TOPK_SQL, "op3_caps": CAPS_SQL, "op7_warc": WARC_SQL, "op8_secrets": SECRETS_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_topk": TOPK_SQL, "op3_caps": CAPS_SQL, "op4_minhash": MINHASH_SQL, "op7_warc": WARC_SQL, "op8_secrets": SECRETS_SQL}

@@ -1,24 +1,25 @@
-"""Word shingles of texts as sorted 64-bit hashes, made with whole-array arithmetic.
+"""Word shingles of texts as sorted 64-bit hashes.
 
-Words are the runs of bytes between ASCII white space after A-Z are lower-cased. A word hashes as a polynomial in random
-byte values modulo 2**64, read off one running sum over the whole batch; a shingle is a mixed weighted sum of its words.
+Words are the runs of bytes between ASCII white space after A-Z are lower-cased. A word stands by a 128-bit cryptographic
+digest, so no two words can be made that stand alike; a shingle is a chain of mixing steps over both halves of the digests
+of its words, in order.
 """
 
 from __future__ import annotations
 
+import re
+from hashlib import blake2b
+
 import numpy as np
 
 WIDTH = 5
-#: Bytes of text that are hashed at a time, unless a single text is longer.
+#: Bytes of text whose words are looked up at a time, unless a single word is longer.
 CHUNK = 1 << 21
+#: Distinct words whose digests a worker keeps, and the bytes of such a word at most; the cache starts anew beyond.
+CACHE, KEPT_WORD = 200_000, 64
 
-_rng = np.random.default_rng(20240229)
-_BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]
-_BASE = int(_rng.integers(1, 2**62)) * 2 + 1
-_STEP = _rng.integers(1, 2**63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SPACE = np.zeros(256, bool)
-_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_LOWER = bytes(range(256)).lower()  # A-Z only
+_SPACE = re.compile(rb"[ \t-\r]")
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -31,69 +32,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_powers: tuple[np.ndarray, np.ndarray] | None = None
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
-    global _powers
-    if _powers is None or len(_powers[0]) < n:
-        size = max(n, CHUNK + CHUNK // 2)
-        made = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            powers = np.full(size, base, np.uint64)
-            powers[0] = 1
-            made.append(np.multiply.accumulate(powers))
-        if n > 2 * CHUNK:  # not kept for one long text
-            return made[0], made[1]
-        _powers = made[0], made[1]
-    return _powers
-
-
-def _words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words, and the number of words of each text."""
-    flat = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    space = _SPACE[flat]
-    before = np.empty_like(space)
-    before[0], before[1:] = True, space[:-1]
-    start, end = np.flatnonzero(before & ~space), np.flatnonzero(space & ~before)
-    ahead, back = _power_tables(len(flat))
-    total = np.zeros(len(flat) + 1, np.uint64)
-    np.cumsum(_BYTE[flat] * ahead[: len(flat)], out=total[1:])
-    words = mix((total[end] - total[start]) * back[start] + (end - start).astype(np.uint64))
-    edges = np.cumsum([len(t) + 1 for t in texts])
-    upto = np.searchsorted(start, edges)
-    return words, np.diff(upto, prepend=0)
-
-
-def _chunks(texts: list[bytes]):
+class _Digests(dict):
+    """Word to the 16 bytes of its digest."""
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = blake2b(word, digest_size=16).digest()
+        if len(word) <= KEPT_WORD:
+            if len(self) >= CACHE:
+                self.clear()
+            self[word] = found
+        return found
+
+
+_digests = _Digests()
+
+
+def _parts(data: bytes):
+    """A long text in stretches of about CHUNK bytes that end at white space."""
     at = 0
-    while at < len(texts):
-        upto, size = at, 0
-        while upto < len(texts) and (upto == at or size + len(texts[upto]) <= CHUNK):
-            size += len(texts[upto])
-            upto += 1
-        yield at, upto
+    while at < len(data):
+        space = _SPACE.search(data, at + CHUNK) if len(data) - at > CHUNK else None
+        upto = space.start() if space else len(data)
+        yield data[at:upto] if upto - at < len(data) else data
         at = upto
 
 
+def words(text: str | None) -> np.ndarray:
+    """(words, 2) halves of the digests of all words in order."""
+    data = (text or "").encode().translate(_LOWER)
+    found = [b"".join(map(_digests.__getitem__, part.split())) for part in _parts(data)]
+    return np.frombuffer(b"".join(found), "<u8").reshape(-1, 2)
+
+
+def _chained(halves: np.ndarray, width: int) -> np.ndarray:
+    """A hash of each run of `width` words."""
+    count = len(halves) - width + 1
+    out = np.full(count, width, np.uint64)
+    for k in range(width):
+        out = mix(out ^ halves[k : k + count, 0])
+        out += halves[k : k + count, 1]
+    return mix(out)
+
+
 def shingle_sets(texts: list[str | None]) -> list[np.ndarray]:
     """The distinct shingles of each text, sorted; a text of fewer than WIDTH words has its whole sequence as one."""
-    encoded = [(t or "").encode() for t in texts]
     out: list[np.ndarray] = []
-    for at, upto in _chunks(encoded):
-        words, counts = _words(encoded[at:upto])
-        sums = np.zeros(max(0, len(words) - WIDTH + 1), np.uint64)
-        for k in range(WIDTH):
-            sums += words[k : k + len(sums)] * _STEP[k]
-        sums = mix(sums)
-        first = np.cumsum(counts) - counts
-        for start, n in zip(first.tolist(), counts.tolist(), strict=True):
+    at = 0
+    while at < len(texts):
+        group, total = [], 0
+        while at < len(texts) and total < 1 << 18:
+            group.append(words(texts[at]))
+            total += len(group[-1])
+            at += 1
+        # the shingles of all texts of a group at once; those that reach over an end are left out
+        every = _chained(np.concatenate(group), WIDTH) if total >= WIDTH else None
+        first = 0
+        for halves in group:
+            n = len(halves)
             if n >= WIDTH:
-                out.append(np.unique(sums[start : start + n - WIDTH + 1]))
-            elif n:
-                short = (words[start : start + n] * _STEP[:n]).sum(keepdims=True) + _STEP[-1:] * np.uint64(n)
-                out.append(mix(short))
+                out.append(np.unique(every[first : first + n - WIDTH + 1]))
             else:
-                out.append(np.zeros(0, np.uint64))
+                out.append(_chained(halves, n) if n else np.zeros(0, np.uint64))
+            first += n
     return out
