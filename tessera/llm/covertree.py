@@ -2,23 +2,28 @@
 
 Vectors are quantised to integers. The top level of the index is a set of centres, spread by farthest-first choice over a
 bounded sample; every vector belongs to its nearest centre, and a node's covering radius is taken over all its members.
-Large nodes are cut into blocks. Queries form groups in the same way.
+Large nodes are dealt into blocks. Queries form groups in the same way.
 
 Two passes follow. The first searches each group in its own node, which gives every group its worst k-th score so
-far. The second visits those other nodes whose bound (centre product plus radii) can still reach it. Within a task the
-block and the group each become a cover tree, and pairs of tree nodes are pruned by covering radii against the worst
-k-th score of the query node. Scores are exact integers; at the end the partial lists of a query, at most k rows a block,
-are merged. Nothing is sampled but the centres, which affect speed only.
-
-Defined cases: vectors that are null, empty or hold null or non-finite components, and vectors of another length than the
-most common one, take no part; rows stay apart by a row id, so a query excludes its own row only; fewer candidates than k
+far. The second visits those other nodes whose bound can still reach it. A task holds one block of data, builds its cover
+tree once and lets the groups of queries stream past; each group becomes a cover tree too, and pairs of tree nodes are
+pruned by their covering radii against the worst k-th score of the query node. A level of a tree covers its points by at
+most FAN balls around points that farthest-first choice takes, which keeps them as far apart as the level's radius. Scores
+are exact integers; at the end the partial lists of a query, at most k rows a block, are merged. Nothing is sampled but
+the centres, which affect speed only.
+
+Pruning needs data with structure: where vectors lie in random directions of many dimensions, hardly a ball of several
+is bounded below a query's k-th score, and a good part of the pairs is scored, in blocked products (figures in the README).
+
+Defined cases: vectors that are null, empty or hold null or non-finite components take no part; vectors of different
+lengths do not meet; rows stay apart by a row id, so a query excludes its own row only; fewer candidates than k
 give shorter lists; products are exact while they fit a long and are held at its limits beyond; an empty table gives an
 empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -26,15 +31,19 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tessera.llm.common import map_column, prepare, staged, table
-from tessera.llm.vectors import by_group, numbered, valid_vectors
+from tessera.llm.vectors import numbered, valid_vectors
 
 EVERY, TOP, SCALE = 50, 5, 256
-#: Rows a block of data and a group of queries, about.
-BLOCK, GROUP = 8192, 1024
+#: Rows of a block of data: a share of the table between these bounds, and bytes of its vectors at most.
+LEAST_BLOCK, MOST_BLOCK, SHARES, BLOCK_BYTES = 2048, 1 << 16, 32, 1 << 25
+#: Rows of a group of queries, about, and of all the groups that pass one copy of a block.
+GROUP, STREAM = 1024, 1 << 18
 #: Rows that centres are chosen from, and centres at most.
 SAMPLE, CENTRES = 4096, 256
-#: Vectors of a leaf, and the shrinking of radii from level to level.
-LEAF, SHRINK = 64, 0.7
+#: Points of a leaf of data and of queries; balls of a level at most, the shrinking of radii they aim at, and levels at most.
+LEAF, ASKED_LEAF, FAN, SHRINK, DEPTH = 8, 1, 16, 0.5, 40
+#: Points whose scores are made at a time, at first and at most.
+FIRST, STEP = 128, 4096
 #: Stands for no score.
 NONE = -(2**63 - 1)
 
@@ -43,6 +52,18 @@ def quantised(vectors: np.ndarray) -> np.ndarray:
     return np.floor(SCALE * vectors.astype(np.float64))
 
 
+def packed(x: np.ndarray) -> bytes:
+    """A quantised vector in bytes, with the width of its numbers first."""
+    return b"\2" + x.astype("<i2").tobytes() if np.abs(x).max(initial=0) < 1 << 15 else b"\x08" + x.astype("<f8").tobytes()
+
+
+def unpacked(vectors: list[bytes]) -> np.ndarray:
+    """(rows, length) of packed vectors of one length."""
+    if all(v[0] == 2 for v in vectors):
+        return np.frombuffer(b"".join(v[1:] for v in vectors), "<i2").reshape(len(vectors), -1).astype(np.float64)
+    return np.asarray([np.frombuffer(v[1:], "<i2" if v[0] == 2 else "<f8") for v in vectors], np.float64)
+
+
 def products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
     """Integer inner products; floats while all sums are exact, whole numbers of any size beyond."""
     most = np.abs(queries).max(initial=0) * np.abs(data).max(initial=0) * queries.shape[1]
@@ -54,91 +75,177 @@ def products(queries: np.ndarray, data: np.ndarray) -> np.ndarray:
 
 
 @dataclass
-class Node:
-    """A ball that covers all its points; leaves hold them as one array."""
-
-    points: np.ndarray
-    centre: np.ndarray
-    radius: float
-    children: list["Node"] = field(default_factory=list)
-    norm: float = 0.0
-    worst: int = NONE
-
-
-def tree(x: np.ndarray, points: np.ndarray | None = None, centre: int | None = None) -> Node:
-    """A cover tree: each level covers a node by balls of SHRINK times its radius around points of its own."""
-    points = np.arange(len(x)) if points is None else points
-    c = x[points[0] if centre is None else centre]
-    far = np.sqrt(((x[points] - c) ** 2).sum(1))
-    node = Node(points, c, float(far.max(initial=0)), norm=float(np.sqrt((c**2).sum())))
-    if len(points) <= LEAF or node.radius == 0:
-        return node
-    reach, least = node.radius * SHRINK, far
-    nearest, chosen = np.zeros(len(points), int), [centre if centre is not None else points[0]]
-    while least.max() > reach and len(chosen) < len(points):
-        new = int(least.argmax())
-        chosen.append(points[new])
-        d = np.sqrt(((x[points] - x[points[new]]) ** 2).sum(1))
-        closer = d < least
-        nearest[closer], least = len(chosen) - 1, np.minimum(least, d)
-        if len(chosen) > max(16, len(points) // LEAF):  # a level that thin separates single points: stay a leaf
-            return node
-    if len(chosen) > 1:
-        node.children = [tree(x, points[nearest == k], chosen[k]) for k in range(len(chosen)) if (nearest == k).any()]
-    return node
+class Tree:
+    """A cover tree in breadth-first order: balls around points, the children of a node and its points as ranges."""
+
+    order: np.ndarray  # positions of the points, so that those of any node are a range
+    centre: np.ndarray  # (nodes, length)
+    radius: np.ndarray
+    norm: np.ndarray  # of the centres
+    longest: np.ndarray  # greatest norm of a point
+    points: np.ndarray  # (nodes, 2): range in order
+    children: np.ndarray  # (nodes, 2): range of nodes, empty for a leaf
 
 
-def dual_search(queries: np.ndarray, query_rows: np.ndarray, data: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int, known: np.ndarray):
-    """The k best (score, position) of every query over the data but its own row; known: scores to reach, from before.
+def _level(x: np.ndarray, far: np.ndarray, reach: float) -> np.ndarray:
+    """The nearest of at most FAN balls for each point, by farthest-first choice until all lie within reach.
 
-    ids orders ties. Positions index data; lists are padded by -1.
+    The point in the middle, from which `far` is measured, is no centre: it would be nearest to most.
+    """
+    least = np.sqrt(((x - x[far.argmax()]) ** 2).sum(1))
+    nearest, count = np.zeros(len(x), int), 1
+    while count < FAN and least.max() > reach:
+        d = np.sqrt(((x - x[least.argmax()]) ** 2).sum(1))
+        closer = d < least
+        nearest[closer], least = count, np.minimum(least, d)
+        count += 1
+    return nearest
+
+
+def tree(x: np.ndarray, leaf: int = LEAF) -> Tree:
+    """Each level covers a node by balls around points of its own; leaves have `leaf` points at most, or one place."""
+    order, size = np.arange(len(x)), np.sqrt((x**2).sum(1))
+    centre, radius, longest, points, children = [], [], [], [], []
+    level = [(0, len(x))] if len(x) else []
+    depth = 0
+    while level:
+        below: list[tuple[int, int]] = []
+        first = len(centre) + len(level)
+        for low, high in level:
+            own = order[low:high]
+            at = x[own]
+            # the first point of a ball is its centre
+            far = np.sqrt(((at - at[0]) ** 2).sum(1))
+            centre.append(at[0])
+            radius.append(float(far.max()))
+            longest.append(float(size[own].max()))
+            points.append((low, high))
+            start = first + len(below)
+            if high - low > leaf and radius[-1] > 0 and depth < DEPTH:
+                nearest = _level(at, far, SHRINK * radius[-1])
+                by = np.argsort(nearest, kind="stable")
+                order[low:high] = own[by]
+                cuts = [0, *(np.flatnonzero(np.diff(nearest[by])) + 1).tolist(), high - low]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    # put the point nearest to the middle first
+                    part = order[low + a : low + b]
+                    middle = int(((x[part] - x[part].mean(0)) ** 2).sum(1).argmin())
+                    part[[0, middle]] = part[[middle, 0]]
+                    below.append((low + a, low + b))
+            children.append((start, first + len(below)))
+        level, depth = below, depth + 1
+    centre = np.asarray(centre).reshape(len(centre), x.shape[1])
+    ranges = [np.asarray(r, np.int64).reshape(-1, 2) for r in (points, children)]
+    return Tree(order, centre, np.asarray(radius), np.sqrt((centre**2).sum(1)), np.asarray(longest), *ranges)
+
+
+def _ranges(first: np.ndarray, upto: np.ndarray) -> np.ndarray | slice:
+    """The numbers of all ranges in order; a slice where they are one range."""
+    if (first[1:] == upto[:-1]).all():
+        return slice(int(first[0]), int(upto[-1]))
+    count = upto - first
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+def bounds(q: Tree, i: int, d: Tree, nodes: np.ndarray) -> np.ndarray:
+    """The most that a query of node i can score in each of the nodes, by the covering radii."""
+    product = d.centre[_ranges(nodes, nodes + 1)] @ q.centre[i]
+    r, s = q.radius[i], d.radius[nodes]
+    linear = product + q.norm[i] * s + d.norm[nodes] * r + r * s
+    # points that are far apart score little for their norms
+    apart = np.sqrt(np.maximum(q.norm[i] ** 2 + d.norm[nodes] ** 2 - 2 * product, 0)) - r - s
+    most = np.minimum(linear, (q.longest[i] ** 2 + d.longest[nodes] ** 2 - np.maximum(apart, 0) ** 2) / 2)
+    return most + 1e-9 * (np.abs(most) + q.longest[i] ** 2 + d.longest[nodes] ** 2) + 1  # above any rounding
+
+
+def dual_search(queries: np.ndarray, query_rows: np.ndarray, data: np.ndarray, index: Tree, rows: np.ndarray, ids: np.ndarray, k: int, known: np.ndarray):
+    """The k best (score, position) of every query over the data but its own row, and how many pairs were scored.
+
+    index is the tree of the data; ids orders ties; known are scores to reach, from before. Positions index data; lists
+    are padded by -1.
     """
     score = np.full((len(queries), k), NONE, np.int64)
     at = np.full((len(queries), k), -1, np.int64)
-    worst = known.copy()
-    order = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # position of each row among ties
-
-    def base(q: Node, d: Node) -> None:
-        for low in range(0, len(d.points), 2048):
-            part = d.points[low : low + 2048]
-            s = products(queries[q.points], data[part])
-            own = query_rows[q.points][:, None] == rows[part][None, :]
-            useful = (s >= worst[q.points][:, None]) & ~own
-            for i in np.flatnonzero(useful.any(1)).tolist():
-                one = q.points[i]
-                new = np.flatnonzero(useful[i])
-                if len(new) > 4 * k:  # all ties with the k-th best stay
-                    new = new[s[i, new] >= -np.partition(-s[i, new], k - 1)[k - 1]]
-                all_s, all_at = np.concatenate([score[one], s[i, new]]), np.concatenate([at[one], part[new]])
-                best = np.lexsort((np.where(all_at < 0, len(order), order[all_at]), -all_s, all_at < 0))[:k]
-                score[one], at[one] = all_s[best], all_at[best]
-                if at[one, -1] >= 0:
-                    worst[one] = max(worst[one], score[one, -1])
-        q.worst = worst[q.points].min()
-
-    def bound(q: Node, d: Node) -> float:
-        most = float(q.centre @ d.centre) + q.norm * d.radius + d.norm * q.radius + q.radius * d.radius
-        return most + 1e-9 * abs(most) + 1  # above any rounding
-
-    def visit(q: Node, d: Node) -> None:
-        if bound(q, d) < q.worst:
-            return
-        if not q.children and not d.children:
-            base(q, d)
-        elif d.children and (not q.children or d.radius >= q.radius):
-            for child in sorted(d.children, key=lambda c: -bound(q, c)):
-                visit(q, child)
-        else:
-            for child in q.children:
-                child.worst = max(child.worst, worst[child.points].min())
-                visit(child, d)
-            q.worst = worst[q.points].min()
+    worst, worst_place = known.copy(), np.full(len(queries), len(data))
+    place = np.argsort(np.argsort(ids, kind="stable"), kind="stable")  # of each row among ties
+    in_order, order_rows, order_place = data[index.order], rows[index.order], place[index.order]
+    scored = 0
+
+    def base(own: np.ndarray, part: np.ndarray | slice) -> None:
+        s = products(queries[own], in_order[part])
+        least = worst[own][:, None]
+        useful = (s > least) | ((s == least) & (order_place[part][None, :] < worst_place[own][:, None]))
+        useful &= query_rows[own][:, None] != order_rows[part][None, :]
+        positions = index.order[part]
+        for i in np.flatnonzero(useful.any(1)).tolist():
+            one = own[i]
+            new = np.flatnonzero(useful[i])
+            if len(new) > 4 * k:  # all ties with the k-th best stay
+                new = new[s[i, new] >= -np.partition(-s[i, new], k - 1)[k - 1]]
+            all_s, all_at = np.concatenate([score[one], s[i, new]]), np.concatenate([at[one], positions[new]])
+            best = np.lexsort((np.where(all_at < 0, len(place), place[all_at]), -all_s, all_at < 0))[:k]
+            score[one], at[one] = all_s[best], all_at[best]
+            if at[one, -1] >= 0 and score[one, -1] >= worst[one]:
+                worst[one], worst_place[one] = score[one, -1], place[at[one, -1]]
+
+    def expanded(nodes: np.ndarray) -> np.ndarray:
+        """The children of inner nodes, and leaves as they are."""
+        if not len(nodes):
+            return nodes
+        first, upto = index.children[nodes].T
+        inner = upto > first
+        found = _ranges(np.where(inner, first, nodes), np.where(inner, upto, nodes + 1))
+        return np.arange(found.start, found.stop) if isinstance(found, slice) else found
+
+    def search(own: np.ndarray, leaves: np.ndarray, reach: np.ndarray) -> None:
+        """The likeliest few leaves first, so that they set the k-th scores; then those that still reach them, as they lie."""
+        nonlocal scored
+        size = index.points[leaves, 1] - index.points[leaves, 0]
+        best = np.argsort(-reach, kind="stable")
+        best = best[: int(np.searchsorted(np.cumsum(size[best]), FIRST)) + 1]
+        rest = np.ones(len(leaves), bool)
+        rest[best] = False
+        todo, step = best, FIRST
+        while len(todo):
+            low, high = index.points[leaves[todo]].T
+            part = _ranges(low, high)
+            if isinstance(part, slice):
+                for a in range(part.start, part.stop, STEP):
+                    base(own, slice(a, min(part.stop, a + STEP)))
+            else:
+                for a in range(0, len(part), STEP):
+                    base(own, part[a : a + STEP])
+            scored += int(size[todo].sum()) * len(own)
+            left = np.flatnonzero(rest & (reach >= worst[own].min()))
+            left = left[np.argsort(index.points[leaves[left], 0])]
+            step = min(STEP, 4 * step)
+            todo = left[: int(np.searchsorted(np.cumsum(size[left]), step)) + 1]
+            rest[todo] = False
+
+    def visit(i: int, nodes: np.ndarray) -> None:
+        own = asked.order[slice(*asked.points[i])]
+        first, upto = asked.children[i]
+        leaves: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(nodes):
+            reach = bounds(asked, i, index, nodes)
+            live = reach >= worst[own].min()
+            nodes, reach = nodes[live], reach[live]
+            if upto > first:
+                break
+            leaf = index.children[nodes, 1] == index.children[nodes, 0]
+            leaves.append((nodes[leaf], reach[leaf]))
+            nodes = expanded(nodes[~leaf])
+        if upto == first:
+            return search(own, *map(np.concatenate, zip(*leaves, strict=True)))
+        if len(nodes):
+            below = expanded(nodes)
+            for child in range(first, upto):
+                visit(child, below)
 
     if len(queries) and len(data):
-        root = tree(queries)
-        root.worst = worst.min()
-        visit(root, tree(data))
-    return score, at
+        asked = tree(queries, ASKED_LEAF)
+        visit(0, np.zeros(1, np.int64))
+    return score, at, scored
 
 
 def centres(sample: np.ndarray, count: int) -> np.ndarray:
@@ -152,36 +259,84 @@ def centres(sample: np.ndarray, count: int) -> np.ndarray:
 
 
 def _assigned(rows: DataFrame, middle: np.ndarray) -> DataFrame:
-    """(row, vec_id, node, far, vector): quantised vectors in bytes with their nearest centre and the distance to it."""
+    """(row, vec_id, asked, node, far, vector): packed vectors with their nearest centre and the distance to it.
+
+    Vectors of another length than the centres form one node a length, numbered below 0, around the origin.
+    """
     square = (middle**2).sum(1)
 
     def make():
         def work(vectors: list[list[float]]) -> list[list]:
-            x = quantised(np.asarray(vectors, np.float64).reshape(len(vectors), -1))
-            node = (square[None, :] - 2 * x @ middle.T).argmin(1)
-            return [node, np.sqrt(((x - middle[node]) ** 2).sum(1)), [v.tobytes() for v in x]]
+            node, far, out = [0] * len(vectors), [0.0] * len(vectors), [b""] * len(vectors)
+            of: dict[int, list[int]] = {}
+            for k, v in enumerate(vectors):
+                of.setdefault(len(v), []).append(k)
+            for length, members in of.items():
+                x = quantised(np.asarray([vectors[k] for k in members], np.float64))
+                if length == middle.shape[1]:
+                    near = (square[None, :] - 2 * x @ middle.T).argmin(1)
+                    away = np.sqrt(((x - middle[near]) ** 2).sum(1))
+                else:
+                    near, away = np.full(len(x), -length), np.sqrt((x**2).sum(1))
+                for k, n, d, v in zip(members, near.tolist(), away.tolist(), x, strict=True):
+                    node[k], far[k], out[k] = n, d, packed(v)
+            return [node, far, out]
 
         return work
 
-    return map_column(rows, ["row", "vec_id"], "embedding", make, "node int, far double, vector binary")
+    return map_column(rows, ["row", "vec_id", "asked"], "embedding", make, "node int, far double, vector binary")
+
 
+_FOUND = "query long, row long, vec_id long, score long"
+_CELL = ["to_node", "to_part", "stream"]
 
-def _search(group: list[tuple], k: int) -> list[tuple[int, int, int | None, int]]:
-    """(query row, candidate row, vec_id, score) of one group of queries in one block of data."""
-    data, asked = [g for g in group if not g[2]], [g for g in group if g[2]]
-    if not data or not asked:
-        return []
-    array = lambda part: np.frombuffer(b"".join(g[5] for g in part)).reshape(len(part), -1)
-    rows = np.asarray([g[3] for g in data], np.int64)
-    ids = np.asarray([2**63 - 1 if g[4] is None else g[4] for g in data], np.int64)
-    asked_rows = np.asarray([g[3] for g in asked], np.int64)
-    known = np.asarray([g[6] for g in asked], np.int64)
-    score, at = dual_search(array(asked), asked_rows, array(data), rows, ids, k, known)
-    found = np.argwhere(at >= 0)
-    return [(asked[q][3], data[at[q, j]][3], data[at[q, j]][4], int(score[q, j])) for q, j in found.tolist()]
 
+def _searched(both: DataFrame, k: int) -> DataFrame:
+    """Partial lists from rows (to_node, to_part, stream, query, node, part, row, vec_id, vector, known).
 
-def top_k(vectors: DataFrame, is_query, k: int = TOP, block: int = BLOCK, group: int = GROUP) -> DataFrame:
+    Rows of a cell arrive with the data first, then the groups of queries one after another: a task holds one block with
+    its tree and one group.
+    """
+    import pyarrow as pa
+
+    names = ["query", "row", "vec_id", "score"]
+    array = lambda part, column: np.asarray([g[column] for g in part], np.int64)
+
+    def run(batches):
+        cell, data, index, rows, ids, shown, group = None, [], None, None, None, None, []
+
+        def done() -> list[tuple[int, int, int | None, int]]:
+            """Search of the group at hand in the block at hand."""
+            nonlocal index, rows, ids, shown, data, x
+            if not group or (index is None and not data):
+                return []
+            if index is None:
+                x, rows, shown = unpacked([g[8] for g in data]), array(data, 6), [g[7] for g in data]
+                ids, index, data = np.asarray([2**63 - 1 if v is None else v for v in shown], np.int64), tree(x), []
+            score, at, _ = dual_search(unpacked([g[8] for g in group]), array(group, 6), x, index, rows, ids, k, array(group, 9))
+            return [(group[q][6], int(rows[at[q, j]]), shown[at[q, j]], int(score[q, j])) for q, j in np.argwhere(at >= 0).tolist()]
+
+        x = None
+        for batch in batches:
+            found: list[tuple] = []
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:3] != cell:
+                    found += done()
+                    cell, data, index, group = row[:3], [], None, []
+                elif group and row[4:6] != group[0][4:6]:
+                    found += done()
+                    group = []
+                (group if row[3] else data).append(row)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=names)
+        if found := done():
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found, strict=True)], names=names)
+
+    dealt = both.repartition(*_CELL).sortWithinPartitions(*_CELL, "query", "node", "part", "row")
+    return dealt.mapInArrow(run, _FOUND)
+
+
+def top_k(vectors: DataFrame, is_query, k: int = TOP, block: int | None = None, group: int = GROUP, stream: int = STREAM) -> DataFrame:
     """query_id, rank, vec_id, score of the k best other rows for each row that is_query (a column) marks."""
     spark = vectors.sparkSession
     prepare(spark)
@@ -190,29 +345,38 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP, block: int = BLOCK, group:
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     if not common:
         return empty
-    rows = rows.where(F.size("embedding") == common[0]["n"])
-    drawn = rows.orderBy(F.xxhash64("row"), "row").select("embedding").limit(SAMPLE).collect()
-    middle = centres(quantised(np.asarray([r["embedding"] for r in drawn], np.float64)), max(1, min(CENTRES, -(-common[0]["rows"] // block))))
-    placed = staged(_assigned(rows, middle).join(rows.select(F.col("row").alias("of_row"), "asked"), F.col("row") == F.col("of_row")).drop("of_row"), "placed")
-    stats = placed.groupBy("node").agg(F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.count_if("asked").alias("asked"), F.max(F.when(F.col("asked"), F.col("far"))).alias("asked_far")).collect()  # a row a centre
+    total, length = common[0]["rows"], common[0]["n"]
+    block = block or max(1, min(max(LEAST_BLOCK, min(MOST_BLOCK, total // SHARES)), BLOCK_BYTES // (8 * length)))
+    drawn = rows.where(F.size("embedding") == length).orderBy(F.xxhash64("row"), "row").select("embedding").limit(SAMPLE).collect()
+    middle = centres(quantised(np.asarray([r["embedding"] for r in drawn], np.float64)), max(1, min(CENTRES, -(-total // block))))
+    placed = staged(_assigned(rows, middle), "placed")
+    stats = placed.groupBy("node").agg(
+        F.count(F.lit(1)).alias("n"), F.max("far").alias("far"), F.count_if("asked").alias("asked"), F.max(F.when(F.col("asked"), F.col("far"))).alias("asked_far")
+    ).collect()  # a row a centre, and one for each other length
     size = {s["node"]: s for s in stats}
-    parts = lambda key, rows_each: F.create_map(*(F.lit(int(x)) for n, s in size.items() for x in (n, -(-max(1, s[key]) // rows_each))))
-    deal = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "row"), count[F.col("node")]).cast("int")
-    data = placed.select(F.col("node").alias("at_node"), deal(1, parts("n", block)).alias("at_part"), "row", "vec_id", "vector")
-    asked = placed.where("asked").select("node", deal(2, parts("asked", group)).alias("part"), "row", "vec_id", "vector")
+    blocks = {n: -(-s["n"] // block) for n, s in size.items()}
+    groups = {n: -(-s["asked"] // group) for n, s in size.items()}
+    of_nodes = spark.createDataFrame([(n, blocks[n], max(1, groups[n])) for n in size], "at_node int, blocks int, groups int")
+    deal = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "row"), F.col(count)).cast("int")
+    dealt = placed.join(F.broadcast(of_nodes), F.col("node") == F.col("at_node"))  # as few rows as stats
+    data = dealt.select("node", deal(1, "blocks").alias("to_part"), "row", "vec_id", "vector")
+    asked = dealt.where("asked").select("node", deal(2, "groups").alias("part"), "row", "vec_id", "vector")
 
     def search(asked: DataFrame, pairs: list[tuple[int, int]]) -> DataFrame:
-        """Groups of queries of node a against all blocks of node b, for the node pairs (a, b)."""
-        nodes = [(a, -(-size[a]["asked"] // group), b, -(-size[b]["n"] // block)) for a, b in pairs]
-        cells = spark.createDataFrame(nodes, "of_node int, groups int, to_node int, blocks int")
-        cells = cells.withColumn("of_part", F.explode(F.expr("sequence(0, groups - 1)"))).withColumn("to_part", F.explode(F.expr("sequence(0, blocks - 1)")))
-        key = F.xxhash64("of_node", "of_part", "to_node", "to_part").alias("cell")
-        ours = asked.join(cells, (F.col("node") == F.col("of_node")) & (F.col("part") == F.col("of_part")))
-        ours = ours.select(key, F.col("to_node").alias("node"), F.lit(True).alias("query"), "row", "vec_id", "vector", "known")
-        theirs = data.join(cells, (F.col("at_node") == F.col("to_node")) & (F.col("at_part") == F.col("to_part")))
-        theirs = theirs.select(key, F.col("to_node").alias("node"), F.lit(False).alias("query"), "row", "vec_id", "vector", F.lit(0).cast("long").alias("known"))
-        both = ours.unionByName(theirs)
-        return by_group(both, ["cell", "node"], lambda g: _search(g, k), "query long, row long, vec_id long, score long", ["query", "row"])
+        """Groups of queries of node a against all blocks of node b, for the node pairs (a, b), of which there are CENTRES squared at most."""
+        visitors: dict[int, int] = {}
+        for a, b in pairs:
+            visitors[b] = visitors.get(b, 0) + size[a]["asked"]
+        streams = {b: -(-n // stream) for b, n in visitors.items()}
+        to = spark.createDataFrame([(a, b, blocks[b], streams[b]) for a, b in pairs], "of_node int, to_node int, blocks int, streams int")
+        copies = spark.createDataFrame(list(streams.items()), "to_node int, streams int")
+        ours = asked.join(F.broadcast(to), F.col("node") == F.col("of_node")).withColumn("to_part", F.explode(F.expr("sequence(0, blocks - 1)")))
+        own = F.pmod(F.xxhash64("node", "part"), F.col("streams")).cast("int").alias("stream")
+        ours = ours.select("to_node", "to_part", own, F.lit(True).alias("query"), "node", "part", "row", "vec_id", "vector", "known")
+        theirs = data.join(F.broadcast(copies), F.col("node") == F.col("to_node")).withColumn("stream", F.explode(F.expr("sequence(0, streams - 1)")))
+        zero = [F.lit(0).alias("part"), "row", "vec_id", "vector", F.lit(0).cast("long").alias("known")]
+        theirs = theirs.select("to_node", "to_part", "stream", F.lit(False).alias("query"), "node", *zero)
+        return _searched(theirs.unionByName(ours), k)
 
     asking = [n for n, s in size.items() if s["asked"]]
     if not asking:
@@ -227,8 +391,13 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP, block: int = BLOCK, group:
     pairs = []
     for a in asking:  # the nodes number CENTRES at most
         for b, s in size.items():
-            most = float(middle[a] @ middle[b]) + norm[a] * s["far"] + norm[b] * size[a]["asked_far"] + s["far"] * size[a]["asked_far"]
-            if a != b and most + 1e-9 * abs(most) + 1 >= worst[a]:
+            if a == b or min(a, b) < 0:
+                continue
+            r, far, product = size[a]["asked_far"], s["far"], float(middle[a] @ middle[b])
+            most = product + norm[a] * far + norm[b] * r + r * far
+            apart = max(0.0, float(np.sqrt(((middle[a] - middle[b]) ** 2).sum())) - r - far)
+            most = min(most, ((norm[a] + r) ** 2 + (norm[b] + far) ** 2 - apart**2) / 2)
+            if most + 1e-9 * ((norm[a] + r) ** 2 + (norm[b] + far) ** 2) + 1 >= worst[a]:
                 pairs.append((a, b))
     found = home.unionByName(search(asked, pairs)) if pairs else home
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -248,6 +417,6 @@ with own as (
 scored as (
   select q.row, q.vec_id as query_id, d.vec_id, list_inner_product(q.v, d.v)::bigint as score,
     row_number() over (partition by q.row order by list_inner_product(q.v, d.v) desc, d.vec_id, d.row) as nth
-  from own q join own d on q.vec_id % {EVERY} = 0 and q.row <> d.row)
+  from own q join own d on q.vec_id % {EVERY} = 0 and q.row <> d.row and len(q.v) = len(d.v))
 select query_id, nth::integer as rank, vec_id, score from scored where nth <= {TOP}
 """

@@ -94,10 +94,10 @@ def test_caps_of_empty_tables(spark):
     assert [tuple(r) for r in caps.near_duplicates(vectors(spark, [(5, None, 1)])).collect()] == [(5, 0, 5, True)]
 
 
-@pytest.mark.parametrize(("block", "group"), [(8192, 1024), (40, 3)])
-def test_top_k_equals_brute_force(spark, block, group):
+@pytest.mark.parametrize(("block", "group", "stream"), [(None, 1024, 1 << 18), (40, 3, 5)])
+def test_top_k_equals_brute_force(spark, block, group, stream):
     rows = clustered(2, 300)
-    found = covertree.top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, block=block, group=group).collect()
+    found = covertree.top_k(vectors(spark, rows), F.col("vec_id") % 10 == 0, block=block, group=group, stream=stream).collect()
     own = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows if valid(v) and len(v) == 16]
     expected = []
     for k, (i, q) in enumerate(own):
@@ -114,17 +114,66 @@ def test_top_k_of_few_rows(spark):
     assert covertree.top_k(two, F.col("vec_id") == 99).count() == 0
 
 
+def searched(data, every, known=None):
+    """Every `every`th vector asks all: checks the lists and gives the share of pairs that were scored."""
+    rows, queries = np.arange(len(data)), data[::every]
+    known = np.full(len(queries), covertree.NONE) if known is None else known
+    index = covertree.tree(data)
+    score, at, scored = covertree.dual_search(queries, rows[::every], data, index, rows, rows, 5, known)
+    for q in range(len(queries)):
+        s = (data @ queries[q]).astype(np.int64)
+        order = [i for i in np.lexsort((rows, -s)) if i != every * q][:5]
+        assert at[q].tolist() == order and score[q].tolist() == s[order].tolist()
+    # every node's ball covers its points, and its children share them out
+    for n in range(len(index.radius)):
+        low, high = index.points[n]
+        assert np.sqrt(((data[index.order[low:high]] - index.centre[n]) ** 2).sum(1)).max() <= index.radius[n] + 1e-9
+        first, upto = index.children[n]
+        assert first == upto or [low, high] == [index.points[first, 0], index.points[upto - 1, 1]]
+    assert sorted(index.order.tolist()) == rows.tolist() and len(index.radius) > 1
+    return scored / (len(queries) * len(data))
+
+
 def test_dual_search_prunes_exactly():
     rng = np.random.default_rng(5)
     data = np.floor(rng.normal(size=(3000, 8)) * 40 + 200 * rng.normal(size=(20, 8))[rng.integers(20, size=3000)])
-    queries = data[::30]
-    rows, none = np.arange(3000), np.full(100, covertree.NONE)
-    score, at = covertree.dual_search(queries, rows[::30], data, rows, rows, 5, none)
-    for q in range(100):
-        s = (data @ queries[q]).astype(np.int64)
-        order = [i for i in np.lexsort((rows, -s)) if i != 30 * q][:5]
-        assert at[q].tolist() == order and score[q].tolist() == s[order].tolist()
-    assert covertree.tree(data).children
+    assert searched(data, 30) < 0.1
+
+
+def test_dual_search_prunes_clusters_of_64_components():
+    rng = np.random.default_rng(6)
+    centre = rng.normal(size=(512, 64))
+    x = centre[rng.integers(512, size=8192)] + rng.normal(size=(8192, 64)) * 0.15
+    data = covertree.quantised(x / np.linalg.norm(x, axis=1, keepdims=True))
+    assert searched(data, 50) < 0.05
+
+
+def test_dual_search_of_copies_and_given_tables():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(4000, 64))
+    x[1000:3500] = x[0]
+    data = covertree.quantised(x / np.linalg.norm(x, axis=1, keepdims=True))
+    assert searched(data, 50) <= 1
+    path = "/root/testdata/sf0.1/embeddings.parquet"
+    if os.path.exists(path):
+        import pyarrow.parquet as pq
+
+        given = np.asarray(pq.read_table(path).column("embedding").to_pylist(), np.float64)
+        assert searched(covertree.quantised(given), 50) < 0.6
+
+
+def test_trees_of_small_and_lopsided_data():
+    rng = np.random.default_rng(8)
+    assert len(covertree.tree(np.zeros((0, 3))).radius) == 0 and len(covertree.tree(np.ones((500, 3))).radius) == 1
+    spread = 2.0 ** rng.integers(0, 30, size=(2000, 1)) * rng.normal(size=(2000, 3))  # a few points far from all others
+    searched(np.floor(spread), 100)
+
+
+def test_vectors_of_other_lengths_meet_their_like(spark):
+    rows = [(i, [float(i % 7), 1.0, 2.0], 0) for i in range(40)] + [(100 + i, [float(i), 1.0], 0) for i in range(4)] + [(200, [1.0], 0)]
+    found = covertree.top_k(vectors(spark, rows), F.col("vec_id") % 50 == 0, block=7, group=2).collect()
+    assert [(r.rank, r.vec_id, r.score) for r in sorted(found) if r.query_id == 100] == [(1, 101, 65536), (2, 102, 65536), (3, 103, 65536)]
+    assert {r.query_id for r in found} == {0, 100} and all(r.vec_id < 100 for r in found if r.query_id == 0)
 
 
 def test_products_of_any_size():
