@@ -165,7 +165,7 @@ def test_dual_search_of_copies_and_given_tables():
 def test_trees_of_small_and_lopsided_data():
     rng = np.random.default_rng(8)
     assert len(covertree.tree(np.zeros((0, 3))).radius) == 0 and len(covertree.tree(np.ones((500, 3))).radius) == 1
-    spread = 2.0 ** rng.integers(0, 30, size=(2000, 1)) * rng.normal(size=(2000, 3))  # a few points far from all others
+    spread = 2.0 ** rng.integers(0, 16, size=(2000, 1)) * rng.normal(size=(2000, 3))  # a few points far from all others
     searched(np.floor(spread), 100)
 
 
