@@ -18,12 +18,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tessera.llm.common import staged, table
 
 KINDS = ["assign", "access", "hex", "opaque"]
 #: Key characters of an opaque candidate at least; owners of a value that looks live at most.
 OPAQUE, OWNERS = 20, 2
+#: Matches whose positions are found by one fold.
+RUN = 128
 
 # fixed values: the base patterns
 ASSIGN = r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?)([A-Za-z0-9+/_.=-]+)"""
@@ -32,14 +35,18 @@ HEX = r"[0-9a-f]{24,}"
 KEY = rf"[A-Za-z0-9_-]{{{OPAQUE},}}"
 
 
-def _found(text: Column, pattern: str, kind: int, value: Column | None = None) -> Column:
-    """Array of (start, kind, end, value) of all matches, by position.
+def _let(value: Column, body) -> Column:
+    """body(value), with the value made once however often body names it."""
+    return F.transform(F.array(value), body)[0]
 
-    The stretches between matches and the matches themselves alternate, so their running lengths are the positions.
+
+def _found(text: Column, pattern: str, kind: int, group: int | None = None) -> Column:
+    """Array of (start, kind, end, value) of all matches, by position; value is a group of the pattern, or the match.
+
+    The stretches between matches and the matches themselves alternate, so their running lengths are the positions. A
+    fold copies the array that it extends, so runs of RUN matches are folded by themselves and then moved by the lengths of
+    the runs before: work is linear in the text for any number of matches that a text can hold.
     """
-    between = F.transform(F.split(text, pattern, -1), lambda x: F.length(x))
-    whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    value = whole if value is None else value
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     start = F.struct(F.lit(0).alias("at"), empty.alias("spans"))
 
@@ -49,23 +56,48 @@ def _found(text: Column, pattern: str, kind: int, value: Column | None = None) -
         span = F.struct(first.alias("start"), F.lit(kind).alias("kind"), last.alias("end"), x["value"].alias("value"))
         return F.struct(last.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans"))
 
-    steps = F.arrays_zip(between.alias("gap"), whole.alias("whole"), value.alias("value"))
-    steps = F.slice(steps, 1, F.size(whole))
-    return F.when(F.size(whole) > 0, F.aggregate(steps, start, step, lambda acc: acc["spans"])).otherwise(empty)
+    def moved(run: Column, by: Column) -> Column:
+        at = lambda s, k: (s[k] + by).alias(k)
+        return F.transform(run["spans"], lambda s: F.struct(at(s, "start"), s["kind"].alias("kind"), at(s, "end"), s["value"].alias("value")))
+
+    def placed(steps: Column) -> Column:
+        runs = F.transform(F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / RUN).cast("int")), lambda r: F.aggregate(F.slice(steps, r * RUN + 1, RUN), start, step))
+        before = lambda runs: F.aggregate(runs, F.array(F.lit(0)), lambda acc, run: F.concat(acc, F.array(F.element_at(acc, -1) + run["at"])))
+        return _let(runs, lambda runs: _let(before(runs), lambda by: F.flatten(F.transform(runs, lambda run, r: moved(run, by[r])))))
+
+    def zipped(whole: Column) -> Column:
+        between = F.slice(F.transform(F.split(text, pattern, -1), lambda x: F.length(x)), 1, F.size(whole))
+        value = whole if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+        return F.arrays_zip(between.alias("gap"), whole.alias("whole"), value.alias("value"))
+
+    found = lambda whole: F.when(F.size(whole) > 0, _let(zipped(whole), placed)).otherwise(empty)
+    return _let(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), found)
 
 
 def _base(text: Column) -> Column:
     """All base spans by start and kind. Patterns that need a length are safe as they stand: a run of hexadecimal or
     capital characters that is too short holds no longer one. An assignment is matched first and measured afterwards."""
-    secret = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
-    assign = F.filter(_found(text, ASSIGN, 0, secret), lambda s: F.length(s["value"]) >= 6)
+    assign = F.filter(_found(text, ASSIGN, 0, 2), lambda s: F.length(s["value"]) >= 6)
     return F.array_sort(F.concat(assign, _found(text, ACCESS, 1), _found(text, HEX, 2)))
 
 
-def _opaque(text: Column, base: Column) -> Column:
-    mixed = lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]")
-    alone = lambda s: ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    return F.filter(_found(text, KEY, 3), lambda s: mixed(s) & alone(s))
+def _opaque(text: Column) -> Column:
+    """Runs of key characters with digits and letters of both cases; some may overlap base spans."""
+    return F.filter(_found(text, KEY, 3), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[a-z]") & s["value"].rlike("[A-Z]"))
+
+
+def _alone(candidates: DataFrame) -> DataFrame:
+    """Candidates without the opaque ones that overlap a base span of their row.
+
+    In order of start, such a span begins with or before the opaque one and ends within or after it, or it comes next:
+    opaque spans do not overlap each other.
+    """
+    order = Window.partitionBy("row").orderBy("span.start", "span.kind")
+    base = F.col("span.kind") < 3
+    upto = F.max(F.when(base, F.col("span.end"))).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    after = F.lead(F.when(base, F.col("span.start"))).over(order)
+    covered = ~base & F.coalesce((upto > F.col("span.start")) | (after < F.col("span.end")), F.lit(False))
+    return candidates.withColumn("covered", covered).where("not covered").drop("covered")
 
 
 def _spell(spans: Column) -> Column:
@@ -75,7 +107,7 @@ def _spell(spans: Column) -> Column:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """One row per document: a row id, doc_id, source, and its base and opaque spans with hashed values."""
+    """One row per document: a row id, doc_id, source, and its base and opaque spans (overlapping or not) with hashed values."""
     hashed = lambda spans: F.transform(
         spans, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"), F.unhex(F.sha2(s["value"].cast("binary"), 256)).alias("hash"))
     )
@@ -84,7 +116,7 @@ def scan(docs: DataFrame) -> DataFrame:
     holds = F.col("text").rlike(f"{HEX}|{KEY}|AKIA[A-Z0-9]|{ASSIGN}")
     none = F.array().cast("array<struct<start:int,kind:int,end:int,value:string>>")
     own = own.withColumn("base", F.when(holds, _base(F.col("text"))).otherwise(none))
-    own = own.withColumn("more", F.when(F.col("text").rlike(KEY), _opaque(F.col("text"), F.col("base"))).otherwise(none))
+    own = own.withColumn("more", F.when(F.col("text").rlike(KEY), _opaque(F.col("text"))).otherwise(none))
     return own.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", hashed(F.col("base")).alias("base"), hashed(F.col("more")).alias("more"))
 
 
@@ -101,7 +133,7 @@ def secrets(docs: DataFrame, owners: int = OWNERS) -> DataFrame:
     scanned = staged(scan(docs), "secrets")
     every = F.concat("base", "more")
     candidates = scanned.where(F.size(every) > 0).select("row", "source", F.explode(every).alias("span"))
-    candidates = candidates.select("row", "source", "span", F.col("span.hash").alias("hash"))
+    candidates = _alone(candidates).select("row", "source", "span", F.col("span.hash").alias("hash"))
     counted = staged(ownership(candidates.select("hash", "source")), "ownership")
     judged = candidates.join(counted, F.col("hash") == F.col("of_hash"), "left").withColumn("live", F.col("owners") <= owners)
     opaque = F.when(F.col("live") & (F.col("span.kind") == 3), F.struct("span.start", "span.kind", "span.end"))

@@ -554,3 +554,16 @@ def test_secrets(spark):
 def test_secret_rows_repeat(spark):
     docs = spark.createDataFrame([(1, "token = abcdef1", "a"), (1, "token = abcdef1", "a"), (None, "token = abcdef1", None)], "doc_id long, text string, source string")
     assert [r.spans for r in secrets.secrets(docs).collect()] == ["assign:0:15"] * 3
+
+
+def test_secrets_of_many_matches(spark):
+    """Runs of matches are folded apart; positions hold over their borders, and opaque runs beside base spans stay whole."""
+    run = "0123456789abcdef01234567"
+    texts = [" ".join([run] * n) for n in (1, 127, 128, 129, 256, 1000)] + [f"token={run} é" * 300, "Ab1" * 10 + " " + f"{run}-Zz9 Kk1{run} x " * 200, f"{run} " * 100_000]
+    rows = {r.doc_id: r for r in secrets.secrets(documents(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        base = plain_secrets(text)
+        opaque = [(m.start(), 3, m.end()) for m in re.finditer(r"[A-Za-z0-9_-]{20,}", text) if all(re.search(c, m[0]) for c in ("[a-z]", "[A-Z]", "[0-9]"))]
+        opaque = [s for s in opaque if not any(a < s[2] and s[0] < b for a, _, b in base)] if len(base) < 10_000 else []
+        assert rows[i].base_sha256 == hashlib.sha256(",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in base).encode()).hexdigest()
+        assert rows[i].spans == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in sorted(base + opaque))
