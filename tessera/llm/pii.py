@@ -1,10 +1,11 @@
 """Personal data: base patterns, and a semi-Markov conditional random field that adds whole spans they miss.
 
 The base spans (email, ip, card, phone) are exact leftmost non-overlapping matches. The field scores candidate segments
-of up to MOST tokens (blanks not counted), and whole addresses with a spaced or spelled-out at sign whatever their length, by
+of up to MOST tokens (blanks not counted) and LONGEST characters, and whole addresses with a spaced or spelled-out at sign, by
 features of the whole span and its surroundings; a dynamic programme over each region of a line chooses boundaries and
 kinds together. Regions are the stretches around digits, at signs and spelled-out at signs, as far as a segment may reach:
-every segment must hold one, so nothing outside them can be chosen. Weights are fitted by maximum likelihood on sentences
+every segment must hold one, so nothing outside them can be chosen. A region of any length streams past: only segments that
+score above ordinary text are kept, and the programme is solved and let go wherever none of them crosses. Weights are fitted by maximum likelihood on sentences
 that are generated from a fixed seed, with look-alikes (dates, amounts, versions, identifiers) as ordinary text. A
 segment that overlaps a base span is dropped; base spans always stay.
 
@@ -16,7 +17,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
 from bisect import bisect_left
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -27,16 +30,19 @@ from tessera.llm.common import map_column, table
 KINDS = ["email", "ip", "card", "phone"]
 Span = tuple[int, int, int]  # start, kind, end
 
-#: Tokens of a segment at most, blanks not counted; whole addresses may have more.
-MOST = 20
-#: Labels that a domain name can have (253 characters with a dot between any two).
-LABELS = 127
+#: Tokens of a segment at most, blanks not counted, its characters, and its digits unless it has an at sign; whole addresses
+#: may have more.
+MOST, LONGEST, DIGITS = 20, 128, 20
+#: Labels that a domain name can have (253 characters with a dot between any two), and characters of an address at most.
+LABELS, LONGEST_ADDRESS = 127, 2048
+#: Segments whose features are made at a time.
+BLOCK = 4096
 
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 # a run of digits is taken whole and from its start: any other start of the pattern in it fails alike
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
-_CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
+_CARD = re.compile(r"[0-9]++(?:[ -][0-9]++)*+")  # digits with single marks between, as the pattern takes them
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _TRIGGER = re.compile(r"[0-9@]|[\[({] ?at ?[\])}]")
 _MARK = re.compile(r"[0-9]+|@|[\[({] ?at ?[\])}]")
@@ -54,11 +60,8 @@ def _digits(text: str) -> str:
 
 
 def luhn(digits: str) -> bool:
-    total = 0
-    for k, c in enumerate(reversed(digits)):
-        n = int(c) * (1 + k % 2)
-        total += n - 9 if n > 9 else n
-    return total % 10 == 0
+    doubled = (2 * n - 9 if n > 4 else 2 * n for n in map(int, digits[-2::-2]))
+    return (sum(map(int, digits[::-2])) + sum(doubled)) % 10 == 0
 
 
 def _small(part: str) -> bool:
@@ -81,7 +84,7 @@ def base_spans(text: str) -> list[Span]:
         if all(map(_small, m[0].split("."))):
             out.append((m.start(), 1, m.end()))
     for m in _CARD.finditer(text):
-        if m.end() - m.start() >= 12 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
+        if 12 <= m.end() - m.start() < 38 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
             out.append((m.start(), 2, m.end()))
     for m in _PHONE.finditer(text) if "+" in text else ():
         if 9 <= len(_digits(m[0])) <= 15:
@@ -110,31 +113,38 @@ _PHONE_SHAPES = [
 ]
 _DATE = re.compile(r"[0-9]{1,4}([-/.])[0-9]{1,2}\1[0-9]{1,4}")
 _NUMBER = re.compile(r"[0-9]{1,3}(?:[ ,.][0-9]{3})+(?:[.,][0-9]{1,2})?|[0-9]+[.,][0-9]+")
-_SHAPES = [*_EMAIL_SHAPES, *_IP_SHAPES, *_CARD_SHAPES, *_PHONE_SHAPES, _DATE, _NUMBER]
+_SHAPES = [s.fullmatch for s in (*_EMAIL_SHAPES, *_IP_SHAPES, *_CARD_SHAPES, *_PHONE_SHAPES, _DATE, _NUMBER)]
+_DIGITS = re.compile("[0-9]+")
 _CUES = [re.compile(x, re.IGNORECASE) for x in (r"mail|contact|write", r"\bip\b|host|address|server", r"card|visa|credit|payment", r"tel|phone|call|fax|mobile", r"order|ref|id|no\.?|version|isbn|total|date|v\.?$")]
 _EDGES = ((0, 6), (7, 8), (9, 9), (10, 10), (11, 11), (12, 12), (13, 15), (16, 16), (17, 19), (20, 99))
-FEATURES = 1 + len(_SHAPES) + len(_EDGES) + len(_CUES) + 15
-
-
-def _features(text: str, start: int, end: int) -> np.ndarray:
-    """Features of a whole candidate span and of what stands beside it."""
-    span = text[start:end]
-    digits = _digits(span)
-    n = len(digits)
-    before, after = text[start - 1 : start], text[end : end + 1]
-    parts = re.findall("[0-9]+", span)
-    ip = len(parts) == 4 and all(map(_small, parts)) and span.count(".") == 3
-    letters = sum(map(str.isalpha, span))
-    seps = {c for c in span if not c.isalnum()}
-    cue = text[max(0, start - 20) : start]
-    flags = [
-        True, *(bool(s.fullmatch(span)) for s in _SHAPES), *(a <= n <= b for a, b in _EDGES), *(bool(c.search(cue)) for c in _CUES),
-        12 <= n <= 19 and luhn(digits), 12 <= n <= 19 and not luhn(digits), ip, "@" in span, letters > 0, len(seps) > 2, n == len(span),
-        before.isalnum() or after.isalnum(), bool(before) and before in ".-/+@_#$€£:", bool(after) and after in "-/@_%€:" or after == "." and text[end + 1 : end + 2].isalnum(),
-        span[0] in "+(" or span[0].isalnum(), not span[-1].isalnum(), len(parts) > 5, " " in span and letters > 0,
-        bool(_SPELLED_DOT.match(text, end)),
-    ]
-    return np.asarray(flags, np.float64)
+FEATURES = 1 + len(_SHAPES) + len(_EDGES) + len(_CUES) + 17
+_NUMBER_BEFORE, _NUMBER_AFTER = re.compile(r"[0-9][0-9A-Za-z]* ?$"), re.compile(r" ?[0-9]{2}")
+
+
+def _features(text: str, spans: list[tuple[int, int]]) -> np.ndarray:
+    """(spans, FEATURES) features of whole candidate spans and of what stands beside them; spans in order of start."""
+    rows, at, cues = [], -1, []
+    for start, end in spans:
+        if start != at:
+            cue, at = text[max(0, start - 20) : start], start
+            cues = [*(bool(c.search(cue)) for c in _CUES), bool(_NUMBER_BEFORE.search(cue))]
+        span = text[start:end]
+        parts = _DIGITS.findall(span)
+        n = sum(map(len, parts))
+        before, after = text[start - 1 : start], text[end : end + 1]
+        ip = len(parts) == 4 and span.count(".") == 3 and all(map(_small, parts))
+        chars = set(span)
+        letters, seps = any(map(str.isalpha, chars)), sum(not c.isalnum() for c in chars)
+        long = 12 <= n <= 19
+        good = long and luhn("".join(parts))
+        rows.append(bytes((
+            True, *(s(span) is not None for s in _SHAPES), *(a <= n <= b for a, b in _EDGES), *cues,
+            good, long and not good, ip, "@" in span, letters, seps > 2, n == len(span),
+            before.isalnum() or after.isalnum(), before != "" and before in ".-/+@_#$€£:", after != "" and after in "-/@_%€:" or after == "." and text[end + 1 : end + 2].isalnum(),
+            span[0] in "+(" or span[0].isalnum(), not span[-1].isalnum(), len(parts) > 5, " " in span and letters,
+            _SPELLED_DOT.match(text, end) is not None, _NUMBER_AFTER.match(text, end) is not None,
+        )))
+    return np.frombuffer(b"".join(rows), np.uint8).reshape(-1, FEATURES).astype(np.float64)
 
 
 def _addresses(text: str, low: int, high: int) -> list[tuple[int, list[int]]]:
@@ -143,13 +153,15 @@ def _addresses(text: str, low: int, high: int) -> list[tuple[int, list[int]]]:
     for m in _AT.finditer(text, low, high):
         start = m.start() - (text[m.start() - 1 : m.start()] == " ")
         before = start
-        while start > low and text[start - 1] in _LOCAL:
+        least = max(low, before - LONGEST_ADDRESS)
+        while start > least and text[start - 1] in _LOCAL:
             start -= 1
-        label = _FIRST_LABEL.match(text, m.end(), high)
+        upto = min(high, start + LONGEST_ADDRESS)
+        label = _FIRST_LABEL.match(text, m.end(), upto)
         if start == before or not label:
             continue
         ends: list[int] = []
-        while len(ends) < LABELS - 1 and (label := _LABEL.match(text, label.end(), high)):
+        while len(ends) < LABELS - 1 and (label := _LABEL.match(text, label.end(), upto)):
             ends.append(label.end())
         if ends:
             out.append((start, ends))
@@ -165,7 +177,8 @@ def _regions(text: str) -> list[tuple[int, int]]:
             out[-1][1] = max(out[-1][1], high)
             continue
         # tokens are read backwards from the mark, to the line's start or the region before at most
-        least = max(text.rfind("\n", 0, m.start()) + 1, out[-1][1] if out else 0)
+        least = out[-1][1] if out else 0
+        least = max(text.rfind("\n", least, m.start()) + 1, least)
         low = m.start() - _REACH.match(text[least : m.start()][::-1]).end()
         if out and low <= out[-1][1]:
             out[-1][1] = high
@@ -183,41 +196,56 @@ def _regions(text: str) -> list[tuple[int, int]]:
     return [(low, high) for low, high in out]
 
 
-def _candidates(text: str, low: int, high: int):
-    """Token count, and segments (first token, token after the last, start, end) that hold a trigger."""
-    tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text, low, high)]
-    marks = {m.start() for m in _TRIGGER.finditer(text, low, high)}
-    live = [any(k in marks for k in range(a, b)) for a, b in tokens]
-    blank = [text[a:b].isspace() for a, b in tokens]
-    out = []
-    for i, (a, _) in enumerate(tokens):
-        if blank[i] or text[a] in ",;:!?])}'\"":
+def _tokens(text: str, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of the tokens of a region (one more than tokens), and the first trigger at or after each edge."""
+    edges = np.concatenate([[low], np.fromiter((m.end() for m in _TOKEN.finditer(text, low, high)), np.int64)])
+    marks = np.concatenate([np.fromiter((m.start() for m in _TRIGGER.finditer(text, low, high)), np.int64), [high]])
+    return edges, marks[np.searchsorted(marks, edges).clip(max=len(marks) - 1)]
+
+
+def _candidates(text: str, low: int, high: int, edges: np.ndarray, marks: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
+    """Segments (first token, token after the last, start, end) that hold a trigger, by their first token."""
+    whole: dict[int, list[int]] = {}
+    for a, after in _addresses(text, low, high):
+        while a < after[0] and not (text[a].isalnum() and edges[np.searchsorted(edges, a)] == a):
+            a += 1
+        i = int(np.searchsorted(edges, a))
+        if edges[i] == a:
+            known = whole.setdefault(i, [])
+            known += [j for b in after if text[b - 1].isalnum() and edges[j := int(np.searchsorted(edges, b))] == b and j not in known]
+    n = len(edges) - 1
+    at, first = 0, 0  # a stretch of the tokens as plain lists
+    a_of: list[int] = []
+    for i in range(n):
+        if i + 2 * MOST + 2 > at + len(a_of) and at + len(a_of) < n + 1:
+            at, first = i, i
+            a_of = edges[i : i + BLOCK].tolist()
+            live = (marks[i : i + BLOCK] < edges[np.minimum(np.arange(i + 1, i + len(a_of) + 1), n)]).tolist()
+            blank = [text[a : a + 1].isspace() for a in a_of]
+        k = i - first
+        a = a_of[k]
+        if blank[k] or text[a] in ",;:!?])}'\"":
             continue
-        holds = weight = count = 0
-        for j in range(i, len(tokens)):
-            if blank[j]:
-                continue
-            count += 1
-            if count > MOST:
+        holds = False
+        weight = count = 0
+        more, j = whole.get(i, ()), k
+        while j < len(a_of) - 1 and i + j - k < n:
+            b = a_of[j + 1]
+            if b - a > LONGEST:
                 break
-            holds |= live[j]
-            b = tokens[j][1]
-            weight += (b - tokens[j][0]) * live[j]
-            if not holds or not text[b - 1].isalnum() or b - a < 7:
-                continue
-            if weight >= 4 or "@" in text[a:b] or "at" in text[a:b]:
-                out.append((i, j + 1, a, b))
-    if found := _addresses(text, low, high):
-        starts, ends = {a: i for i, (a, _) in enumerate(tokens)}, {b: i + 1 for i, (_, b) in enumerate(tokens)}
-        known = set(out)
-        for a, after in found:
-            while a < after[0] and (a not in starts or not text[a].isalnum()):
-                a += 1
-            for b in after:
-                if a in starts and b in ends and text[b - 1].isalnum() and (s := (starts[a], ends[b], a, b)) not in known:
-                    known.add(s)
-                    out.append(s)
-    return len(tokens), out
+            if not blank[j]:
+                count += 1
+                if count > MOST:
+                    break
+                holds |= live[j]
+                weight += (b - a_of[j]) * live[j]
+                if holds and b - a >= 7 and text[b - 1].isalnum() and (at + j + 1) not in more:
+                    # seven digits, four with the dots of an address, or an at sign
+                    if 7 <= weight <= DIGITS or (span := text[a:b]).count(".") >= 3 and 4 <= weight <= DIGITS or "@" in span or "at" in span:
+                        yield i, at + j + 1, a, b
+            j += 1
+        for end in more:
+            yield i, end, a, int(edges[end])
 
 
 def _lattice(n: int, segments: list, scores: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,7 +302,7 @@ def _examples(count: int, seed: int):
         lambda: f"${rng.integers(1, 999)},{digits(3)}.{digits(2)}", lambda: f"{digits(1)}.{digits(1)}.{digits(2)}", lambda: digits(int(rng.integers(1, 9))),
         lambda: fours(card(False), pick(" ", "-", ".")), lambda: card(False), lambda: digits(10), lambda: f"{digits(3)}-{digits(2)}-{digits(2)}", lambda: f"{byte()}.{byte()}.{byte()}",
         lambda: f"{300 + int(digits(2))}.{byte()}.{byte()}.{byte()}", lambda: f"{digits(2)}:{digits(2)}:{digits(2)}", lambda: f"{digits(3)},{digits(3)},{digits(3)}", lambda: f"{digits(5)} {digits(4)}",
-        lambda: "".join(pick(*"0123456789abcdef") for _ in range(24)), lambda: f"@{word()}", lambda: f"{digits(3)} {digits(3)} {digits(3)}", lambda: f"{digits(13)}", lambda: f"v{digits(1)}.{digits(1)}.{digits(1)}.{digits(1)}-{word()}",
+        lambda: "".join(pick(*"0123456789abcdef") for _ in range(24)), lambda: f"@{word()}", lambda: f"{pick('DE', 'FR', 'GB', 'ES')}{digits(2)} {' '.join(digits(4) for _ in range(rng.integers(3, 6)))}{pick('', f' {digits(2)}')}", lambda: f"{digits(3)} {digits(3)} {digits(3)}", lambda: f"{digits(13)}", lambda: f"v{digits(1)}.{digits(1)}.{digits(1)}.{digits(1)}-{word()}",
     ]
     for _ in range(count):
         text, gold = "", []
@@ -297,10 +325,11 @@ def weights(count: int = 500, rounds: int = 4, seed: int = 3) -> np.ndarray:
     prepared = []
     for text, gold in _examples(count, seed):
         for low, high in _regions(text):
-            n, segments = _candidates(text, low, high)
+            edges, marks = _tokens(text, low, high)
+            n, segments = len(edges) - 1, list(_candidates(text, low, high, edges, marks))
             if not segments:
                 continue
-            x = np.asarray([_features(text, a, b) for _, _, a, b in segments])
+            x = _features(text, [s[2:] for s in segments])
             y = np.zeros((len(segments), len(KINDS)))
             for k, (_, _, a, b) in enumerate(segments):
                 for start, kind, end in gold:
@@ -323,38 +352,70 @@ def weights(count: int = 500, rounds: int = 4, seed: int = 3) -> np.ndarray:
     return w
 
 
+def _best(kept: list[array]) -> Iterator[tuple[int, int, int]]:
+    """The segments (start, kind, end) on the best path through the kept ones (first token, after, kind, score, start, end)."""
+    first, after, kind, score, start, end = kept
+    low, count = min(first), max(after) - min(first)
+    ending = sorted(range(len(after)), key=after.__getitem__)
+    best, back, at = [0.0] * (count + 1), array("q", [-1]) * (count + 1), 0
+    for t in range(1, count + 1):
+        best[t] = best[t - 1]
+        while at < len(ending) and after[k := ending[at]] - low == t:
+            if best[first[k] - low] + score[k] > best[t]:
+                best[t], back[t] = best[first[k] - low] + score[k], k
+            at += 1
+    t = count
+    while t:
+        k = back[t]
+        if k < 0:
+            t -= 1
+        else:
+            yield start[k], kind[k], end[k]
+            t = first[k] - low
+
+
 def added_spans(text: str, base: list[Span], w: np.ndarray) -> list[Span]:
     """Segments on the best path that overlap no base span."""
     out: list[Span] = []
-    longest = max((b - a for a, _, b in base), default=0)
+    starts, ends = array("q"), array("q")  # the base spans as stretches apart
+    for a, _, b in base:
+        if starts and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def free(a: int, b: int) -> bool:
+        k = bisect_left(starts, b) - 1
+        return k < 0 or ends[k] <= a
+
+    new = lambda: [array(t) for t in "qqqdqq"]
     for low, high in _regions(text):
-        n, segments = _candidates(text, low, high)
-        if not segments:
-            continue
-        near = [(a, b) for a, _, b in base[bisect_left(base, (low - longest, 0, 0)) : bisect_left(base, (high, 0, 0))] if b > low]
-        free = [s for s in segments if not any(a < s[3] and s[2] < b for a, b in near)]
-        if not free:
-            continue
-        scores = np.asarray([_features(text, a, b) for _, _, a, b in free]) @ w.T
-        kind, score = scores.argmax(1), scores.max(1)
-        best, back = np.zeros(n + 1), [None] * (n + 1)
-        ending: list[list[int]] = [[] for _ in range(n + 1)]
-        for k, s in enumerate(free):
-            if score[k] > 0:  # a segment scored below its tokens as ordinary text is on no best path
-                ending[s[1]].append(k)
-        for t in range(1, n + 1):
-            best[t] = best[t - 1]
-            for k in ending[t]:
-                if best[free[k][0]] + score[k] > best[t]:
-                    best[t], back[t] = best[free[k][0]] + score[k], k
-        t = n
-        while t:
-            k = back[t]
-            if k is None:
-                t -= 1
-            else:
-                out.append((free[k][2], int(kind[k]), free[k][3]))
-                t = free[k][0]
+        kept, upto, block = new(), 0, []
+
+        def scored() -> None:
+            """Keep the segments of the block that score above ordinary text: others are on no best path."""
+            nonlocal upto
+            scores = _features(text, [s[2:] for s in block]) @ w.T
+            for (i, j, a, b), k, value in zip(block, scores.argmax(1).tolist(), scores.max(1).tolist(), strict=True):
+                if value > 0:
+                    for column, x in zip(kept, (i, j, k, value, a, b), strict=True):
+                        column.append(x)
+                    upto = max(upto, j)
+            block.clear()
+
+        for s in _candidates(text, low, high, *_tokens(text, low, high)):
+            if len(block) >= BLOCK:
+                scored()
+            if not block and kept[0] and upto <= s[0]:
+                out += _best(kept)
+                kept = new()
+            if free(s[2], s[3]):
+                block.append(s)
+        if block:
+            scored()
+        if kept[0]:
+            out += _best(kept)
     return sorted(out)
 
 

@@ -2,9 +2,11 @@
 
 import base64
 import hashlib
+import itertools
 import random
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pytest
@@ -484,7 +486,92 @@ def test_spelled_addresses_are_found_whole(address):
     text = f"write to {address}, or come on 2024-02-03"
     assert (9, 0, 9 + len(address)) in pii.all_spans(text, pii.weights())[1]
     low, high = next(r for r in pii._regions(text) if r[0] <= 9 < r[1])
-    assert (9, 9 + len(address)) in [s[2:] for s in pii._candidates(text, low, high)[1]]
+    assert (9, 9 + len(address)) in [s[2:] for s in pii._candidates(text, low, high, *pii._tokens(text, low, high))]
+
+
+def plain_candidates(text, low, high):
+    """Segments of a region by trying all pairs of tokens."""
+    tokens = [(m.start(), m.end()) for m in pii._TOKEN.finditer(text, low, high)]
+    marks = {m.start() for m in pii._TRIGGER.finditer(text, low, high)}
+    starts, whole, out = {a for a, _ in tokens}, set(), set()
+    for a, after in pii._addresses(text, low, high):
+        while a < after[0] and not (a in starts and text[a].isalnum()):
+            a += 1
+        whole |= {(a, b) for b in after}
+    for i, (a, _) in enumerate(tokens):
+        for j in range(i, len(tokens)):
+            b = tokens[j][1]
+            full = [t for t in tokens[i : j + 1] if not text[t[0] : t[1]].isspace()]
+            live = [t for t in full if any(k in marks for k in range(*t))]
+            if (a, b) in whole and text[a].isalnum() and text[b - 1].isalnum():
+                out.add((a, b))
+            fits = len(full) <= pii.MOST and 7 <= b - a <= pii.LONGEST and live and not text[a].isspace() and text[a] not in ",;:!?])}'\"" and text[b - 1].isalnum()
+            weight = sum(t[1] - t[0] for t in live)
+            if fits and ("@" in text[a:b] or "at" in text[a:b] or (4 if text.count(".", a, b) >= 3 else 7) <= weight <= pii.DIGITS):
+                out.add((a, b))
+    return out
+
+
+def test_candidates_equal_all_pairs(monkeypatch):
+    rng = random.Random(4)
+    parts = ["12", "4111 ", " ", "x", "ab ", "@", "a@b.c ", " [at] ", " [dot] ", ".", "-", "(", ")", "at", "é1", "12345678901234567890 "]
+    for block in (4096, 45):
+        monkeypatch.setattr(pii, "BLOCK", block)
+        for _ in range(60):
+            text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 90)))
+            for low, high in pii._regions(text):
+                found = [s[2:] for s in pii._candidates(text, low, high, *pii._tokens(text, low, high))]
+                assert len(found) == len(set(found)) and set(found) == plain_candidates(text, low, high)
+
+
+def test_best_segments_equal_enumeration():
+    rng = random.Random(6)
+    for _ in range(100):
+        segments = [(i, i + rng.randint(1, 4), k % 4, rng.uniform(0.1, 3), 10 * i, 10 * i + 1) for k, i in enumerate(rng.randrange(8) for _ in range(rng.randint(1, 9)))]
+        subsets = (sorted(s for k, s in enumerate(segments) if n >> k & 1) for n in range(1, 2 ** len(segments)))
+        plain = max(sum(s[3] for s in some) for some in subsets if all(a[1] <= b[0] for a, b in itertools.pairwise(some)))
+        scores = {}
+        for s in segments:
+            scores[s[4], s[2], s[5]] = max(s[3], scores.get((s[4], s[2], s[5]), 0))
+        found = list(pii._best([array(t, c) for t, c in zip("qqqdqq", zip(*segments))]))
+        assert sum(scores[s] for s in found) >= plain - 1e-9
+
+
+#: Written by hand, in forms that the generated sentences need not have.
+SHOWN = [
+    ("Please write to anna.schmidt (at) uni-koeln.de before Monday.", "anna.schmidt (at) uni-koeln.de"), ("Mail: bob [at] startup [dot] io", "bob [at] startup [dot] io"),
+    ("reach me @ carla @ post.example.org today", "carla @ post.example.org"), ("Call (415) 555-0132 after six", "(415) 555-0132"), ("tel. 212-555-0187, room 4", "212-555-0187"),
+    ("my mobile: 06 12 34 56 78", "06 12 34 56 78"), ("fax 1-800-555-0199", "1-800-555-0199"), ("card 4111.1111.1111.1111 exp 12/27", "4111.1111.1111.1111"),
+    ("paid by visa 4012 - 8888 - 8888 - 1881 yesterday", "4012 - 8888 - 8888 - 1881"), ("host 192[.]168[.]10[.]21 is down", "192[.]168[.]10[.]21"),
+    ("The number is 646.555.0142 and nothing else", "646.555.0142"), ("schreib an j.meier [at] web [dot] de bitte", "j.meier [at] web [dot] de"),
+]
+CLEAN = [
+    "IBAN DE89 3704 0044 0532 0130 00 for the transfer", "ISBN 978-3-16-148410-0 second edition", "the meeting of 2024-05-17 at 14:30:00", "total of 1,234,567.89 euro",
+    "version 10.4.2.1-beta was released", "order 4567 8901 of 12/11/2023", "lat 52.5200 lon 13.4050", "between 1914 and 1918, 1939 and 1945", "serial 0123456789abcdef01234567",
+    "look at 17 (at least) of 24", "pages 120-135, 140-152", "GB29 NWBK 6016 1331 9268 19", "score 21 - 14 - 7 - 3", "see section 3.2.1.4 of the report", "room 1024, floor 3", "EAN 4006381333931",
+]
+
+
+def test_field_on_sentences_written_by_hand():
+    w = pii.weights()
+    spans = lambda text: [text[a:b] for a, _, b in pii.all_spans(text, w)[1]]
+    assert sum(value in spans(text) for text, value in SHOWN) >= 0.8 * len(SHOWN)
+    assert sum(not spans(text) for text in CLEAN) >= 0.8 * len(CLEAN)
+
+
+def test_pii_of_long_dense_texts():
+    """Texts without a break cost by their length."""
+    import time
+
+    w = pii.weights()
+    for piece in ("1234 5678 9012 3456 ", "7 ", "a1 b2 c3. ", "12345678901234567890", "a@b.c "):
+        took = []
+        for n in (10_000, 40_000):
+            text = piece * (n // len(piece))
+            began = time.process_time()
+            pii.all_spans(text, w)
+            took.append(time.process_time() - began)
+        assert took[1] < 8 * took[0] + 0.5
 
 
 def test_lattice_equals_enumeration():
