@@ -4,7 +4,8 @@ Every line of a text is labelled good or bad. A line's evidence is its own featu
 after it; neighbouring labels are tied by transition weights. Marginals come from forward-backward in log space, run for
 many documents side by side, and a document's quality is their mean weighted by line length, put through a logistic
 calibration. Labels exist for documents only: in training each line bears its document's label. The weights are fitted
-by gradient on a bounded sample of labelled documents (SAMPLE a class), features computed on executors.
+by gradient on a bounded sample of labelled documents (SAMPLE a class, TRAIN_LINES lines in a row of each), features
+computed on executors. Scoring reads every line of every text, in blocks.
 
 Defined cases: a null or empty text is one empty line; a label row with a null or another value than 0 or 1 is ignored;
 of labels repeated for a document each counts; without labels of both kinds every score is 0.5; repeated rows give equal
@@ -14,7 +15,10 @@ rows; an empty table gives an empty result; other columns are ignored, whatever
 from __future__ import annotations
 
 import operator
+import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from math import exp, log
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -22,11 +26,13 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import fold, map_column, table
 
-#: Labelled documents a class that training reads.
-SAMPLE = 1500
+#: Labelled documents a class that training reads, and lines of each at most.
+SAMPLE, TRAIN_LINES = 1500, 96
 STEPS, RATE, DECAY = 250, 0.05, 1e-3
-#: Documents scored side by side, and their characters; bytes that are counted at a time.
-GROUP, CHARACTERS, PIECE = 500, 1 << 20, 1 << 20
+#: Documents whose features are made at once in training; lines and characters of a block; bytes that are counted at a time.
+GROUP, LINES, CHARACTERS, PIECE = 100, 20_000, 1 << 20, 1 << 20
+#: Texts that go side by side at least.
+FEW = 8
 
 _CLASSES = [b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b" \t\r\x0b\x0c", b".", b",;:", b"!?", b"|", b"#$%&*+/<=>@\\^_`{}~", b"\"'()-[]"]
 _OTHER, _N = len(_CLASSES), len(_CLASSES) + 2
@@ -51,33 +57,31 @@ def _class_counts(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return count
 
 
-def _groups(texts: list[str | None]):
-    """Stretches of at most GROUP texts and, unless one is longer, CHARACTERS."""
-    at = 0
-    while at < len(texts):
-        upto, size = at, 0
-        while upto < len(texts) and upto - at < GROUP and (upto == at or size + len(texts[upto] or "") <= CHARACTERS):
-            size += len(texts[upto] or "")
-            upto += 1
-        yield texts[at:upto]
-        at = upto
+def _blocks(texts: Iterable[tuple[list[str], int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(features by itself, length) of the lines of all texts, in blocks of bounded lines and characters.
 
-
-def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features (lines, 3 * OWN + 2), line lengths, and the number of lines of each text."""
-    lines, counts, words = [], [], []
-    for text in texts:
-        own = (text or "").split("\n")
-        seen: set[str] = set()
-        lines += own
-        counts.append(len(own))
-        for line in own:
+    A text is given as its lines and the number of those before the first that is wanted.
+    """
+    lines: list[str] = []
+    words: list[tuple] = []
+    size = 0
+    for own, skip in texts:
+        seen: set[str] = set(own[:skip])
+        for line in own[skip:] if skip else own:
             parts = line.split()
             n = len(parts)
-            again = line in seen if n else False
+            lines.append(line)
+            words.append((n, len(set(parts)), sum(map(operator.eq, parts, parts[1:])) if n > 1 else 0, line in seen if n else False))
             seen.add(line)
-            same = sum(map(operator.eq, parts, parts[1:])) if n > 1 else 0
-            words.append((n, len(set(parts)), same, again))
+            size += len(line)
+            if len(lines) >= LINES or size >= CHARACTERS:
+                yield _own(lines, words)
+                lines, words, size = [], [], 0
+    if lines:
+        yield _own(lines, words)
+
+
+def _own(lines: list[str], words: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
     encoded = [line.encode() for line in lines]
     lengths = np.fromiter(map(len, encoded), np.int64, len(encoded))
     flat = np.frombuffer(b"".join(encoded), np.uint8)
@@ -87,14 +91,35 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     size = np.maximum(n, 1)
     letters = np.maximum(count[:, 0] + count[:, 1] + count[:, -1], 1)
     more = [np.ones(len(lines)), np.log1p(lengths) / 5, lengths / size / 10, distinct / size, same / size, again, count[:, 1] / letters]
-    own = np.column_stack([share, np.sqrt(share), *more])
-    ends = np.cumsum(counts)
-    starts = ends - counts
+    return np.column_stack([share, np.sqrt(share), *more]), lengths
+
+
+def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features (lines, 3 * OWN + 2), line lengths, and the number of lines of each text: TRAIN_LINES of them at most.
+
+    Of a longer text these are lines in a row from a place that a checksum of the text gives.
+    """
+    given, want, counts = [], [], []
+    for text in texts:
+        own = (text or "").split("\n")
+        n = len(own)
+        first = zlib.crc32((text or "").encode()) % (n - TRAIN_LINES + 1) if n > TRAIN_LINES else 0
+        low, high = max(0, first - 1), min(n, first + TRAIN_LINES + 1)  # with the neighbours of the first and the last
+        given.append((own[:high], low))
+        want.append((low, high, first, min(n, first + TRAIN_LINES), n))
+        counts.append(want[-1][3] - first)
+    parts = list(_blocks(given))
+    own, lengths = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     before, after = np.roll(own, 1, axis=0), np.roll(own, -1, axis=0)
-    before[starts], after[ends - 1] = 0, 0
-    edge = np.zeros((len(lines), 2))
-    edge[starts, 0], edge[ends - 1, 1] = 1, 1
-    return np.concatenate([own, before, after, edge], axis=1).astype(np.float32), lengths, np.asarray(counts)
+    edge, chosen, at = np.zeros((len(own), 2)), np.zeros(len(own), bool), 0
+    for low, high, first, upto, n in want:
+        if first == 0:
+            before[at], edge[at, 0] = 0, 1
+        if upto == n:
+            after[at + high - low - 1], edge[at + high - low - 1, 1] = 0, 1
+        chosen[at + first - low : at + upto - low] = True
+        at += high - low
+    return np.concatenate([own, before, after, edge], axis=1)[chosen].astype(np.float32), lengths[chosen], np.asarray(counts)
 
 
 @dataclass
@@ -135,6 +160,54 @@ def marginals(evidence: np.ndarray, ties: np.ndarray, counts: np.ndarray):
     return np.exp(ahead[:, 1] + behind[:, 1] - total[of]), pairs, total
 
 
+def _step(x: float, ties: list[list[float]], way: int) -> float:
+    """log((e^t[0][1] + e^(t[1][1] + x)) / (e^t[0][0] + e^(t[1][0] + x))) forward, with the ties turned round backward."""
+    a, b, c, d = ties[0][0], ties[0][1], ties[1][0], ties[1][1]
+    if way:
+        b, c = c, b
+    shift, other = (0.0, x) if x <= 0 else (-x, 0.0)
+    return log(exp(b + shift) + exp(d + other)) - log(exp(a + shift) + exp(c + other))
+
+
+def good_lines(evidence: np.ndarray, ties: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """P(good) of every line, as marginals gives it, by log odds: ahead, those of a line given the lines up to it, and behind.
+
+    Lines at the same place of many texts go side by side; where fewer than FEW texts go on, each goes alone.
+    """
+    order = np.argsort(-counts, kind="stable")
+    starts, sizes = (np.cumsum(counts) - counts)[order], counts[order]
+    live = np.searchsorted(-sizes, -np.arange(sizes.max(initial=0)), side="left")  # texts with more than t lines
+    common = int((live >= FEW).sum())
+    alone = [(int(s), int(s + n)) for s, n in zip(starts.tolist(), sizes.tolist(), strict=True) if n > common]
+    ahead, behind, t = evidence.astype(np.float64), np.zeros(len(evidence)), ties.tolist()
+    for k in range(1, common):
+        at = starts[: live[k]] + k
+        last = ahead[at - 1]
+        ahead[at] += np.logaddexp(t[0][1], t[1][1] + last) - np.logaddexp(t[0][0], t[1][0] + last)
+    for start, end in alone:
+        own = evidence[start + common : end].tolist()
+        x = float(ahead[start + common - 1]) if common else None
+        for k, e in enumerate(own):
+            x = own[k] = e if x is None else e + _step(x, t, 0)
+        ahead[start + common : end] = own
+        own = evidence[start + common : end].tolist()
+        x = 0.0
+        for k in range(len(own) - 1, -1, -1):
+            e, own[k] = own[k], x
+            x = _step(e + x, t, 1)
+        behind[start + common : end] = own
+    for k in range(common - 2, -1, -1):
+        at = starts[: live[k + 1]] + k
+        later = evidence[at + 1] + behind[at + 1]
+        behind[at] = np.logaddexp(t[1][0], t[1][1] + later) - np.logaddexp(t[0][0], t[0][1] + later)
+    for start, _ in alone if common else ():
+        at = start + common - 1
+        behind[at] = _step(float(evidence[at + 1] + behind[at + 1]), t, 1)
+        for k in range(at - 1, start - 1, -1):
+            behind[k] = _step(float(evidence[k + 1] + behind[k + 1]), t, 1)
+    return 1 / (1 + np.exp(-np.clip(ahead + behind, -500, 500)))
+
+
 def pooled(good: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Mean of the marginals of each text weighted by line length; an empty line weighs as one byte."""
     of, weight = np.repeat(np.arange(len(counts)), counts), np.maximum(lengths, 1)
@@ -178,14 +251,18 @@ def train(x: np.ndarray, lengths: np.ndarray, counts: np.ndarray, quality: np.nd
 
 
 def score_texts(model: Model | None, texts: list[str | None]) -> np.ndarray:
-    if model is None:
+    if model is None or not texts:
         return np.full(len(texts), 0.5)
-    out = []
-    for group in _groups(texts):
-        x, lengths, counts = line_features(group)
-        z = _logit(pooled(marginals(x @ model.weights, model.ties, counts)[0], lengths, counts))
-        out.append(1 / (1 + np.exp(-(model.slope * z + model.shift))))
-    return np.concatenate(out) if out else np.zeros(0)
+    # a line's evidence is a sum over its own features and its neighbours', so three numbers a line are kept
+    own_w, before_w, after_w, first_w, last_w = np.split(model.weights, [OWN, 2 * OWN, 3 * OWN, 3 * OWN + 1])
+    parts = [(own @ np.column_stack([own_w, before_w, after_w]), lengths) for own, lengths in _blocks(((t or "").split("\n"), 0) for t in texts)]
+    x, lengths = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    counts = np.asarray([(t or "").count("\n") + 1 for t in texts])
+    ends = np.cumsum(counts)
+    before, after = np.roll(x[:, 1], 1), np.roll(x[:, 2], -1)
+    before[ends - counts], after[ends - 1] = first_w[0], last_w[0]
+    z = _logit(pooled(good_lines(x[:, 0] + before + after, model.ties, counts), lengths, counts))
+    return 1 / (1 + np.exp(-(model.slope * z + model.shift)))
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -201,17 +278,18 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     def make():
         def work(texts: list[str | None]) -> list[list]:
             out: list[list] = [[], []]
-            for group in _groups(texts):
-                x, lengths, counts = line_features(group)
+            for at in range(0, len(texts), GROUP):
+                x, lengths, counts = line_features(texts[at : at + GROUP])
                 for column, values in zip(out, (x, lengths), strict=True):
                     column += [v.tobytes() for v in np.split(values, np.cumsum(counts)[:-1])]
             return out
 
         return work
 
-    # at most 2 * SAMPLE ids are broadcast
-    texts = docs.select("doc_id", "text").join(F.broadcast(drawn), F.col("doc_id") == F.col("of_doc"))
-    rows = map_column(texts, ["quality", "doc_id"], "text", make, "x binary, lengths binary").limit(4 * SAMPLE).collect()
+    # at most 2 * SAMPLE ids are broadcast; as many rows return, of TRAIN_LINES lines each at most
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("key")).join(F.broadcast(drawn), F.col("doc_id") == F.col("of_doc"))
+    found = map_column(texts, ["quality", "doc_id", "key"], "text", make, "x binary, lengths binary")
+    rows = found.orderBy(F.xxhash64("doc_id"), "doc_id", "key", "quality").limit(2 * SAMPLE).collect()
     if len({r["quality"] for r in rows}) < 2:
         return None
     rows.sort(key=lambda r: (r["doc_id"], r["quality"], bytes(r["x"])))

@@ -437,6 +437,47 @@ def test_marginals_equal_enumeration():
         at += n
 
 
+def test_log_odds_give_the_marginals(monkeypatch):
+    rng = np.random.default_rng(5)
+    for few in (1, 3, 8, 100):
+        monkeypatch.setattr(quality, "FEW", few)
+        counts = rng.integers(1, 30, size=12)
+        evidence, ties = rng.normal(size=counts.sum()) * 5, rng.normal(size=(2, 2))
+        assert np.allclose(quality.good_lines(evidence, ties, counts), quality.marginals(evidence, ties, counts)[0])
+    assert np.isfinite(quality.good_lines(np.asarray([1e4, -1e4, 1e4]), ties, np.asarray([3]))).all()
+
+
+def test_scores_do_not_depend_on_the_blocks(monkeypatch):
+    rng = np.random.default_rng(6)
+    model = quality.Model(rng.normal(size=3 * quality.OWN + 2), rng.normal(size=(2, 2)), 1.5, 0.1)
+    texts = [*ODD, "a b\nc c c\n\na b\n" * 40]
+    plain = []
+    for text in texts:  # through the whole matrix of features
+        monkeypatch.setattr(quality, "TRAIN_LINES", 10**6)
+        x, lengths, counts = quality.line_features([text])
+        good = quality.marginals(x @ model.weights, model.ties, counts)[0]
+        plain.append(1 / (1 + np.exp(-(model.slope * quality._logit(quality.pooled(good, lengths, counts)) + model.shift))))
+    for lines, characters in ((20_000, 1 << 20), (3, 5)):
+        monkeypatch.setattr(quality, "LINES", lines)
+        monkeypatch.setattr(quality, "CHARACTERS", characters)
+        assert np.allclose(quality.score_texts(model, texts), np.concatenate(plain), atol=1e-4)
+    # lines of a window have the features that they have in the whole text
+    long = "\n".join(f"w{i % 50} x{i}" * (i % 7) for i in range(500))
+    whole = quality.line_features([long])[0]
+    monkeypatch.setattr(quality, "TRAIN_LINES", 96)
+    some, _, counts = quality.line_features([long, "a"])
+    assert counts.tolist() == [96, 1] and any((whole[k : k + 96] == some[:96]).all() for k in range(405))
+
+
+def test_quality_of_many_lines():
+    import time
+
+    model = quality.Model(np.zeros(3 * quality.OWN + 2), np.zeros((2, 2)), 1.0, 0.0)
+    began = time.process_time()
+    assert quality.score_texts(model, ["\n" * 1_000_000]).tolist() == [0.5]
+    assert time.process_time() - began < 60
+
+
 def test_quality_on_held_out_texts(spark):
     rng = random.Random(9)
     texts = [t for _ in range(150) for t in graded(rng)]
