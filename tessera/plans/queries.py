@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geometry as G
 from tessera.functions import learning, text
 from tessera.operators import crops, dedup, folds, history, qa, review, scoring, tiling, tracker, versions
+from tessera.sources.staging import shared_folder
 from tessera.streaming import watch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -452,7 +453,7 @@ def watch_stream(spark, sf_dir):
     import uuid
 
     schema = _table(spark, sf_dir, "events").schema
-    base = (spark.conf.get("spark.checkpoint.dir", None) or f"/tmp/tessera-{uuid.uuid4().hex}").rstrip("/") + f"/watch-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/watch-{uuid.uuid4().hex}"
     issues = watch.issue_stream(spark, sf_dir, schema, "events.parquet").select(F.col("user_id").alias("id"), F.col("event_type").alias("state"))
     watch.collect_ready(watch.ready_once(issues, "purchase"), f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema("id long, state string").parquet(f"{base}/out").select("id", F.lit(True).alias("seen"))

@@ -1,15 +1,33 @@
-"""Cutting lineage where a result must not be computed twice in two ways."""
+"""The shared folder, and cutting lineage where a result must not be computed twice in two ways."""
 
 from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share, as a whole URI.
+
+    It is spark.checkpoint.dir; a path without a scheme lies in the default file system. Where the setting is absent, a
+    local session takes a temporary folder and sets it; on a cluster that is an error, as no machine's own disk is shared.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext._jsc.sc().isLocal():
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    scheme, _, rest = whole.partition(":")
+    return whole if rest.startswith("//") else f"{scheme}://{rest}"
 
 
 def frozen(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint of a table, in the folder of spark.checkpoint.dir, or in a local one where that is unset."""
+    """A reliable checkpoint of a table, in the shared folder."""
     spark = df.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessera-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()

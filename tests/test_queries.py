@@ -38,3 +38,22 @@ def test_query(spark, duck, name, tmp_path):
 
 def test_entry_gives_rows(spark):
     assert entry.entry(spark).count() > 0 and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_shared_folder(spark, tmp_path):
+    from tessera.sources.staging import shared_folder
+
+    conf, known = spark.sparkContext._jsc.hadoopConfiguration(), spark.conf.get("spark.checkpoint.dir")
+    try:
+        # a path without a scheme lies in the default file system, whichever that is
+        conf.set("fs.viewfs.mounttable.stub.link./data", f"file://{tmp_path}")
+        conf.set("fs.defaultFS", "viewfs://stub/")
+        spark.conf.set("spark.checkpoint.dir", "/data/shared")
+        assert shared_folder(spark) == "viewfs://stub/data/shared"
+        spark.range(3).write.parquet(f"{shared_folder(spark)}/t")
+        assert (tmp_path / "shared/t/_SUCCESS").exists()
+        conf.set("fs.defaultFS", "file:///")
+        assert shared_folder(spark) == "file:///data/shared"
+    finally:
+        conf.set("fs.defaultFS", "file:///")
+        spark.conf.set("spark.checkpoint.dir", known)
