@@ -7,22 +7,28 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path as a whole URI; without a scheme it lies in the default file system."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
+    scheme, _, rest = whole.partition(":")
+    return whole if rest.startswith("//") else f"{scheme}://{rest}"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, as a whole URI.
 
-    It is spark.checkpoint.dir; a path without a scheme lies in the default file system. Where the setting is absent, a
-    local session takes a temporary folder and sets it; on a cluster that is an error, as no machine's own disk is shared.
+    It is spark.checkpoint.dir, or else the context's checkpoint folder. Where neither is set, a local session takes a
+    temporary folder; on a cluster that is an error, as no machine's own disk is shared.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not found:
-        if not spark.sparkContext._jsc.sc().isLocal():
+        if not context._jsc.sc().isLocal():
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
-    whole = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString().rstrip("/")
-    scheme, _, rest = whole.partition(":")
-    return whole if rest.startswith("//") else f"{scheme}://{rest}"
+        context.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="tessera-"))
+        found = context.getCheckpointDir()
+    return qualified(spark, found)
 
 
 def frozen(df: DataFrame) -> DataFrame:

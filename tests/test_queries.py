@@ -41,19 +41,17 @@ def test_entry_gives_rows(spark):
 
 
 def test_shared_folder(spark, tmp_path):
-    from tessera.sources.staging import shared_folder
+    from tessera.sources.staging import qualified, shared_folder
 
-    conf, known = spark.sparkContext._jsc.hadoopConfiguration(), spark.conf.get("spark.checkpoint.dir")
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
     try:
         # a path without a scheme lies in the default file system, whichever that is
         conf.set("fs.viewfs.mounttable.stub.link./data", f"file://{tmp_path}")
         conf.set("fs.defaultFS", "viewfs://stub/")
-        spark.conf.set("spark.checkpoint.dir", "/data/shared")
-        assert shared_folder(spark) == "viewfs://stub/data/shared"
-        spark.range(3).write.parquet(f"{shared_folder(spark)}/t")
+        assert qualified(spark, "/data/shared/") == "viewfs://stub/data/shared"
+        spark.range(3).write.parquet(qualified(spark, "/data/shared/t"))
         assert (tmp_path / "shared/t/_SUCCESS").exists()
-        conf.set("fs.defaultFS", "file:///")
-        assert shared_folder(spark) == "file:///data/shared"
+        assert qualified(spark, "file:///a/b") == "file:///a/b"
     finally:
         conf.set("fs.defaultFS", "file:///")
-        spark.conf.set("spark.checkpoint.dir", known)
+    assert qualified(spark, "/a/b") == "file:///a/b" and shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
