@@ -13,8 +13,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch. Texts can be long, so batches stay far below Spark's default of 10,000 rows.
-BATCH_ROWS = 1000
+from tessera.sources.staging import shared_folder
+
+#: Rows and bytes of an Arrow batch. Texts can be long, so batches stay far below Spark's default of 10,000 rows.
+BATCH_ROWS, BATCH_BYTES = 1000, 16 << 20
 #: Rows of a partition of a staged table of small rows, and of a table of texts.
 ROWS_A_PART, TEXTS_A_PART = 20_000, 8_000
 
@@ -24,9 +26,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> None:
-    """Make the package importable on executors and bound the rows of an Arrow batch."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    """Make the package importable on executors and bound an Arrow batch by rows and bytes.
+
+    The bounds are settings of the session, as Spark takes them when a query is planned; lower ones stay.
+    """
+    size = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    for setting, read, most in (("maxRecordsPerBatch", int, BATCH_ROWS), ("maxBytesPerBatch", size, BATCH_BYTES)):
+        if not 0 < read(spark.conf.get(f"spark.sql.execution.arrow.{setting}")) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{setting}", str(most))
     context = spark.sparkContext
     if getattr(context, "_tessera_shipped", False):
         return
@@ -39,15 +46,6 @@ def prepare(spark: SparkSession) -> None:
     context._tessera_shipped = True
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or a local one where that is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="tessera-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/") if "://" in found else "file://" + os.path.abspath(found)
-
-
 def drop_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
@@ -56,7 +54,7 @@ def drop_path(spark: SparkSession, path: str) -> None:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tessera/{name}-{uuid.uuid4().hex}"
 
     def gone() -> None:
         try:

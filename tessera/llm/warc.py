@@ -7,7 +7,8 @@
    writes a sidecar index (offset, length, type, digest, record id), so that any record can be read by one seek.
 4. Reading goes by the index, member by member, and parses the records.
 
-Files lie in the shared folder and are opened through pyarrow's file systems by its scheme. Every file is written under
+Files lie in the shared folder and are opened through pyarrow's file systems by the scheme of the store that holds it (file,
+hdfs, s3 and its names s3a and s3n, gs, abfss). Every file is written under
 an attempt's own name and then moved to its final one, so tasks may run again or twice. Records and file order follow
 the partitioning, but the rows read back do not depend on it.
 
@@ -121,10 +122,24 @@ def parse(raw: bytes) -> tuple[int | None, int, str, str, int | None]:
 # --- files in the shared folder
 
 
+#: Schemes that clusters use for stores which pyarrow knows by another name.
+SCHEMES = {"s3a": "s3", "s3n": "s3", "gcs": "gs"}
+
+
+def resolved(spark: SparkSession, folder: str) -> str:
+    """A folder by the store that holds it, behind mount tables and links; it is made if need be."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    store.mkdirs(path)
+    scheme, _, rest = store.resolvePath(path).toString().partition(":")
+    return f"{scheme}:{rest}" if rest.startswith("//") else f"{scheme}://{rest}"
+
+
 def _filesystem(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri)
+    scheme, _, rest = uri.partition("://")
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}://{rest}")
 
 
 class _Output:
@@ -264,7 +279,7 @@ def archive(pages: DataFrame, least_bytes: int = LEAST_BYTES, folder: str | None
     """(files of the normalised archives with their monolithic sources, index of all records)."""
     spark = pages.sparkSession
     prepare(spark)
-    folder = folder or new_path(spark, "warc")
+    folder = resolved(spark, folder or new_path(spark, "warc"))
     raw = staged(write_archives(judge(pages, least_bytes), folder), "warc-raw")
     spread = raw.repartition(max(1, min(raw.count(), 10_000)), "archive")
     return raw, staged(normalise(spread, folder), "warc-index")

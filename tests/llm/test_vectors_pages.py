@@ -233,6 +233,23 @@ def test_archives_round_trip(spark, pages, tmp_path):
     assert not [f for _, _, names in os.walk(tmp_path) for f in names if f.endswith(".part")]
 
 
+def test_archives_in_other_stores(spark, pages, tmp_path, monkeypatch):
+    """A store that pyarrow knows by another name, and one behind a mount table that only Hadoop reads."""
+    rows, df = pages
+    assert warc._filesystem.__globals__["SCHEMES"]["s3a"] == "s3"
+    monkeypatch.setitem(warc.SCHEMES, "stub", "file")
+    (tmp_path / "x").mkdir()
+    out = warc._Output(f"stub://{tmp_path}/x/a.warc.gz")
+    out.write(b"abc")
+    out.close()
+    with warc._input(f"stub://{tmp_path}/x/a.warc.gz") as file:
+        assert file.read() == b"abc"
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.pages.link./data", f"file://{tmp_path}")
+    _, index = warc.archive(df, folder="viewfs://pages/data/out")
+    assert (tmp_path / "out/records").is_dir()
+    assert sorted(map(str, plain_pages(rows))) == sorted(str(tuple(r)) for r in warc.read_records(index.select("archive").distinct()).collect())
+
+
 def test_least_bytes_and_empty_tables(spark, pages):
     rows, df = pages
     judged = {r.page_id: r.revisit for r in warc.judge(df, least_bytes=10**6).collect()}
