@@ -4,7 +4,7 @@ Filters are the directions of a structured random product code: a vector is rota
 a codebook of random directions, and a filter is one codeword a block. A vector's list holds all filters whose direction
 it exceeds a threshold with; list decoding finds them by combining the blocks' sorted scores, without visiting the other
 filters. The size of the code follows the number of vectors, so that a filter holds about one of them by chance; the
-threshold is set on random directions for lists of LIST filters, and a vector with fewer than LEAST takes its best ones.
+threshold is set on random directions for lists of LIST filters, and a vector with too few (least_list) takes its best ones.
 
 Vectors of one label with a common filter meet in a bucket. Equal vectors form one class beforehand. Buckets are verified
 in blocks of about BLOCK members with all pairs of blocks, in double precision; a pair counts only in the least filter
@@ -29,8 +29,8 @@ from tessera.llm.components import components
 from tessera.llm.vectors import by_group, numbered, valid_vectors
 
 COSINE = 0.98
-#: Filters of a vector on average, and at least.
-LIST, LEAST = 48, 16
+#: Filters of a vector on average, and at least; the least list doubles for every DOUBLES doublings of the table beyond 2**FULL.
+LIST, LEAST, FULL, DOUBLES = 48, 16, 17, 4.5
 #: Members of a block of a bucket, about.
 BLOCK = 512
 #: Codes of more filters than this are made of four blocks instead of two.
@@ -109,29 +109,39 @@ def code(length: int, count: int, size: int = LIST, seed: int = 5) -> Code:
     return made
 
 
-def filters(classes: DataFrame, count: int, size: int) -> DataFrame:
-    """Adds the list of filters to (class, label, n, vector as doubles in bytes)."""
+def least_list(count: int) -> int:
+    """Filters that every vector has at least: LEAST, and more in large tables, whose longer codes hit a pair less often."""
+    return LEAST << max(0, int(np.ceil((np.log2(max(1, count)) - FULL) / DOUBLES)))
+
+
+def filters(classes: DataFrame, count: int, size: int, wide: bool, exact: bool) -> DataFrame:
+    """(class, label, n, vector in bytes, list of filters) of (class, label, n, embedding); exact gives all one filter."""
+    least = least_list(count)
 
     def make():
-        def work(vectors: list[bytes]) -> list[list]:
-            out: list = [None] * len(vectors)
+        def work(vectors: list[list[float]]) -> list[list]:
+            out: list = [[0]] * len(vectors)
             of: dict[int, list[int]] = {}
-            for k, v in enumerate(vectors):
-                of.setdefault(len(v) // 8, []).append(k)
+            for k, v in enumerate(vectors if not exact else ()):
+                of.setdefault(len(v), []).append(k)
             for length, rows in of.items():
                 own = code(length, count, size)
                 for at in range(0, len(rows), 256):
                     part = rows[at : at + 256]
-                    x = np.frombuffer(b"".join(vectors[k] for k in part)).reshape(len(part), length)
+                    x = np.asarray([vectors[k] for k in part], np.float64)
                     x = x / np.abs(x).max(1, keepdims=True)
                     scores = own.scores(x / np.linalg.norm(x, axis=1, keepdims=True))
                     for k, s in zip(part, scores, strict=True):
-                        out[k] = own.decode(s, own.least, LEAST)
-            return [out]
+                        out[k] = own.decode(s, own.least, least)
+            return [[np.asarray(v, _dtype(wide)).tobytes() for v in vectors], out]
 
         return work
 
-    return map_column(classes.withColumn("of_vector", F.col("vector")), ["class", "label", "n", "vector"], "of_vector", make, "filters array<long>")
+    return map_column(classes, ["class", "label", "n"], "embedding", make, "vector binary, filters array<long>")
+
+
+def _dtype(wide: bool) -> str:
+    return "<f8" if wide else "<f4"
 
 
 def _forest(links: np.ndarray) -> list[tuple[int, int]]:
@@ -149,13 +159,13 @@ def _forest(links: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def verify(group: list[tuple], cosine: float) -> list[tuple[int, int | None, int]]:
+def verify(group: list[tuple], cosine: float, wide: bool = True) -> list[tuple[int, int | None, int]]:
     """Links of a block or of a pair of blocks of the bucket of one filter: (class, null, links) and (class, class, 0)."""
-    _, here, one, other = group[0][:4]
+    one, other = group[0][2:4]
     lengths = [len(g[7]) for g in group]
     if len(set(lengths)) > 1:  # vectors of different lengths do not meet
-        return [x for n in sorted(set(lengths)) for x in verify([g for g in group if len(g[7]) == n], cosine)]
-    x = np.frombuffer(b"".join(g[7] for g in group)).reshape(len(group), -1)
+        return [x for n in sorted(set(lengths)) for x in verify([g for g in group if len(g[7]) == n], cosine, wide)]
+    x = np.frombuffer(b"".join(g[7] for g in group), _dtype(wide)).reshape(len(group), -1).astype(np.float64)
     x = x / np.abs(x).max(1, keepdims=True)
     norm = np.sqrt((x * x).sum(1))
     links = (x @ x.T) / (norm[:, None] * norm[None, :]) >= cosine
@@ -167,7 +177,7 @@ def verify(group: list[tuple], cosine: float) -> list[tuple[int, int | None, int
     if not len(near):
         return []
     # a pair counts in the least filter that both lists hold
-    before = [[f for f in group[k][8] if f < here] for k in near]
+    before = [group[k][8] for k in near]
     names = {f: i for i, f in enumerate(sorted({f for fs in before for f in fs}))}
     if names:
         held = np.zeros((len(near), len(names)), np.float32)
@@ -180,8 +190,12 @@ def verify(group: list[tuple], cosine: float) -> list[tuple[int, int | None, int
     return out + [(group[i][5], group[j][5], 0) for i, j in _forest(links)]
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, size: int = LIST, block: int = BLOCK) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row of (vec_id, embedding, label)."""
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, size: int = LIST, block: int = BLOCK, exact: bool = False) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row of (vec_id, embedding, label).
+
+    exact compares all vectors of a label by blocks instead of those that share a filter: no link is missed, at a price
+    that grows with the square of a label's distinct vectors.
+    """
     spark = vectors.sparkSession
     prepare(spark)
     good = valid_vectors(vectors) & F.col("label").isNotNull() & F.coalesce(F.exists("embedding", lambda x: x != 0), F.lit(False))
@@ -193,9 +207,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, size: int = LIST
         F.min("row").alias("class"), F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("rep"), F.first("embedding").alias("embedding")
     )
     classes = staged(classes, "vector-classes")
-    double = F.col("embedding").cast("array<double>")
-    packed = _packed(classes.select("class", "label", "n", double.alias("doubles")))
-    listed = staged(filters(packed, classes.count(), size), "filters")
+    wide = vectors.schema["embedding"].dataType.elementType.typeName() != "float"
+    listed = staged(filters(classes.select("class", "label", "n", "embedding"), classes.count(), size, wide, exact), "filters")
     entries = listed.select("class", "label", F.explode("filters").alias("filter"))
     seen = lambda seed: F.bit_xor(F.xxhash64(F.lit(seed), "class"))
     buckets = entries.groupBy("label", "filter").agg(F.count(F.lit(1)).alias("members"), seen(1).alias("x"), seen(2).alias("y")).where("members > 1")
@@ -208,8 +221,10 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, size: int = LIST
     met = met.select("label", "filter", F.least("mine", "beside").alias("one"), F.greatest("mine", "beside").alias("other"), F.col("mine").alias("side"), F.col("class").alias("member"))
     whole = listed.select("class", "n", "vector", "filters")
     met = met.join(whole, F.col("member") == F.col("class")).drop("class")
-    met = met.select("label", "filter", "one", "other", "side", "member", "n", "vector", "filters")
-    found = staged(by_group(met, ["label", "filter", "one", "other"], lambda g: verify(g, cosine), "a long, b long, links long"), "vector-links")
+    # the lists are sorted: the part before this filter tells whether a pair met in a lesser one
+    before = F.slice("filters", F.lit(1), (F.array_position("filters", F.col("filter")) - 1).cast("int"))
+    met = met.select("label", "filter", "one", "other", "side", "member", "n", "vector", before.alias("before"))
+    found = staged(by_group(met, ["label", "filter", "one", "other"], lambda g: verify(g, cosine, wide), "a long, b long, links long"), "vector-links")
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     labels = components(found.where("b is not null").select("a", "b"), found.count())
     named = labels.join(classes.select("class", "rep"), F.col("node") == F.col("class")).select("node", "root", "rep")
@@ -225,15 +240,6 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, size: int = LIST
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.col("vec_id").eqNullSafe(component).alias("kept"))
 
 
-def _packed(classes: DataFrame) -> DataFrame:
-    """The doubles of each vector as bytes."""
-
-    def make():
-        return lambda vectors: [[np.asarray(v, np.float64).tobytes() for v in vectors]]
-
-    return map_column(classes, ["class", "label", "n"], "doubles", make, "vector binary")
-
-
 def op3_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"))
 
