@@ -4,7 +4,8 @@ Whole texts are cut into windows of WINDOW bytes; in each, one recurrence runs f
 a distribution over languages from both states, and a document's distribution is the mean over all its bytes of letters:
 digits, signs and blanks have labels too but tell no language. Training
 is backpropagation through time over a bounded sample of labelled windows (parameters below); prediction reads every
-byte of every text and nothing else.
+byte of every text and nothing else. Beside the languages there is a label for none of them, learned from the same windows
+with their letters in disguise; it is never predicted, but its share keeps the score of texts in other languages low.
 
 Defined cases: a text that is null or has no letter is `und` with score 0; repeated rows give equal rows; where no
 labelled row exists every text is `und`; an empty table gives an empty result; other columns are ignored.
@@ -44,8 +45,8 @@ class Model:
     table: np.ndarray  # (2, 256, 3 units): what a byte adds to the gates of each direction, biases included
     recur: np.ndarray  # (2, units, 3 units)
     inner: np.ndarray  # (2, units): bias of the candidate's recurrent part
-    out: np.ndarray  # (2 units, languages)
-    bias: np.ndarray  # (languages,)
+    out: np.ndarray  # (2 units, languages and none of them)
+    bias: np.ndarray  # (languages and none of them,)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -53,7 +54,7 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def _start(languages: list[str], seed: int) -> Model:
-    rng, n = np.random.default_rng(seed), len(languages)
+    rng, n = np.random.default_rng(seed), len(languages) + 1
     normal = lambda *shape, scale: (rng.standard_normal(shape) * scale).astype(np.float32)
     model = Model(
         languages, normal(2, 256, 3 * UNITS, scale=0.3), normal(2, UNITS, 3 * UNITS, scale=UNITS**-0.5),
@@ -117,8 +118,28 @@ def _gradients(model: Model, text: np.ndarray, label: np.ndarray) -> tuple[Model
     return grads, float(loss)
 
 
+def disguise(rng: np.random.Generator) -> list[bytes]:
+    """A table of bytes that turns a text of a known language into one of none.
+
+    Vowels trade places and consonants do, or all letters do, or letters move to another script; blanks, digits and
+    signs stay. Bytes within longer characters trade places too.
+    """
+    vowels, table = b"aeiouy", [bytes([b]) for b in range(256)]
+    letters = bytes(range(ord("a"), ord("z") + 1))
+    way = rng.integers(3)
+    groups = [letters] if way else [vowels, bytes(set(letters) - set(vowels))]
+    script = int(rng.integers(0xC4, 0xE0))
+    for group in groups:
+        for old, new in zip(group, rng.permutation(list(group)).tolist(), strict=True):
+            for shift in (0, 32):
+                table[old - shift] = bytes([new - shift]) if way < 2 else bytes([script, 0x80 + (new - ord("a")) + shift])
+    for old, new in zip(range(0x80, 0xC0), rng.permutation(0x40).tolist(), strict=True):
+        table[old] = bytes([0x80 + new])
+    return table
+
+
 def train(samples: list[tuple[bytes, str]], seed: int = 0, steps: int = STEPS) -> Model | None:
-    """Adam over random spans of the samples, languages drawn evenly."""
+    """Adam over random spans of the samples, languages drawn evenly, and as often spans in none of them (disguise)."""
     languages = sorted({language for _, language in samples})
     if not languages:
         return None
@@ -127,14 +148,18 @@ def train(samples: list[tuple[bytes, str]], seed: int = 0, steps: int = STEPS) -
     of = [[text for text, language in samples if language == x] for x in languages]
     model = _start(languages, seed)
     weights = [model.table, model.recur, model.inner, model.out, model.bias]
+    none = len(languages)
     batch = max(1, BATCH * FULL_LANGUAGES // max(FULL_LANGUAGES, len(languages)))
     steps = steps * BATCH // batch
     mean, square = [np.zeros_like(w) for w in weights], [np.zeros_like(w) for w in weights]
     for step in range(1, steps + 1):
-        label = rng.integers(len(languages), size=batch)
+        label = rng.integers(none + 1, size=batch)
         text = np.zeros((SPAN, batch), np.uint8)
         for i, x in enumerate(label):
-            chosen = of[x][rng.integers(len(of[x]))]
+            own = of[x if x < none else rng.integers(none)]
+            chosen = own[rng.integers(len(own))]
+            if x == none:
+                chosen = b"".join(map(disguise(rng).__getitem__, chosen))
             at = rng.integers(max(1, len(chosen) - SPAN + 1))
             piece = np.frombuffer(chosen[at : at + SPAN], np.uint8)
             text[: len(piece), i] = piece
@@ -169,7 +194,7 @@ class Predictor:
         self.inner = model.inner.reshape(-1)
 
     def positions(self, text: np.ndarray) -> np.ndarray:
-        """(rows, time) bytes to (time, rows, languages) probabilities."""
+        """(rows, time) bytes to (time, rows, languages and none of them) probabilities."""
         u, (rows, time) = UNITS, text.shape
         columns = np.ascontiguousarray(text.T)
         states = np.empty((2, time, rows, u), np.float32)
@@ -214,7 +239,7 @@ class Predictor:
     def documents(self, texts: list[bytes]) -> np.ndarray:
         """Mean distribution over the bytes of letters of each text; every text has one."""
         text, lengths, of = self.windows(texts)
-        total = np.zeros((len(texts), len(self.model.languages)))
+        total = np.zeros((len(texts), len(self.model.bias)))
         order = np.argsort(lengths, kind="stable")
         most = max(1, ROWS * 8 // max(8, len(self.model.languages)))
         for at in range(0, len(order), most):
@@ -227,18 +252,19 @@ class Predictor:
 
 
 def sample(docs: DataFrame) -> list[tuple[bytes, str]]:
-    """A bounded sample of labelled windows: about SAMPLE_DOCS documents of every language (fewer if there are very many), drawn by a hash of text and id."""
+    """A bounded sample of labelled windows: about SAMPLE_DOCS documents of every language (fewer if there are very many), drawn by a hash of id and text."""
     known = docs.where("text is not null and lang is not null")
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return []
     most = max(1, SAMPLE_DOCS * FULL_LANGUAGES // max(FULL_LANGUAGES, len(counts)))
     share = F.from_json(F.lit(json.dumps({lang: min(1.0, most / n) for lang, n in counts.items()})), "map<string,double>")
-    draw = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(1_000_003)) / 1_000_003
+    draw = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1_000_003)) / 1_000_003
     at = lambda k: F.substring("text", (draw(k + 1) * F.length("text")).cast("int") + 1, F.lit(SAMPLE_CHARS))
     drawn = known.where(draw(0) < share[F.col("lang")])
-    drawn = drawn.select("lang", *(at(k).alias(f"w{k}") for k in range(SAMPLE_WINDOWS)))
-    rows = drawn.limit(4 * most * len(counts)).collect()
+    names = [f"w{k}" for k in range(SAMPLE_WINDOWS)]
+    drawn = drawn.select("lang", draw(0).alias("drawn"), *(at(k).alias(name) for k, name in enumerate(names)))
+    rows = drawn.orderBy("drawn", "lang", *names).limit(4 * most * len(counts)).collect()  # many equal rows may be drawn at once
     return [(r[f"w{k}"].encode(), r["lang"]) for r in rows for k in range(SAMPLE_WINDOWS) if _LETTER.search(r[f"w{k}"])]
 
 
@@ -252,7 +278,7 @@ def predict(docs: DataFrame, keep: list[str], model: Model | None) -> DataFrame:
             label, score = ["und"] * len(texts), [0.0] * len(texts)
             known = [i for i, text in enumerate(texts) if predictor and text and _LETTER.search(text)]
             if known:
-                p = predictor.documents([texts[i].encode() for i in known])
+                p = predictor.documents([texts[i].encode() for i in known])[:, : len(model.languages)]
                 for i, best, value in zip(known, p.argmax(1), p.max(1), strict=True):
                     label[i], score[i] = model.languages[best], min(1.0, float(value))
             return [label, score]

@@ -391,9 +391,24 @@ def test_the_language_stage_rejects_by_score(spark, corpus):
     short = [sentence(rng, lang, 4) for lang in WORDS for _ in range(30)]
     rows = spark.createDataFrame([(1000 + i, t, None, "s", None) for i, t in enumerate(noise + short)], DOCS)
     kept = {r.doc_id for r in corpus_pipeline.language(spark, corpus.union(rows), "").select("doc_id").collect()}
-    assert sum(1000 + i in kept for i in range(100)) < 90
+    assert sum(1000 + i in kept for i in range(100)) < 10
     assert sum(1100 + i in kept for i in range(90)) >= 86 and sum(i in kept for i in range(400)) >= 396
-    assert [round(corpus_pipeline.least_score(n), 4) for n in (0, 1, 2, 4, 400)] == [1, 1, 0.65, 0.475, 0.3018]
+    assert [round(corpus_pipeline.least_score(n), 4) for n in (1, 2, 4, 400)] == [0.65, 0.5333, 0.44, 0.3017]
+    # nothing can be judged without a language: texts with a letter stay
+    bare = corpus.withColumn("lang", F.lit(None).cast("string")).limit(5).union(spark.createDataFrame([(9000, "1 2", None, None, None), (9001, None, None, None, None)], DOCS))
+    assert corpus_pipeline.language(spark, bare, "").count() == 5
+
+
+@pytest.mark.parametrize("left", list(WORDS))
+def test_the_language_stage_rejects_a_language_that_it_never_saw(spark, corpus, left):
+    import corpus_pipeline
+
+    docs = corpus.withColumn("lang", F.when(F.col("lang") == left, None).otherwise(F.col("lang")))
+    kept = {r.doc_id for r in corpus_pipeline.language(spark, docs, "").select("doc_id").collect()}
+    sizes = {(r.lang == left): [] for r in corpus.collect()}
+    for r in corpus.collect():
+        sizes[r.lang == left].append(r.doc_id in kept)
+    assert np.mean(sizes[True]) < 0.15 and np.mean(sizes[False]) > 0.98
 
 
 def test_every_language_is_learned(spark):
