@@ -22,7 +22,7 @@ from tessera.llm.minhash import without_near_duplicates
 from tessera.llm.packing import pack_documents
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: A document stays if its best language has at least this part of the way from an even spread over all languages to 1.
+#: A document stays if its best language has at least this part of the way from an even spread over all labels to 1.
 LEAST_LANGUAGE = 0.3
 #: Near-duplicates share this percentage of their five-word shingles at least.
 SIMILAR = 80
@@ -34,15 +34,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def least_score(languages: int) -> float:
-    """The least mean probability that the best of so many languages needs; a single language always has it."""
-    even = 1 / max(1, languages)
+    """The least mean probability that the best of so many languages needs, beside the label for none of them."""
+    even = 1 / (languages + 1)
     return even + LEAST_LANGUAGE * (1 - even)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = languages.learn(docs)
+    if model is None:  # no language is known, so none can be told
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(*COLUMNS)
     found = languages.predict(docs, COLUMNS, model)
-    least = least_score(len(model.languages) if model else 0)
+    least = least_score(len(model.languages))
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*COLUMNS)
 
 
