@@ -24,6 +24,7 @@ from functools import lru_cache
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import map_column, table
 
@@ -463,7 +464,7 @@ def redact(docs: DataFrame, keep: list[str]) -> DataFrame:
     def make():
         return lambda texts: [[text if not text else redacted(text, all_spans(text, w)[1]) for text in texts]]
 
-    return map_column(docs.withColumnRenamed("text", "of_text"), keep, "of_text", make, "text string")
+    return map_column(docs.select(*keep, F.col("text").alias("of_text")), keep, "of_text", make, "text string")
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
