@@ -145,19 +145,24 @@ def contains_point(ring: Column | str, x: Column, y: Column) -> Column:
 
 
 # fixed values: the ellipsoid and the scale of UTM
-_A, _F, _K0 = 6378137.0, 1 / 298.257222101, 0.9996
+_A, FLATTENING, _K0 = 6378137.0, 1 / 298.257222101, 0.9996
 
 
-def utm(lon: Column | str, lat: Column | str, zone: int, south: bool) -> Column:
-    """Easting and northing of a UTM zone by Krueger's series to the fourth order; a struct (x, y) of metres."""
-    lon, lat = col(lon), col(lat)
-    n = _F / (2 - _F)
+def utm_constants() -> tuple[float, tuple[float, ...], float]:
+    """Scale, coefficients and eccentricity of Krueger's series to the fourth order."""
+    n = FLATTENING / (2 - FLATTENING)
     scale = _K0 * _A / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
     alpha = (
         n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440,
         61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280,
     )
-    e = 2 * math.sqrt(n) / (1 + n)
+    return scale, alpha, 2 * math.sqrt(n) / (1 + n)
+
+
+def utm(lon: Column | str, lat: Column | str, zone: int, south: bool) -> Column:
+    """Easting and northing of a UTM zone by Krueger's series to the fourth order; a struct (x, y) of metres."""
+    lon, lat = col(lon), col(lat)
+    scale, alpha, e = utm_constants()
     phi, lam = F.radians(lat), F.radians(lon - (6 * zone - 183))
     t = F.sinh(F.atanh(F.sin(phi)) - e * F.atanh(e * F.sin(phi)))
     xi, eta = F.atan2(t, F.cos(lam)), F.atanh(F.sin(lam) / F.sqrt(1 + t * t))

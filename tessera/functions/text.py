@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tessera.functions.geometry import col
+from tessera.functions.geometry import col, let
 
 # fixed values: workflow states in board order
 STATES = ["Selecionadas", "Em anotação", "Em revisão (QA)", "Pronto para treino", "Em treinamento", "Avaliado", "Aprovado"]
@@ -54,8 +54,35 @@ def mime_type(path: Column | str) -> Column:
 
 
 def fixed(x: Column, places: int = 4) -> Column:
-    """Decimal text that rounds the exact value half to even, as the reports expect; null for null."""
-    return F.when(x.isNotNull(), F.format_string(f"%.{places}f", F.bround(x.cast("decimal(38, 20)"), places).cast("double")))
+    """Decimal text of a number's exact value, rounded half to even, as the reports expect; null for null.
+
+    The number is scaled so that ties are odd whole numbers. Where the scaled number is one, the error of the product, by
+    Dekker's splitting, tells on which side of the tie the exact value lies.
+    """
+    scale = 2.0 * 10**places
+
+    def halves(v: Column) -> tuple[Column, Column]:
+        big = v * 134217729.0
+        high = big - (big - v)
+        return high, v - high
+
+    def rounded(v: Column) -> Column:
+        p = v * scale
+        (a, b), (c, d) = halves(v), halves(F.lit(scale))
+        error = ((a * c - p) + a * d + b * c) + b * d
+        low = F.floor(p / 2)
+        up = F.when(p % 2 != 1, p - 2 * low >= 1).when(error != 0, error > 0).otherwise(low % 2 == 1)
+        return low + up.cast("long")
+
+    def told(v: Column) -> Column:
+        n = rounded(F.abs(v))
+        sign = F.when(v < 0, "-").otherwise("")
+        whole = F.concat(sign, F.floor(n / 10**places).cast("string"), F.lit("."), F.lpad((n % 10**places).cast("string"), places, "0"))
+        return F.when(F.abs(v) < 1e9, whole).otherwise(F.format_string(f"%.{places}f", v))
+
+    if places == 0:
+        return F.when(x.isNotNull(), F.format_string("%.0f", F.rint(x.cast("double"))))
+    return F.when(x.isNotNull(), let(x.cast("double"), told))
 
 
 def signed(x: Column, places: int = 4) -> Column:
@@ -74,6 +101,34 @@ def metrics_table(metrics: Column) -> Column:
     return F.array_join(F.concat(F.array(F.lit("| métrica | valor |"), F.lit("|---|---|")), F.array_compact(rows)), "\n")
 
 
+# fixed values: the words of the cards below and of the reports
+def review_title(image: Column) -> Column:
+    return F.concat(F.lit("Revisar "), image)
+
+
+def review_body(image: Column, reason: Column, signals: dict[str, Column], issues: Column) -> Column:
+    """The body of a review card: its signals where the score is finite, then its findings."""
+    number = lambda k: F.concat(F.lit(f"{k}: "), fixed(signals[k]))
+    counts = F.concat(F.lit("n_gt: "), signals["n_gt"].cast("string"), F.lit(" · n_pred: "), signals["n_pred"].cast("string"))
+    finite = signals["score"] != float("inf")
+    told = F.array(*(number(k) for k in ("score", "mean_iou", "gt_perdidos_ratio", "ghost_conf")), counts)
+    found = F.concat(F.array(F.lit("**achados QA:**")), F.transform(issues, lambda i: F.concat(F.lit("- "), i)))
+    none = F.array().cast("array<string>")
+    head = F.array(F.concat(F.lit("**imagem:** `"), image, F.lit("`")), F.concat(F.lit("**motivo:** "), reason))
+    return F.array_join(F.concat(head, F.when(finite, told).otherwise(none), F.when(F.size(issues) > 0, found).otherwise(none)), "\n")
+
+
+def snapshot_comment(version: str, changelog: str) -> str:
+    return f"**snapshot criado:** `{version}`\n\n```json\n{changelog}\n```"
+
+
+def run_comment(run_id: Column, version: Column, metrics: Column, promoted: Column, verdict: Column) -> Column:
+    """What a card is told of a run."""
+    listed = F.array_join(F.transform(F.map_entries(metrics), lambda e: F.concat(F.lit("- **"), e["key"], F.lit(":** "), fixed(e["value"]))), "\n")
+    judged = F.when(promoted, "✔ promovido").otherwise("✘ não promovido")
+    return F.concat(F.lit("**run:** `"), run_id, F.lit("`\n**versão:** `"), version, F.lit("`\n\n"), listed, F.lit("\n\n**veredito:** "), judged, F.lit(" — "), verdict)
+
+
 def run_description(run: dict[str, Column], extra: Column | None = None) -> Column:
     """The markdown body of a version card; extra is a map of further fields."""
     line = lambda label, value, tick="`": F.concat(F.lit(f"**{label}**: {tick}"), F.coalesce(value.cast("string"), F.lit("-")), F.lit(tick))
@@ -94,7 +149,7 @@ def run_description(run: dict[str, Column], extra: Column | None = None) -> Colu
 
 def suspicion_reasons(missed: Column, ghost: Column, mean_iou: Column, n_gt: Column) -> Column:
     """Why an image is suspect, as markdown list lines."""
-    percent = F.concat(F.format_string("%.0f", F.bround((missed * 100).cast("decimal(38, 20)"), 0).cast("double")), F.lit("%"))
+    percent = F.concat(fixed(missed * 100, 0), F.lit("%"))
     reasons = F.array_compact(F.array(
         F.when(missed > 0, F.concat(F.lit("- **"), percent, F.lit("** das anotações não foram detectadas"))),
         F.when(ghost > 0.5, F.concat(F.lit("- predição fantasma com conf **"), fixed(ghost, 2), F.lit("** onde não há rótulo"))),

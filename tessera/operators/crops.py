@@ -102,7 +102,8 @@ def candidates(sites: DataFrame, tries: int = 15, seed: int = 42) -> DataFrame:
 
     sites has site, x0, y0, x1, y1, n_target. Adds nth, x, y.
     """
-    share = lambda k: F.pmod(F.xxhash64(F.lit(seed + k), "site", "nth"), F.lit(1 << 40)) / float(1 << 40)
+    digits = lambda k: F.substring(F.sha2(F.concat_ws(":", F.lit(str(seed + k)), F.col("site").cast("string"), F.col("nth").cast("string")).cast("binary"), 256), 1, 8)
+    share = lambda k: F.conv(digits(k), 16, 10).cast("double") / 2.0**32
     out = sites.withColumn("nth", F.explode(F.sequence(F.lit(0), F.col("n_target") * tries - 1)))
     out = out.withColumn("x", F.col("x0") + share(0) * (F.col("x1") - F.col("x0")))
     return out.withColumn("y", F.col("y0") + share(1) * (F.col("y1") - F.col("y0")))
@@ -111,20 +112,23 @@ def candidates(sites: DataFrame, tries: int = 15, seed: int = 42) -> DataFrame:
 def negatives(points: DataFrame, plantation: DataFrame, weeds: DataFrame, width: float, height: float, grid: float = 256.0, crop: int = CROP, invert: bool = False) -> DataFrame:
     """Per site the first n_target points inside (or outside) the plantation, on no weed, with a whole window around.
 
-    points has site, nth, n_target, x, y; plantation and weeds have site and ring. Weeds are met by grid cell, then exactly.
+    points has site, nth, n_target, x, y; plantation and weeds have site and ring; both are met by grid cell, then exactly.
     """
     half = crop / 2
-    own = points.where(F.col("x").between(half, width - half) & F.col("y").between(half, height - half))
-    planted = plantation.select(F.col("site").alias("of_site"), F.col("ring").alias("of_ring"), G.bbox("ring").alias("of_box"))
-    box = F.col("of_box")
-    within = (F.col("site") == F.col("of_site")) & F.col("x").between(box["x0"], box["x1"]) & F.col("y").between(box["y0"], box["y1"]) & G.contains_point("of_ring", F.col("x"), F.col("y"))
-    own = own.join(planted, within, "left_anti" if invert else "left_semi")
     cell = lambda c: F.floor(c / grid)
-    boxes = weeds.select(F.col("site").alias("at_site"), F.col("ring").alias("at_ring"), G.bbox("ring").alias("at_box"))
-    span = lambda a, b: F.explode(F.sequence(cell(F.col(f"at_box.{a}")), cell(F.col(f"at_box.{b}"))))
-    boxes = boxes.withColumn("at_x", span("x0", "x1")).withColumn("at_y", span("y0", "y1"))
+    own = points.where(F.col("x").between(half, width - half) & F.col("y").between(half, height - half))
     own = own.withColumn("cx", cell(F.col("x"))).withColumn("cy", cell(F.col("y")))
-    hit = (F.col("site") == F.col("at_site")) & (F.col("cx") == F.col("at_x")) & (F.col("cy") == F.col("at_y")) & G.contains_point("at_ring", F.col("x"), F.col("y"))
-    free = own.join(boxes, hit, "left_anti").drop("cx", "cy")
+
+    def by_cell(rings: DataFrame, name: str) -> tuple[DataFrame, Column]:
+        """Rings by the cells that their boxes touch, and when a point lies in one."""
+        span = lambda a, b: F.explode(F.sequence(cell(F.col(f"{name}_box.{a}")), cell(F.col(f"{name}_box.{b}"))))
+        inside = F.struct(*(F.least(F.greatest(F.col("box")[k], F.lit(0.0)), F.lit(float(most))).alias(k) for k, most in zip(G.BOX, (width, height, width, height), strict=True)))
+        out = rings.select(F.col("site").alias(f"{name}_site"), F.col("ring").alias(f"{name}_ring"), G.bbox("ring").alias("box")).withColumn(f"{name}_box", inside).drop("box")
+        out = out.withColumn(f"{name}_x", span("x0", "x1")).withColumn(f"{name}_y", span("y0", "y1"))
+        meet = (F.col("site") == F.col(f"{name}_site")) & (F.col("cx") == F.col(f"{name}_x")) & (F.col("cy") == F.col(f"{name}_y"))
+        return out, meet & G.contains_point(f"{name}_ring", F.col("x"), F.col("y"))
+
+    own = own.join(*by_cell(plantation, "planted"), "left_anti" if invert else "left_semi")
+    free = own.join(*by_cell(weeds, "weed"), "left_anti").drop("cx", "cy")
     first = Window.partitionBy("site").orderBy("nth")
     return free.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= F.col("n_target")).drop("rank")

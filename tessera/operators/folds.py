@@ -52,6 +52,17 @@ def leave_one_out(items: DataFrame, group: str) -> DataFrame:
     return both.select(F.col("of_group").alias("held_out"), role.alias("r")).select("held_out", "r.role", "r.n_items")
 
 
+def leave_one_out_roles(items: DataFrame, group: str, held: list[str] | None = None) -> DataFrame:
+    """Every item with its role for each held-out group: val where it belongs to the group, else train.
+
+    The result holds each item once a hold-out, as the training runs of all of them read it; held names some groups only.
+    Fields are few, so their names are one array that is joined as a single row.
+    """
+    names = items.where(F.col(group).isNotNull()).agg(F.array_sort(F.collect_set(group)).alias("held")) if held is None else items.sparkSession.range(1).select(F.array(*map(F.lit, held)).alias("held"))
+    both = items.join(F.broadcast(names)).withColumn("held_out", F.explode("held")).drop("held")  # one row
+    return both.withColumn("role", F.when(F.col(group) == F.col("held_out"), "val").otherwise("train"))
+
+
 def pending(folds: DataFrame, history: DataFrame, group: str = "held_out") -> DataFrame:
     """Folds whose tag `loo_<group>` has no run yet."""
     done = history.select(F.col("tag").alias("of_tag")).distinct()
@@ -82,20 +93,22 @@ def gap_split(crops: DataFrame, site: str, position: str, fraction: float, gap:
 def val_starts(crops: DataFrame, site: str, position: str, fraction: float) -> DataFrame:
     """(of_site, target, start): the position where each site's last share begins; null where the target is 0.
 
-    An order statistic by ranges: counts tell the range that holds it, and only that range is numbered. A site of any
-    size is spread over many tasks.
+    An order statistic by ranges over the distinct positions with their counts: counts tell the range that holds it, and
+    only that range is numbered. A site of any size is spread over many tasks, and a position counts once however many
+    crops share it.
     """
-    rows = ranged(crops.select(F.col(site).alias("of_site"), F.col(position).alias("at")), ["of_site", "at"])
-    sizes = rows.groupBy("of_site", "part").agg(F.count(F.lit(1)).alias("n"))
+    at = crops.groupBy(F.col(site).alias("of_site"), F.col(position).alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    rows = ranged(at, ["of_site", "at"])
     by_site = Window.partitionBy("of_site")
-    before = F.coalesce(F.sum("n").over(by_site.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    sizes = sizes.withColumn("before", before).withColumn("total", F.sum("n").over(by_site))
+    upto = lambda over, n: F.coalesce(F.sum(n).over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = rows.groupBy("of_site", "part").agg(F.sum("n").alias("n"))
+    sizes = sizes.withColumn("before", upto(by_site.orderBy("part"), "n")).withColumn("total", F.sum("n").over(by_site))
     sizes = sizes.withColumn("target", F.bround(F.col("total") * F.lit(fraction)).cast("int"))
     want = F.col("total") - F.col("target") + 1 - F.col("before")
     here = sizes.where((F.col("target") > 0) & (want >= 1) & (want <= F.col("n"))).select(F.col("of_site").alias("here"), F.col("part").alias("of_part"), want.alias("want"))
     numbered = rows.join(here, F.col("of_site").eqNullSafe(F.col("here")) & (F.col("part") == F.col("of_part")))
-    numbered = numbered.withColumn("nth", F.row_number().over(Window.partitionBy("here", "of_part").orderBy("at")))
-    starts = numbered.where("nth = want").select("here", F.col("at").alias("start"))
+    numbered = numbered.withColumn("upto", upto(Window.partitionBy("here", "of_part").orderBy("at"), "n"))
+    starts = numbered.where("upto < want and want <= upto + n").select("here", F.col("at").alias("start"))
     targets = sizes.select("of_site", "target").distinct()
     return targets.join(starts, F.col("of_site").eqNullSafe(F.col("here")), "left").drop("here")
 

@@ -8,10 +8,14 @@ from pyspark.sql.window import Window
 
 from tessera.functions import geometry as G
 from tessera.functions.raster import image_problem
+from tessera.functions.text import fixed
 
 HIGH, MEDIUM = "alta", "media"
 TINY, SAME_BOX = 1e-5, 0.85
 FINDING = ["image", "issue", "severity", "detail"]
+# fixed values: details that do not depend on the file
+NO_LABEL, NO_IMAGE, NO_INSTANCE = "declarar como fundo se intencional", "sem imagem correspondente", "arquivo sem instâncias"
+UNREADABLE = "leitura falhou: o texto não é UTF-8"
 
 # numbers as the label format's first readers took them: digits may be grouped by single underscores
 _INT = r"^[+-]?[0-9]+(_[0-9]+)*$"
@@ -33,10 +37,15 @@ def parse(line: Column | str, classes: int) -> Column:
     """
     bare = lambda t: F.replace(t, F.lit("_"), F.lit(""))
     outside = lambda p: ~(p["x"].between(0, 1) & p["y"].between(0, 1))
-    broken = lambda: F.struct(
-        F.lit("linha_malformada").alias("issue"), F.lit(None).cast("int").alias("class_id"), F.lit(None).cast("array<struct<x:double,y:double>>").alias("ring"),
-        F.concat(F.lit("número inválido em "), G.col(line)).alias("detail"),
-    )
+    # fixed values: what the label format's first reader said of a token
+    quoted = lambda t: F.when(F.contains(t, F.lit("'")) & ~F.contains(t, F.lit('"')), F.concat(F.lit('"'), t, F.lit('"'))).otherwise(F.concat(F.lit("'"), F.replace(t, F.lit("'"), F.lit("\\'")), F.lit("'")))
+    no_class = lambda t: F.concat(F.lit("invalid literal for int() with base 10: "), quoted(t))
+    no_number = lambda t: F.concat(F.lit("could not convert string to float: "), quoted(t))
+
+    def broken(first: Column, rest: Column) -> Column:
+        detail = F.when(~first.rlike(_INT), no_class(first)).otherwise(no_number(F.get(F.filter(rest, lambda t: ~t.rlike(_FLOAT)), F.lit(0))))
+        nothing = F.lit(None).cast("array<struct<x:double,y:double>>")
+        return F.struct(F.lit("linha_malformada").alias("issue"), F.lit(None).cast("int").alias("class_id"), nothing.alias("ring"), detail.alias("detail"))
 
     def judged(first: Column, number: Column, ring: Column, n: Column) -> Column:
         unknown, odd = number.isNull() | (number < 0) | (number >= classes), (n < 6) | (n % 2 != 0)
@@ -55,7 +64,7 @@ def parse(line: Column | str, classes: int) -> Column:
         number = bare(first).try_cast("bigint")
         number = F.when(number.between(-(2**31), 2**31 - 1), number)
         ring = G.points(F.transform(rest, lambda t: bare(t).try_cast("double")))
-        return F.when(whole, G.let(ring, lambda r: judged(first, number, r, F.size(rest)))).otherwise(broken())
+        return F.when(whole, G.let(ring, lambda r: judged(first, number, r, F.size(rest)))).otherwise(broken(first, rest))
 
     # every value is bound once: Catalyst does not share subexpressions within lambdas and branches
     return G.let(F.split(F.trim(F.regexp_replace(G.col(line), r"\s+", " ")), " "), read)
@@ -90,29 +99,51 @@ def overlapping(found: DataFrame, image: str = "image", least: float = SAME_BOX)
     return pairs.select("image", "i", "j", "class_i", "class_j", "iou", issue.alias("issue"), severity.alias("severity"))
 
 
-def _finding(image: Column | str, issue: Column, severity: str | Column, detail: Column) -> list[Column]:
+def _finding(image: Column | str, issue: Column, severity: str | Column, detail: Column, place: Column) -> list[Column]:
     severity = F.lit(severity) if isinstance(severity, str) else severity
-    return [G.col(image).alias("image"), issue.alias("issue"), severity.alias("severity"), detail.alias("detail")]
+    return [G.col(image).alias("image"), issue.alias("issue"), severity.alias("severity"), detail.alias("detail"), place.alias("place")]
+
+
+def place(part: int, path: Column | str, step: int, i: Column | int = 0, j: Column | int = 0) -> Column:
+    """Where a finding stands in a report: images before labels, by path, and within a file as it is read."""
+    number = lambda x: (F.lit(x) if isinstance(x, int) else x).cast("int")
+    return F.struct(F.lit(part).alias("part"), G.col(path).alias("path"), F.lit(step).alias("step"), number(i).alias("i"), number(j).alias("j"))
 
 
 def label_findings(labels: DataFrame, classes: int, background: DataFrame | None = None) -> DataFrame:
-    """Findings of label files (file_name, stem, raw); stems of the background are allowed to be empty."""
-    parsed = lines(labels, "raw", ["file_name", "stem"]).withColumn("p", parse("line", classes))
-    parsed = parsed.select("file_name", "stem", "line_no", "p.*")
-    at = F.concat(F.lit("L"), F.col("line_no").cast("string"), F.lit(": "))
-    broken = parsed.where("issue is not null").select(*_finding("file_name", F.col("issue"), HIGH, F.concat(at, F.col("issue"), F.lit(": "), F.col("detail"))))
-    sound = parsed.where("issue is null").select(F.col("file_name").alias("image"), "line_no", "class_id", "ring")
+    """Findings of label files (file_name, stem, raw, and path and readable where they are known), with their place.
+
+    Stems of the background are allowed to be empty. A file that is not readable has that one finding.
+    """
+    labels = labels if "path" in labels.columns else labels.withColumn("path", F.col("file_name"))
+    if "readable" in labels.columns:
+        bad = labels.where("not readable").select(*_finding("file_name", F.lit("linha_malformada"), HIGH, F.lit(UNREADABLE), place(1, "path", 0)))
+        labels = labels.where("readable")
+    else:
+        bad = None
+    parsed = lines(labels, "raw", ["path", "file_name"]).withColumn("p", parse("line", classes))
+    parsed = parsed.select("path", "file_name", "line_no", "p.*")
+    at, here = F.concat(F.lit("L"), F.col("line_no").cast("string"), F.lit(": ")), place(1, "path", 0, F.col("line_no"))
+    broken = parsed.where("issue is not null").select(*_finding("file_name", F.col("issue"), HIGH, F.concat(at, F.col("issue"), F.lit(": "), F.col("detail")), here))
+    sound = parsed.where("issue is null").select("path", "file_name", "line_no", "class_id", "ring")
     tiny = sound.withColumn("area", G.area("ring")).where(F.col("area") < TINY)
-    tiny = tiny.select(*_finding("image", F.lit("instancia_minuscula"), MEDIUM, F.concat(at, F.format_string("área=%.2e", "area"))))
-    pairs = overlapping(instances(sound))
-    same = F.format_string("L%d e L%d: bbox-IoU=%.2f", "i", "j", "iou")
-    other = F.format_string("L%d(cls=%d) x L%d(cls=%d): bbox-IoU=%.2f", "i", "class_i", "j", "class_j", "iou")
-    pairs = pairs.select(*_finding("image", F.col("issue"), F.col("severity"), F.when(F.col("class_i") == F.col("class_j"), same).otherwise(other)))
+    tiny = tiny.select(*_finding("file_name", F.lit("instancia_minuscula"), MEDIUM, F.concat(at, F.lit("área="), scientific(F.col("area"))), here))
+    pairs = overlapping(instances(sound, "path"), "path")
+    same = F.format_string("L%d e L%d: bbox-IoU=%s", "i", "j", fixed(F.col("iou"), 2))
+    other = F.format_string("L%d(cls=%d) x L%d(cls=%d): bbox-IoU=%s", "i", "class_i", "j", "class_j", fixed(F.col("iou"), 2))
+    detail = F.when(F.col("class_i") == F.col("class_j"), same).otherwise(other)
+    pairs = pairs.select(*_finding(F.regexp_extract("image", r"([^/]*)$", 1), F.col("issue"), F.col("severity"), detail, place(1, "image", 2, F.col("i"), F.col("j"))))
     empty = labels.where(~F.coalesce("raw", F.lit("")).rlike(r"\S"))
     if background is not None:
         empty = empty.join(background.select(F.col("stem").alias("of_stem")), F.col("stem") == F.col("of_stem"), "left_anti")
-    empty = empty.select(*_finding("file_name", F.lit("label_vazio"), MEDIUM, F.lit("arquivo sem instâncias")))
-    return broken.unionByName(tiny).unionByName(pairs).unionByName(empty)
+    empty = empty.select(*_finding("file_name", F.lit("label_vazio"), MEDIUM, F.lit(NO_INSTANCE), place(1, "path", 1)))
+    found = broken.unionByName(tiny).unionByName(pairs).unionByName(empty)
+    return found if bad is None else found.unionByName(bad)
+
+
+def scientific(x: Column) -> Column:
+    """A number that is not negative, with two decimals and an exponent of two digits at least."""
+    return F.regexp_replace(F.format_string("%.2e", x), r"e([+-])([0-9])$", "e$10$2")
 
 
 def stem_index(files: DataFrame, stem: str = "stem", path: str = "path") -> DataFrame:
@@ -126,13 +157,16 @@ def unmatched(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
 
 
 def check(images: DataFrame, labels: DataFrame, classes: int, background: DataFrame | None = None) -> DataFrame:
-    """All findings of images (path, stem, file_name, content) and labels (path, stem, file_name, raw)."""
-    images = images.join(stem_index(images).drop("stem").withColumnRenamed("path", "of_path"), F.col("path") == F.col("of_path"), "left_semi")
-    labels = labels.join(stem_index(labels).drop("stem").withColumnRenamed("path", "of_path"), F.col("path") == F.col("of_path"), "left_semi")
-    corrupt = images.withColumn("problem", image_problem("content")).where("problem is not null")
-    corrupt = corrupt.select(*_finding("file_name", F.lit("imagem_corrompida"), HIGH, F.col("problem")))
-    bare = unmatched(images, labels, "stem", "stem").select(*_finding("file_name", F.lit("imagem_sem_label"), HIGH, F.lit("sem arquivo .txt")))
-    orphan = unmatched(labels, images, "stem", "stem").select(*_finding("file_name", F.lit("label_orfao"), HIGH, F.lit("sem imagem correspondente")))
+    """All findings of images (path, stem, file_name, content) and labels (path, stem, file_name, raw), with their place.
+
+    Images are judged where they are read, so their content meets no shuffle.
+    """
+    images = images.select("path", "stem", "file_name", image_problem("content").alias("problem"))
+    images = images.join(stem_index(images).select(F.col("path").alias("of_path")), F.col("path") == F.col("of_path"), "left_semi")
+    labels = labels.join(stem_index(labels).select(F.col("path").alias("of_path")), F.col("path") == F.col("of_path"), "left_semi")
+    corrupt = images.where("problem is not null").select(*_finding("file_name", F.lit("imagem_corrompida"), HIGH, F.col("problem"), place(0, "path", 0)))
+    bare = unmatched(images, labels, "stem", "stem").select(*_finding("file_name", F.lit("imagem_sem_label"), HIGH, F.lit(NO_LABEL), place(0, "path", 1)))
+    orphan = unmatched(labels, images, "stem", "stem").select(*_finding("file_name", F.lit("label_orfao"), HIGH, F.lit(NO_IMAGE), place(1, "path", 0)))
     matched = labels.join(images.select(F.col("stem").alias("of_stem")).distinct(), F.col("stem") == F.col("of_stem"), "left_semi")
     return corrupt.unionByName(bare).unionByName(orphan).unionByName(label_findings(matched, classes, background))
 

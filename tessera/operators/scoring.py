@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geometry as G
 from tessera.functions.geometry import col, let
 
-IOU_LOW = 0.1
+IOU_LOW, CONF_LEAST = 0.1, 0.25
 
 
 @dataclass(frozen=True)
@@ -21,32 +21,32 @@ class Thresholds:
 
 
 def greedy(matrix: Column | str, low: float = IOU_LOW) -> Column:
-    """Greedy one-to-one matching over an IoU matrix: a struct (used, ious, missed).
+    """Greedy one-to-one matching over an IoU matrix: a struct (free, ious, missed).
 
     Each annotation, in order, takes the free prediction of the largest IoU, the first on a tie; below `low` it is missed
-    and leaves the prediction free.
+    and leaves the prediction free. free has a flag a prediction, so a step costs by the predictions only.
     """
-    used = F.array().cast("array<int>")
-    ious = F.array().cast("array<double>")
-    start = F.struct(used.alias("used"), ious.alias("ious"), F.lit(0).alias("missed"))
-
     def step(acc: Column, row: Column) -> Column:
-        cells = F.transform(row, lambda v, j: F.struct(v.alias("v"), j.cast("int").alias("j")))
-        none = F.struct(F.lit(0.0).alias("v"), F.lit(-1).alias("j"))
-        better = lambda best, c: F.when((c["v"] > best["v"]) & ~F.array_contains(acc["used"], c["j"]), c).otherwise(best)
-        best = F.aggregate(cells, none, better)
+        cells = F.zip_with(row, acc["free"], lambda v, free: F.struct(v.alias("v"), free.alias("free")))
+        cells = F.transform(cells, lambda c, j: F.struct(F.when(c["free"], c["v"]).alias("v"), (-j).alias("before")))
+        best = F.array_max(F.filter(cells, lambda c: c["v"] > 0))  # the first of equal ones is the greatest -j
 
         def place(b: Column) -> Column:
-            taken = (b["j"] >= 0) & (b["v"] >= low)
+            taken = F.coalesce(b["v"] >= low, F.lit(False))
             return F.struct(
-                F.when(taken, F.array_append(acc["used"], b["j"])).otherwise(acc["used"]).alias("used"),
+                F.transform(acc["free"], lambda f, j: f & ~(taken & (j == -b["before"]))).alias("free"),
                 F.array_append(acc["ious"], F.when(taken, b["v"]).otherwise(0.0)).alias("ious"),
                 (acc["missed"] + F.when(taken, 0).otherwise(1)).alias("missed"),
             )
 
         return let(best, place)
 
-    return F.aggregate(col(matrix), start, step)
+    def matched(m: Column) -> Column:
+        free = F.transform(F.coalesce(F.get(m, F.lit(0)), F.array().cast("array<double>")), lambda _: F.lit(True))
+        start = F.struct(free.alias("free"), F.array().cast("array<double>").alias("ious"), F.lit(0).alias("missed"))
+        return F.aggregate(m, start, step)
+
+    return let(col(matrix), matched)
 
 
 def signals(match: Column, n_gt: Column, confs: Column) -> Column:
@@ -54,7 +54,8 @@ def signals(match: Column, n_gt: Column, confs: Column) -> Column:
     n = n_gt.cast("double")
     mean = F.when(n_gt > 0, G.total(match["ious"]) / n).otherwise(1.0)
     missed = F.when(n_gt > 0, match["missed"] / n).otherwise(0.0)
-    free = F.filter(F.transform(confs, lambda c, j: F.when(~F.array_contains(match["used"], j.cast("int")), c)), lambda c: c.isNotNull())
+    # without annotations there is no matrix, and every prediction is free
+    free = F.when(n_gt > 0, F.zip_with(confs, match["free"], lambda c, free: F.when(free, c))).otherwise(confs)
     ghost = F.coalesce(F.array_max(free), F.lit(0.0))
     return F.struct(mean.alias("mean_iou"), missed.alias("gt_perdidos_ratio"), ghost.alias("ghost_conf"), ((1 - mean) + missed + ghost).alias("score"))
 
@@ -69,6 +70,11 @@ def by_image(rows: DataFrame, image: str, order: str, values: list[str], name: s
     return rows.groupBy(F.col(image).alias(f"of_{name}")).agg(gathered.alias(name))
 
 
+def confident(predictions: DataFrame, least: float = CONF_LEAST) -> DataFrame:
+    """Predictions that a model would show: of at least that confidence."""
+    return predictions.where(F.col("conf") >= least)
+
+
 def score_images(images: DataFrame, truth: DataFrame, found: DataFrame, value: str = "box", matrix=box_matrix) -> DataFrame:
     """Suspicion of each image, from truth (image, idx, value) and found (image, idx, value, conf).
 

@@ -8,10 +8,15 @@ from pyspark.sql import functions as F
 from tessera.functions.geometry import col
 
 
-def scan(files: DataFrame, path: str = "rel_path", content: str = "content") -> DataFrame:
-    """rel_path, sha256, size of every file. Content is binary or text."""
+def scan_columns(path: str = "rel_path", content: str = "content") -> list[Column]:
+    """rel_path, sha256 and size of a file. Content is binary or text."""
     data = F.col(content).cast("binary")
-    return files.select(F.col(path).alias("rel_path"), F.sha2(data, 256).alias("sha256"), F.octet_length(data).cast("long").alias("size"))
+    return [F.col(path).alias("rel_path"), F.sha2(data, 256).alias("sha256"), F.octet_length(data).cast("long").alias("size")]
+
+
+def scan(files: DataFrame, path: str = "rel_path", content: str = "content") -> DataFrame:
+    """rel_path, sha256, size of every file."""
+    return files.select(*scan_columns(path, content))
 
 
 def diff(old: DataFrame, new: DataFrame) -> DataFrame:

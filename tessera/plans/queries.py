@@ -1,7 +1,7 @@
 """The registered queries of the engine and their DuckDB SQL.
 
 The given tables hold no images, so each operator runs on a stand-in, whole: a 64-float embedding is a ring of 32 points
-(x the odd, y the even components, plus one half), 50 images hold the vectors by id, documents stand for files and
+(x the odd, y the even components, plus one half), an image holds the vectors of forty ids, documents stand for files and
 customers for crops. Floating results are rounded to nine decimals before they leave.
 """
 
@@ -45,7 +45,7 @@ _SQL_RING = "list_transform(range(0, 32), lambda i: {'x': embedding[2 * i + 1]::
 _SQL_BOXES = f"""
 rings as (select vec_id, label, {_SQL_RING} as ring from embeddings),
 boxes as (
-  select vec_id, label, vec_id % 50 as image, list_min([p.x for p in ring]) as x0, list_min([p.y for p in ring]) as y0,
+  select vec_id, label, vec_id // 40 as image, list_min([p.x for p in ring]) as x0, list_min([p.y for p in ring]) as y0,
     list_max([p.x for p in ring]) as x1, list_max([p.y for p in ring]) as y1,
     abs(list_sum([ring[i].x * ring[i % 32 + 1].y - ring[i % 32 + 1].x * ring[i].y for i in range(1, 33)])) / 2 as area
   from rings)"""
@@ -57,7 +57,7 @@ _SQL_IOU = """
 
 def _rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("class_id"), F.transform(F.col("embedding").cast("array<double>"), lambda v: v + 0.5).alias("c"))
-    return rows.select("vec_id", "class_id", (F.col("vec_id") % 50).alias("image"), G.points("c").alias("ring"))
+    return rows.select("vec_id", "class_id", F.floor(F.col("vec_id") / 40).alias("image"), G.points("c").alias("ring"))
 
 
 # --- label checks
@@ -312,13 +312,20 @@ def background_sample(spark, sf_dir):
     return tiles.where(tiling.hash_share("stem", 42) <= tiling.KEEP_EMPTY).select("p_partkey", "x_off", "y_off")
 
 
-@query()
+def _corners(box: Column) -> Column:
+    """A box as a ring."""
+    return F.array(*(F.struct(box[x].alias("x"), box[y].alias("y")) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"))))
+
+
+@query(f"""with {_SQL_BOXES}, wide as (select vec_id, label, x0 * 3000 as x0, y0 * 3000 as y0, x1 * 3000 as x1, y1 * 3000 as y1 from boxes),
+starts as (select unnest([0, 896, 1792, 1976]) as s),
+cut as (select vec_id, label, x.s as x_off, y.s as y_off, least(x1, x.s + 1024) - greatest(x0, x.s) as w, least(y1, y.s + 1024) - greatest(y0, y.s) as h from wide, starts x, starts y)
+select vec_id::varchar as talhao, label as class_id, x_off::integer as x_off, y_off::integer as y_off, 0 as piece, round(w * h, 3) + 0.0 as area from cut where w > 0 and h > 0 and w * h >= 1e-4 * 1024 * 1024""")
 def polygon_tiles(spark, sf_dir):
-    """Rings clipped to the tiles of a 3000-pixel raster: area within each tile. Tested against exact areas."""
-    rings = _rings(spark, sf_dir).select(
-        F.col("vec_id").cast("string").alias("talhao"), "class_id", F.lit(3000).alias("width"), F.lit(3000).alias("height"),
-        F.transform("ring", lambda p: F.struct((p["x"] * 3000).alias("x"), (p["y"] * 3000).alias("y"))).alias("ring"),
-    )
+    """Boxes of rings clipped to the tiles of a 3000-pixel raster: area within each tile. Other shapes are tested against exact areas."""
+    wide = F.transform(_corners(F.col("box")), lambda p: F.struct((p["x"] * 3000).alias("x"), (p["y"] * 3000).alias("y")))
+    rings = _rings(spark, sf_dir).withColumn("box", G.bbox("ring")).select(
+        F.col("vec_id").cast("string").alias("talhao"), "class_id", F.lit(3000).alias("width"), F.lit(3000).alias("height"), wide.alias("ring"))
     return tiling.tile_polygons(rings).select("talhao", "class_id", "x_off", "y_off", "piece", _r("area", 3).alias("area"))
 
 
@@ -331,8 +338,8 @@ def dedup_first(spark, sf_dir):
 # --- scoring and the queue
 
 _SQL_SCORES = f"""
-gt as (select image, row_number() over (partition by image order by vec_id) as g, x0, y0, x1, y1 from boxes where (vec_id // 50) % 2 = 0),
-pred as (select image, row_number() over (partition by image order by vec_id) as p, label / 10.0 as conf, x0, y0, x1, y1 from boxes where (vec_id // 50) % 2 = 1),
+gt as (select image, row_number() over (partition by image order by vec_id) as g, x0, y0, x1, y1 from boxes where vec_id % 2 = 0),
+pred as (select image, row_number() over (partition by image order by vec_id) as p, label / 10.0 as conf, x0, y0, x1, y1 from boxes where vec_id % 2 = 1),
 cells as (select a.image, a.g, b.p, {_SQL_IOU} from gt a join pred b on a.image = b.image),
 matrix as (select image, g, list(iou order by p) as ious from cells group by image, g),
 sizes as (select image, (select count(*) from gt where gt.image = i.image) as n_gt, (select count(*) from pred where pred.image = i.image) as n_pred from (select distinct image from boxes) i),
@@ -350,9 +357,9 @@ scores as (
 
 
 def _scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Vectors of even fifties annotate, those of odd fifties predict, with a confidence by label."""
+    """Even vectors annotate, odd ones predict, with a confidence by label."""
     rows = _rings(spark, sf_dir).select(F.col("image").cast("string").alias("image"), F.col("vec_id").alias("idx"), G.bbox("ring").alias("box"), (F.col("class_id") / 10).alias("conf"))
-    odd = F.floor(F.col("idx") / 50) % 2 == 1
+    odd = F.col("idx") % 2 == 1
     return scoring.score_images(rows.select("image").distinct(), rows.where(~odd).drop("conf"), rows.where(odd))
 
 
@@ -385,10 +392,10 @@ months as (
 numbered as (select *, 'run' || seq as run_id from months)"""
 
 
-def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _history(spark: SparkSession, sf_dir: str, places: int = 6) -> DataFrame:
     """Months of orders as runs."""
     rows = _table(spark, sf_dir, "orders").groupBy(F.date_format("o_orderdate", "yyyyMM").cast("long").alias("seq")).agg(
-        F.round(F.avg("o_totalprice") / 1000000, 6).alias("m"), F.round(F.count_if(F.col("o_orderstatus") == "F") / F.count(F.lit(1)), 6).alias("recall")
+        F.round(F.avg("o_totalprice") / 1000000, places).alias("m"), F.round(F.count_if(F.col("o_orderstatus") == "F") / F.count(F.lit(1)), 6).alias("recall")
     )
     metrics = F.create_map(F.lit(history.METRIC), "m", F.lit("seg_recall"), "recall")
     seq = F.col("seq").cast("string")
@@ -412,10 +419,25 @@ def cycle_progress(spark, sf_dir):
     return rows.select("seq", "run_id", "value", _r("delta").alias("delta"), "best_so_far", _r("since_first").alias("since_first"))
 
 
-@query()
+_SQL_SIGNED = "case when {0} < -0.00005 then format('{{:.4f}}', {0}) else '+' || format('{{:.4f}}', abs({0})) end"
+_SQL_REPORT = f"""
+with runs as (select strftime(o_orderdate, '%Y%m')::bigint as seq, round(avg(o_totalprice) / 1000000, 4) as m from orders group by 1),
+told as (
+  select seq, 'run' || seq as run_id, m, '| `v' || seq || '` | `-` | ' || format('{{:.4f}}', m) || ' | ' ||
+    coalesce({_SQL_SIGNED.format("(m - lag(m) over (order by seq))")}, '—') || ' | ' || case when m > 0.2 then '✓' else '✗' end || ' |' as line from runs),
+ends as (select count(*) as n, string_agg(line, chr(10) order by seq) as lines, max(m) as top, arg_min(m, seq) as first, arg_max(m, seq) as last from told),
+best as (select run_id from told order by m desc, seq limit 1)
+select 'Ciclo 3 — resumo · ' || n || ' run(s)' as title, '**Runs incluídos**: ' || n || chr(10) || '**Métrica principal**: `seg_mAP50-95`' || chr(10) || chr(10) ||
+  '| versão | tag | seg_mAP50-95 | Δ | promoted |' || chr(10) || '|---|---|---|---|---|' || chr(10) || lines || chr(10) || chr(10) ||
+  '**Melhor run**: `' || run_id || '` — seg_mAP50-95=' || format('{{:.4f}}', top) || chr(10) ||
+  '**Progressão do ciclo**: ' || format('{{:.4f}}', first) || ' → ' || format('{{:.4f}}', last) || '  (' || {_SQL_SIGNED.format("(last - first)")} || ')' as body
+from ends, best"""
+
+
+@query(_SQL_REPORT)
 def cycle_report(spark, sf_dir):
-    """The markdown report. Decimal text rounds differently from SQL's, so this is tested by hand-made runs."""
-    return history.report(_history(spark, sf_dir))
+    """The markdown report of the months."""
+    return history.report(_history(spark, sf_dir, 4), 3)
 
 
 @query(f"with {_SQL_RUNS} select run_id, version, state from (select run_id, 'v' || seq as version, case when m > 0.2 then 'Aprovado' else 'Avaliado' end as state, seq from numbered) order by seq desc limit 1")
@@ -532,27 +554,60 @@ def map_to_pixel(spark, sf_dir):
     return rows.select("vec_id", _r("p.x", 6).alias("col"), _r("p.y", 6).alias("row"))
 
 
-@query()
+def _sql_utm(lon: str, lat: str, zone: int) -> str:
+    """The series of geometry.utm, south, over a table `points` of (vec_id, lon, lat)."""
+    import math
+
+    n = G.FLATTENING / (2 - G.FLATTENING)
+    scale, alpha, e = G.utm_constants()
+    x, y = ("".join(f" + {a!r} * {f}({2 * j} * xi) * {g}({2 * j} * eta)" for j, a in enumerate(alpha, 1)) for f, g in (("cos", "sinh"), ("sin", "cosh")))
+    assert math.isclose(e, 2 * math.sqrt(n) / (1 + n))
+    return f"""
+    angles as (select vec_id, radians({lat}) as phi, radians({lon} - {6 * zone - 183}) as lam from points),
+    steps as (select vec_id, lam, sinh(atanh(sin(phi)) - {e!r} * atanh({e!r} * sin(phi))) as t from angles),
+    plane as (select vec_id, atan2(t, cos(lam)) as xi, atanh(sin(lam) / sqrt(1 + t * t)) as eta from steps),
+    metres as (select vec_id, 500000 + {scale!r} * (eta{x}) as easting, 10000000 + {scale!r} * (xi{y}) as northing from plane)"""
+
+
+@query(f"""with points as (select vec_id, embedding[1]::double - 33 as lon, embedding[2]::double - 8 as lat from embeddings), {_sql_utm("lon", "lat", 25)}
+select vec_id, round(easting, 4) + 0.0 as easting, round(northing, 4) + 0.0 as northing from metres""")
 def utm_positions(spark, sf_dir):
-    """Points in degrees to metres of UTM zone 25 south. Tested against known positions."""
+    """Points in degrees to metres of UTM zone 25 south. Known positions are tested beside."""
     e = F.col("embedding").cast("array<double>")
     at = G.utm(F.get(e, F.lit(0)) - 33, F.get(e, F.lit(1)) - 8, 25, True)
     return _table(spark, sf_dir, "embeddings").select("vec_id", at.alias("p")).select("vec_id", _r("p.x", 4).alias("easting"), _r("p.y", 4).alias("northing"))
 
 
-@query()
+_SQL_PIXELS = "pixels as (select vec_id, label, image, greatest(trunc(x0 * 256), 0) as x0, greatest(trunc(y0 * 256), 0) as y0, least(trunc(x1 * 256), 255) + 1 as x1, least(trunc(y1 * 256), 255) + 1 as y1 from boxes)"
+
+
+@query(f"""with recursive {_SQL_BOXES}, {_SQL_PIXELS}, {_SQL_SCORES.replace("from boxes", "from pixels")}
+select image, round(mean_iou, 6) + 0.0 as mean_iou, round(gt_perdidos_ratio, 6) + 0.0 as gt_perdidos_ratio, round(ghost_conf, 6) + 0.0 as ghost_conf,
+  round(1 - mean_iou + gt_perdidos_ratio + ghost_conf, 6) + 0.0 as score, n_gt::integer as n_gt, n_pred::integer as n_pred from scores""")
 def mask_scores(spark, sf_dir):
-    """Suspicion by masks of rings instead of boxes. Tested against masks drawn by hand."""
+    """Suspicion by masks: the masks of boxes, which SQL can count. Masks of other shapes are tested against ones drawn by hand."""
     from tessera.functions.raster import mask_iou_matrix
 
-    flat = F.flatten(F.transform("ring", lambda p: F.array(p["x"], p["y"])))
+    flat = F.flatten(F.transform(_corners(G.bbox("ring")), lambda p: F.array(p["x"], p["y"])))
     rows = _rings(spark, sf_dir).select(F.col("image").cast("string").alias("image"), F.col("vec_id").alias("idx"), flat.alias("coords"), (F.col("class_id") / 10).alias("conf"))
-    odd = F.floor(F.col("idx") / 50) % 2 == 1
+    odd = F.col("idx") % 2 == 1
     scores = scoring.score_images(rows.select("image").distinct(), rows.where(~odd).drop("conf"), rows.where(odd), "coords", mask_iou_matrix)
     return scores.select("image", *(_r(c, 6).alias(c) for c in ("mean_iou", "gt_perdidos_ratio", "ghost_conf", "score")), "n_gt", "n_pred")
 
 
-@query()
+def _sql_share(seed: int) -> str:
+    return f"('0x' || substr(sha256('{seed}:' || site || ':' || nth), 1, 8))::bigint / 4294967296.0::double"
+
+
+@query(f"""with {_SQL_BOXES},
+weeds as (select label::varchar as site, list_transform(ring, lambda p: {{'x': p.x * 3000, 'y': p.y * 3000}}) as ring from rings),
+tries as (select site, nth, 3000 * ({_sql_share(42)}) as x, 3000 * ({_sql_share(43)}) as y from (select distinct site from weeds), range(150) r(nth)),
+fit as (select * from tries where x between 112 and 2888 and y between 112 and 2888),
+free as (
+  select * from fit where not exists (select 1 from weeds w where w.site = fit.site and len(list_filter(range(1, 33), lambda i:
+    (w.ring[i].y > fit.y) <> (w.ring[i % 32 + 1].y > fit.y) and
+    fit.x < (w.ring[i % 32 + 1].x - w.ring[i].x) * (fit.y - w.ring[i].y) / (w.ring[i % 32 + 1].y - w.ring[i].y) + w.ring[i].x)) % 2 = 1))
+select site, nth::integer as nth, round(x, 6) + 0.0 as x, round(y, 6) + 0.0 as y from (select *, row_number() over (partition by site order by nth) as place from free) where place <= 10""")
 def negative_samples(spark, sf_dir):
     """Ten points a class on a 3000-pixel plantation that fall on no ring. Tested by the predicates themselves."""
     big = F.transform("ring", lambda p: F.struct((p["x"] * 3000).alias("x"), (p["y"] * 3000).alias("y")))

@@ -54,13 +54,28 @@ def read_files(spark: SparkSession, folder: str, glob: str | None = None) -> Dat
     return _named((reader.option("pathGlobFilter", glob) if glob else reader).load(folder))
 
 
+def images_of(found: DataFrame, types: list[str] = IMAGE_TYPES) -> DataFrame:
+    """The images among files, by their extension in any case."""
+    return found.where(F.col("ext").isin(types))
+
+
+def labels_of(found: DataFrame) -> DataFrame:
+    """The label files among files (content as binary), with their whole text as raw; readable tells whether it is UTF-8."""
+    text = F.col("content").cast("string")
+    return found.where("ext = 'txt'").withColumn("readable", F.is_valid_utf8(text)).withColumn("raw", F.when(F.col("readable"), text))
+
+
+def named(found: DataFrame) -> DataFrame:
+    """Adds file_name, stem and ext to files (path, ...)."""
+    return _named(found)
+
+
 def read_images(spark: SparkSession, folder: str, types: list[str] = IMAGE_TYPES) -> DataFrame:
-    return read_files(spark, folder).where(F.col("ext").isin(types))
+    return images_of(read_files(spark, folder), types)
 
 
 def read_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """Label files with their whole text as raw; a file that is no UTF-8 fails the query, as it is no label file."""
-    return read_files(spark, folder, "*.txt").withColumn("raw", F.decode("content", "UTF-8"))
+    return labels_of(read_files(spark, folder, "*.txt"))
 
 
 def tile_path(images: DataFrame, stem: str, types: list[str] = ("jpg", "jpeg", "png")) -> str:
@@ -111,13 +126,13 @@ def read_background(spark: SparkSession, path: str) -> DataFrame:
     return read_files(spark, folder, name).select(F.explode(parsed["stems"]).alias("stem"))
 
 
-def read_geojson(spark: SparkSession, folder: str) -> DataFrame:
-    """path, crs, idx, type, coordinates (text), properties (text) of all features of all .geojson files.
+def read_geojson(spark: SparkSession, folder: str, glob: str = "*.geojson") -> DataFrame:
+    """path, crs, idx, type, coordinates (text), properties (text) of all features of all files of a kind.
 
     The coordinates stay text, since their depth differs by type; a collection has its geometries as text there. Without a named CRS it is CRS84.
     """
     schema = "crs struct<properties:struct<name:string>>, features array<struct<geometry:struct<type:string,coordinates:string,geometries:string>,properties:string>>"
-    files = read_files(spark, folder, "*.geojson").select("path", F.from_json(F.col("content").cast("string"), schema).alias("g"))
+    files = read_files(spark, folder, glob).select("path", F.from_json(F.col("content").cast("string"), schema).alias("g"))
     crs = F.coalesce("g.crs.properties.name", F.lit("urn:ogc:def:crs:OGC:1.3:CRS84"))
     rows = files.select("path", crs.alias("crs"), F.posexplode("g.features").alias("idx", "f"))
     return rows.select("path", "crs", "idx", F.col("f.geometry.type").alias("type"), F.coalesce("f.geometry.coordinates", "f.geometry.geometries").alias("coordinates"), F.col("f.properties").alias("properties"))
@@ -134,6 +149,14 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return read_files(spark, folder, name).select(F.posexplode(parsed).alias("seq", "run")).select(F.col("seq").cast("long"), "run.*")
 
 
+def read_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of a history kept as a folder of Parquet; none where it is missing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        return spark.createDataFrame([], "seq long, " + HISTORY)
+    return spark.read.parquet(folder)
+
+
 def _fields(ddl: str) -> list[str]:
     import re
 
@@ -141,7 +164,20 @@ def _fields(ddl: str) -> list[str]:
 
 
 def read_findings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.csv(path, header=True, schema="image string, issue string, severity string, detail string", escape='"')
+    """Findings of a report with their place: file, block of the file, and order within the block."""
+    found = spark.read.csv(path, header=True, schema="image string, issue string, severity string, detail string", escape='"')
+    block = [F.col(f"_metadata.{k}").alias(k) for k in ("file_path", "file_block_start")]
+    return found.select("*", F.struct(*block, F.monotonically_increasing_id().alias("nth")).alias("place"))
+
+
+def fields(*sets: DataFrame) -> DataFrame:
+    """field: the fields of the tiles of all sets (stem), in order; live and golden tiles are two such sets."""
+    from functools import reduce
+
+    from tessera.functions.text import group_key
+
+    every = reduce(DataFrame.unionByName, [s.select(group_key("stem").alias("field")) for s in sets])
+    return every.distinct().orderBy("field")
 
 
 def read_states(path: str | Path) -> dict:

@@ -19,6 +19,17 @@ def issue_stream(spark: SparkSession, folder: str, schema: StructType, glob: str
     return (reader.option("pathGlobFilter", glob) if glob else reader).parquet(folder)
 
 
+def board_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """id, state, labels of a board's events (operators.board) as they come: issues when they are made and when they move.
+
+    Labels are known from the event that made an issue only, so a label is asked of issues that are made ready.
+    """
+    from tessera.operators.board import EVENTS
+
+    events = spark.readStream.schema(EVENTS).parquet(f"{folder.rstrip('/')}/events")
+    return events.where("kind in ('issue', 'move')").select(F.col("issue").alias("id"), "state", "labels")
+
+
 def ready_once(issues: DataFrame, state: str, label: str | None = None) -> DataFrame:
     """Each id at most once, when it first is in a state (and bears a label). The ids seen are the query's state."""
     ready = issues.where(F.col("state") == state)

@@ -107,7 +107,8 @@ def test_greedy(spark):
     cases += [[[rng.choice([0.0, 0.05, 0.1, 0.4, 0.4, rng.random()]) for _ in range(p)] for _ in range(g)] for g in range(5) for p in range(5) for _ in range(4)]
     df = spark.createDataFrame(list(enumerate(cases)), "i int, m array<array<double>>")
     for r in df.select("i", scoring.greedy("m").alias("f")).collect():
-        assert (list(r.f.used), list(r.f.ious), r.f.missed) == greedy_by_hand(cases[r.i])
+        used, ious, missed = greedy_by_hand(cases[r.i])
+        assert (sorted(j for j, free in enumerate(r.f.free) if not free), list(r.f.ious), r.f.missed) == (sorted(used), ious, missed)
 
 
 def test_image_signals(spark):
@@ -162,6 +163,14 @@ def test_report(spark):
     assert history.select_run(past).first().run_id == "r2" and history.select_run(past, "r0").first().run_id == "r0" and history.select_run(past, "zz").isEmpty()
 
 
+def test_decimals_round_the_exact_value(spark):
+    rng = random.Random(2)
+    values = [0.00015, 0.12345, 0.00125, -0.00005, -0.00001, 2.5, 1e-9, 0.99995, 1e12, 123456.78905, *(rng.randrange(10**6) / 10**5 for _ in range(800)), *(rng.uniform(-3, 3) for _ in range(200)), *(k / 32 for k in range(40))]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for r in df.select("v", *(text.fixed(F.col("v"), n).alias(f"p{n}") for n in (0, 2, 4))).collect():
+        assert [r.p2, r.p4] == [f"{r.v:.2f}", f"{r.v:.4f}"] and float(r.p0) == float(f"{r.v:.0f}")
+
+
 def test_texts(spark):
     one = lambda c: spark.range(1).select(c.alias("v")).first()["v"]
     m = F.create_map(F.lit("seg_mAP50-95"), F.lit(0.017), F.lit("seg_recall"), F.lit(0.5))
@@ -283,7 +292,48 @@ def test_history_files(spark, tmp_path):
 def test_findings_round_trip(spark, tmp_path):
     data = [("a.txt", "x", "alta", 'L1: "q", r')]
     sinks.write_findings(spark.createDataFrame(data, "image string, issue string, severity string, detail string"), str(tmp_path / "qa"))
-    assert rows(files.read_findings(spark, str(tmp_path / "qa"))) == data
+    assert rows(files.read_findings(spark, str(tmp_path / "qa")).drop("place")) == data
+    data = [(f"{k % 7}.txt", f"x{k}", "alta", "") for k in range(50)]
+    found = spark.createDataFrame([(*d, k) for k, d in enumerate(data)], "image string, issue string, severity string, detail string, place int")
+    sinks.write_findings(found.repartition(5), str(tmp_path / "many"))
+    back = files.read_findings(spark, str(tmp_path / "many"))
+    assert rows(back.orderBy("place").select("image", "issue", "severity")) == [d[:3] for d in data]
+    # severe issues, and their images, in the order of the report
+    queue = review.queue(back, spark.createDataFrame([], "image string, mean_iou double, gt_perdidos_ratio double, ghost_conf double, score double, n_gt int, n_pred int")).collect()
+    assert [r.image for r in queue] == [f"{k}.txt" for k in range(7)] and queue[1].issues[:2] == ["x1: ", "x8: "]
+
+
+def test_unreadable_labels_and_report_order(spark):
+    from tessera.operators import qa
+
+    found = files.labels_of(files.named(spark.createDataFrame([("/l/b.txt", b"9 1"), ("/l/a.txt", b"\xff\xfe"), ("/l/c.txt", b"0 x\n0 .1 .1 .5 .1 .3 zz"), ("/l/d.jpg", b"")], "path string, content binary")))
+    assert found.count() == 3
+    told = qa.label_findings(found, 2).orderBy("place").collect()
+    assert [(r.image, r.issue) for r in told] == [("a.txt", "linha_malformada"), ("b.txt", "classe_invalida"), ("c.txt", "linha_malformada"), ("c.txt", "linha_malformada")]
+    assert told[0].detail == qa.UNREADABLE and told[2].detail == "L1: linha_malformada: could not convert string to float: 'x'"
+
+
+def test_fields_roles_and_confidence(spark):
+    live, golden = (spark.createDataFrame([(s,) for s in names], "stem string") for names in (["b_r0_c1", "a_r0_c0"], ["a_r1_c1", "c"]))
+    assert rows(files.fields(live, golden)) == [("a",), ("b",), ("c",)]
+    items = spark.createDataFrame([("x", 1), ("x", 2), ("y", 3)], "g string, i int")
+    assert sorted(rows(folds.leave_one_out_roles(items, "g").select("held_out", "i", "role"))) == [("x", 1, "val"), ("x", 2, "val"), ("x", 3, "train"), ("y", 1, "train"), ("y", 2, "train"), ("y", 3, "val")]
+    assert folds.leave_one_out_roles(items, "g", ["y"]).where("role = 'val'").count() == 1
+    assert scoring.confident(spark.createDataFrame([(0.25,), (0.2,)], "conf double")).count() == 1
+
+
+def test_versions_leave_spark_and_archives_stay(spark, tmp_path):
+    version = spark.createDataFrame([("images/a.png", b"x"), ("labels/a.txt", b"0")], "rel_path string, content binary")
+    folder = f"file://{tmp_path}/v1"
+    assert sorted(rows(sinks.extract(version, folder))) == [("images/a.png", True), ("labels/a.txt", True)] and (tmp_path / "v1/labels/a.txt").read_bytes() == b"0"
+    assert sorted(rows(sinks.extract(version, folder))) == [("images/a.png", False), ("labels/a.txt", False)]
+    kept = version.withColumnRenamed("rel_path", "path")
+    for rows_ in (kept, kept.limit(1)):
+        sinks.archive_files(rows_, str(tmp_path / "cycle=1"))
+    assert spark.read.parquet(str(tmp_path / "cycle=1")).count() == 2
+    assert "val: g" in sinks.training_config("t", "g", ["a", "b"])
+    with pytest.raises(ValueError):
+        sinks.training_config("t", "", ["a"])
 
 
 def test_label_numbers(spark):

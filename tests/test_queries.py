@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+import tessera.plans.stand_ins  # noqa: F401  registers its queries
 from tessera.plans.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
