@@ -71,7 +71,10 @@ def parse(line: Column | str, classes: int) -> Column:
 
 
 def instances(rings: DataFrame, image: str = "image", order: str = "line_no") -> DataFrame:
-    """Adds area, box and nth: the number, from 1, among an image's instances that are not tiny."""
+    """Adds area, box and nth: the number, from 1, among an image's instances that are not tiny.
+
+    An image's label file is one text that a task has read whole, so its lines are numbered by one task too.
+    """
     out = rings.withColumn("area", G.area("ring")).where(F.col("area") >= TINY).withColumn("box", G.bbox("ring"))
     return out.withColumn("nth", F.row_number().over(Window.partitionBy(image).orderBy(order)))
 

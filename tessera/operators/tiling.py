@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
-from tessera.functions.raster import clip
+from tessera.functions.raster import clip, repair
 from tessera.functions.text import tile_stem
 
 TILE, STRIDE = 1024, 896
@@ -68,6 +68,19 @@ def polygons(features: DataFrame, geometry: str = "geometry") -> DataFrame:
     return out.withColumn("ring", G.open_ring(ring)).drop("exterior")
 
 
+def load_polygons(features: DataFrame, zone: int | None = None, south: bool = True) -> DataFrame:
+    """Repaired rings of features (path, crs, idx, type, coordinates), each with the index of its feature.
+
+    With a zone, degrees become metres of that UTM zone; other named systems are taken as metres already. Rings that are
+    empty after the repair go.
+    """
+    out = polygons(features.withColumn("geometry", F.struct("type", "coordinates"))).where("ring is not null")
+    if zone is not None:
+        metres = F.transform("ring", lambda p: G.utm(p["x"], p["y"], zone, south))
+        out = out.withColumn("ring", F.when(F.col("crs").rlike("CRS84$|4326$"), metres).otherwise(F.col("ring")))
+    return out.withColumn("ring", repair("ring")).where("ring is not null").drop("geometry")
+
+
 def cells(box: Column, width: Column, height: Column, size: int, stride: int) -> tuple[Column, Column]:
     """Arrays of the window starts, by x and by y, whose windows a box may touch."""
     def near(starts: Column, low: Column, high: Column) -> Column:

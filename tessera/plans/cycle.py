@@ -29,15 +29,37 @@ class Trainer(Protocol):
     def train(self, version: DataFrame, golden: DataFrame) -> tuple[dict[str, float], str]: ...
 
 
-def out_of_fold(items: DataFrame, make, k: int) -> Iterator[DataFrame]:
-    """For each fold the predictions of a model that never saw its groups. items has image, stem."""
-    dealt = folds.round_robin(items.withColumn("group", group_key("stem")), "group", k)
+def out_of_fold(items: DataFrame, make, k: int, group: str | None = None) -> Iterator[DataFrame]:
+    """For each fold the predictions of a model that never saw its groups. items has image, and stem unless a group is named."""
+    items = items if group else items.withColumn("group", group_key("stem"))
+    dealt = folds.round_robin(items, group or "group", k)
     for fold in range(k):
         model = make()
         model.fit(dealt.where(F.col("fold") != fold))
         yield model.predict(dealt.where(F.col("fold") == fold))
 
 
+class Prototypes:
+    """A predictor that needs no network: every image is said to hold the mean box of each class it was shown.
+
+    fit takes rows (image, class_id, box); predict gives (image, idx, box, conf), the confidence being the class's share.
+    """
+
+    def __init__(self):
+        self.means: DataFrame | None = None
+
+    def fit(self, train: DataFrame) -> None:
+        mean = F.struct(*(F.avg(F.col("box")[k]).alias(k) for k in ("x0", "y0", "x1", "y1")))
+        by_class = train.groupBy("class_id").agg(mean.alias("box"), F.count(F.lit(1)).alias("n"))
+        total = by_class.agg(F.sum("n").alias("total"))
+        shares = by_class.join(F.broadcast(total))  # one row
+        self.means = shares.select(F.col("class_id").alias("idx"), "box", (F.col("n") / F.col("total")).alias("conf"))
+
+    def predict(self, images: DataFrame) -> DataFrame:
+        few = self.means.agg(F.collect_list(F.struct("idx", "box", "conf")).alias("means"))  # a row for all classes
+        return images.select("image").distinct().join(F.broadcast(few)).select("image", F.inline("means"))
+
+
 @dataclass(frozen=True)
 class Dataset:
     """A live dataset: images and labels as sources.files reads them, and its number of classes."""
@@ -85,69 +107,6 @@ def snapshot(spark: SparkSession, live: str, versions_dir: str, previous: DataFr
     return version, manifest, versions.diff(old, manifest)
 
 
-def train(self, version: DataFrame, golden: DataFrame) -> tuple[dict[str, float], str]: ...
-
-
-class Raster(Protocol):
-    """Pixels of a source, read where they are needed; the library brings no image decoder."""
-
-    def window(self, path: str, x_off: int, y_off: int, size: int): ...
-
-    def centred(self, path: str, column: float, row: float, size: int): ...
-
-
-class Renderer(Protocol):
-    """Draws annotations and predictions over a tile and gives the image's path."""
-
-    def preview(self, tile: str, truth: list, found: list, title: str | None = None) -> str: ...
-
-
-def out_of_fold(items: DataFrame, make, k: int) -> Iterator[DataFrame]:
-    """For each fold the predictions of a model that never saw its groups. items has image, stem."""
-    dealt = folds.round_robin(items.withColumn("group", group_key("stem")), "group", k)
-    for fold in range(k):
-        model = make()
-        model.fit(dealt.where(F.col("fold") != fold))
-        yield model.predict(dealt.where(F.col("fold") == fold))
-
-
-@dataclass(frozen=True)
-class Dataset:
-    """A live dataset: images and labels as sources.files reads them, and its number of classes."""
-
-    images: DataFrame
-    labels: DataFrame
-    classes: int
-    background: DataFrame | None = None
-
-
-def flag(data: Dataset, predictions: DataFrame, limits: scoring.Thresholds = scoring.Thresholds(), batch: int = review.BATCH, matrix=None) -> DataFrame:
-    """The review queue: severe findings first, then images whose annotations the model disputes.
-
-    predictions has image, idx, coords, conf; those below the least confidence do not count. Checking, scoring, thresholds, ranking and the limit are one plan.
-    """
-    from tessera.functions.raster import mask_iou_matrix
-
-    findings = qa.check(data.images, data.labels, data.classes, data.background)
-    by_stem = data.images.select(F.col("stem").alias("of_stem"), F.col("file_name").alias("image"))
-    truth = files.polygon_numbers(data.labels).join(by_stem, F.col("stem") == F.col("of_stem")).select("image", "idx", "coords")
-    images = data.images.select(F.col("file_name").alias("image"))
-    scores = scoring.score_images(images, truth, scoring.confident(predictions), "coords", matrix or mask_iou_matrix)
-    return review.queue(findings, scoring.suspicious(scores, limits), batch)
-
-
-def snapshot(spark: SparkSession, live: str, versions_dir: str, previous: DataFrame | None = None) -> tuple[int, DataFrame, DataFrame]:
-    """Freeze a folder: (version, its manifest, changes since the previous manifest)."""
-    found = files.read_files(spark, live)
-    rows = found.withColumn("rel_path", files.relative(F.col("path"), live))
-    names = files.read_files(spark, versions_dir).select(F.regexp_extract("path", r"/version=([0-9]+)/", 1).alias("n")).where("n <> ''").distinct()
-    version = versions.next_version(names.select(F.concat(F.lit("v"), F.col("n")).alias("name")), "name").first()["next_version"]
-    path = sinks.write_version(versions.scan(rows).join(rows.select(F.col("rel_path").alias("of_path"), "content"), F.col("rel_path") == F.col("of_path")).drop("of_path"), versions_dir, version)
-    manifest = spark.read.parquet(path).drop("content")
-    old = previous if previous is not None else manifest.limit(0)
-    return version, manifest, versions.diff(old, manifest)
-
-
 def train(spark: SparkSession, trainer: Trainer, version: int, data: DataFrame, golden: DataFrame, past: DataFrame, setup: dict, tag: str | None = None, rule: history.Promotion = history.Promotion()) -> DataFrame:
     """Train on a version and give its history row, promoted or not against the best of all runs before."""
     if golden.isEmpty():

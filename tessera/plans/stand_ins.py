@@ -16,7 +16,8 @@ from pyspark.sql.window import Window
 from tessera.functions import geometry as G
 from tessera.functions import learning, png, text
 from tessera.operators import board, crops, dedup, folds, history, pixels, qa, review, scoring, tiling, tracker, versions
-from tessera.plans.queries import _SQL_BOXES, _SQL_CROPS, _SQL_RUNS, _SQL_SCORES, _crops, _history, _r, _rings, _scores, _sql_lines, _table, query
+from tessera.plans import cycle
+from tessera.plans.queries import _SQL_BOXES, _SQL_CROPS, _SQL_RUNS, _SQL_SCORES, _crops, _history, _r, _rings, _scores, _sql_lines, _sql_utm, _table, query
 from tessera.sources import files, sinks
 from tessera.sources.staging import shared_folder
 
@@ -200,6 +201,25 @@ def geojson_polygons(spark, sf_dir):
     return out.select("vec_id", "file", "idx", "part", F.flatten(F.transform("ring", lambda p: F.array(p["x"], p["y"]))).alias("coords"))
 
 
+@query(f"""with {_SQL_FEATURES},
+kept as (select * from features where vec_id % 8 <> 2),
+corners as (select vec_id, k, case when k in (1, 4) then x0 else x1 end as x, case when k in (1, 2) then y0 else y1 end as y from kept, range(1, 5) r(k)),
+points as (select vec_id * 10 + k as vec_id, x - 33 as lon, y - 8 as lat from corners), {_sql_utm("lon", "lat", 25)}
+select vec_id // 10 as vec_id, (vec_id % 10)::integer as corner, round(easting, 3) + 0.0 as easting, round(northing, 3) + 0.0 as northing from metres""")
+def vector_load(spark, sf_dir):
+    """Polygons read from GeoJSON in degrees, reprojected to metres and repaired, by the index of their feature."""
+    box = G.bbox("ring")
+    rows = _rings(spark, sf_dir).select("vec_id", "class_id", *(F.round(box[k], 6).alias(k) for k in G.BOX)).where("vec_id % 8 <> 2")
+    shift = {"x0": -33, "x1": -33, "y0": -8, "y1": -8}
+    ring = F.array(*(F.array(F.col(x) + shift[x], F.col(y) + shift[y]) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"), ("x0", "y0"))))
+    rows = rows.select(F.col("class_id").cast("string").alias("file"), F.col("vec_id").alias("idx"), F.lit("Polygon").alias("type"), F.to_json(F.array(ring)).alias("coordinates"), F.to_json(F.struct("vec_id")).alias("properties"))
+    folder = _folder(spark, "vectors")
+    _as_files(sinks.collections(rows), "value", folder, "file")
+    out = tiling.load_polygons(files.read_geojson(spark, folder, "*.txt"), 25)
+    out = out.select(F.get_json_object("properties", "$.vec_id").cast("long").alias("vec_id"), F.posexplode("ring").alias("corner", "p"))
+    return out.select("vec_id", (F.col("corner") + 1).alias("corner"), _r("p.x", 3).alias("easting"), _r("p.y", 3).alias("northing"))
+
+
 @query(f"""with {_SQL_FEATURES}
 select label::varchar as file, idx, vec_id from features where label in (select label from features where idx % 3 = 0)""")
 def geojson_dedup(spark, sf_dir):
@@ -319,6 +339,18 @@ def suspicious_images(spark, sf_dir):
     return scoring.suspicious(_scores(spark, sf_dir)).select("image")
 
 
+@query(f"""with {_SQL_BOXES},
+folds as (select distinct image, (image % 3)::integer as fold from boxes),
+seen as (select f.k as fold, label, avg(x0) as x0, avg(y0) as y0, avg(x1) as x1, avg(y1) as y1, count(*) as n from boxes join folds using (image), range(3) f(k) where folds.fold <> f.k group by f.k, label)
+select image::varchar as image, label as idx, round(n / sum(n) over (partition by image), 9) as conf, round(x0, 9) + 0.0 as x0, round(y1, 9) + 0.0 as y1 from folds join seen using (fold)""")
+def out_of_fold(spark, sf_dir):
+    """Predictions for each image by a model that never saw its fold: the mean box of every class."""
+    rows = _rings(spark, sf_dir).select(F.col("image").cast("string").alias("image"), "class_id", G.bbox("ring").alias("box"), (F.col("image") % 3).alias("group"))
+    parts = list(cycle.out_of_fold(rows, cycle.Prototypes, 3, "group"))
+    found = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return found.select("image", "idx", _r("conf").alias("conf"), _r("box.x0").alias("x0"), _r("box.y1").alias("y1"))
+
+
 @query(f"""with {_SQL_CHECK},
 first as (select image, string_agg(issue || ': ' || detail, ' | ' order by part, path, step, i, j) as issues, min((part, path, step, i, j)) as place from findings where severity = 'alta' group by image)
 select image, 'qa_alta' as reason, 'inf' as score, issues from first order by place limit 40""")
