@@ -19,6 +19,7 @@ UNREADABLE = "leitura falhou: o texto não é UTF-8"
 
 # numbers as the label format's first readers took them: digits may be grouped by single underscores
 _INT = r"^[+-]?[0-9]+(_[0-9]+)*$"
+_PLAIN = r"^\s*+-?[0-9]++(?:\s++-?[0-9]++(?:\.[0-9]++)?)*+\s*$"
 _FLOAT = r"(?i)^[+-]?(([0-9]+(_[0-9]+)*)(\.([0-9]+(_[0-9]+)*)?)?|\.[0-9]+(_[0-9]+)*)(e[+-]?[0-9]+(_[0-9]+)*)?$|^[+-]?(inf|infinity|nan)$"
 
 
@@ -60,14 +61,19 @@ def parse(line: Column | str, classes: int) -> Column:
 
     def read(tokens: Column) -> Column:
         first, rest = F.get(tokens, F.lit(0)), F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0)))
+
+        def told(number: Column, values: Column) -> Column:
+            number = F.when(number.between(-(2**31), 2**31 - 1), number)
+            return G.let(G.points(values), lambda r: judged(first, number, r, F.size(rest)))
+
+        # one pattern tells plain decimals, whose casts need no further look; other tokens are judged one by one
+        plain = told(first.try_cast("bigint"), F.transform(rest, lambda t: t.try_cast("double")))
         whole = first.rlike(_INT) & F.forall(rest, lambda t: t.rlike(_FLOAT))
-        number = bare(first).try_cast("bigint")
-        number = F.when(number.between(-(2**31), 2**31 - 1), number)
-        ring = G.points(F.transform(rest, lambda t: bare(t).try_cast("double")))
-        return F.when(whole, G.let(ring, lambda r: judged(first, number, r, F.size(rest)))).otherwise(broken(first, rest))
+        other = told(bare(first).try_cast("bigint"), F.transform(rest, lambda t: bare(t).try_cast("double")))
+        return F.when(G.col(line).rlike(_PLAIN), plain).when(whole, other).otherwise(broken(first, rest))
 
     # every value is bound once: Catalyst does not share subexpressions within lambdas and branches
-    return G.let(F.split(F.trim(F.regexp_replace(G.col(line), r"\s+", " ")), " "), read)
+    return G.let(F.split(F.btrim(G.col(line), F.lit(" \t\n\x0b\f\r")), r"\s+"), read)
 
 
 def instances(rings: DataFrame, image: str = "image", order: str = "line_no") -> DataFrame:
@@ -125,12 +131,12 @@ def label_findings(labels: DataFrame, classes: int, background: DataFrame | None
     else:
         bad = None
     parsed = lines(labels, "raw", ["path", "file_name"]).withColumn("p", parse("line", classes))
-    parsed = parsed.select("path", "file_name", "line_no", "p.*")
-    at, here = F.concat(F.lit("L"), F.col("line_no").cast("string"), F.lit(": ")), place(1, "path", 0, F.col("line_no"))
-    broken = parsed.where("issue is not null").select(*_finding("file_name", F.col("issue"), HIGH, F.concat(at, F.col("issue"), F.lit(": "), F.col("detail")), here))
-    sound = parsed.where("issue is null").select("path", "file_name", "line_no", "class_id", "ring")
-    tiny = sound.withColumn("area", G.area("ring")).where(F.col("area") < TINY)
-    tiny = tiny.select(*_finding("file_name", F.lit("instancia_minuscula"), MEDIUM, F.concat(at, F.lit("área="), scientific(F.col("area"))), here))
+    parsed = parsed.select("path", "file_name", "line_no", "p.*").withColumn("area", F.when(F.col("issue").isNull(), G.area("ring")))
+    at, here, small = F.concat(F.lit("L"), F.col("line_no").cast("string"), F.lit(": ")), place(1, "path", 0, F.col("line_no")), F.col("area") < TINY
+    issue, severity = F.when(small, "instancia_minuscula").otherwise(F.col("issue")), F.when(small, MEDIUM).otherwise(HIGH)
+    told = F.concat(at, F.when(small, F.concat(F.lit("área="), scientific(F.col("area")))).otherwise(F.concat("issue", F.lit(": "), "detail")))
+    single = parsed.where(F.col("issue").isNotNull() | small).select(*_finding("file_name", issue, severity, told, here))
+    sound = parsed.where("issue is null").select("path", "line_no", "class_id", "ring")
     pairs = overlapping(instances(sound, "path"), "path")
     same = F.format_string("L%d e L%d: bbox-IoU=%s", "i", "j", fixed(F.col("iou"), 2))
     other = F.format_string("L%d(cls=%d) x L%d(cls=%d): bbox-IoU=%s", "i", "class_i", "j", "class_j", fixed(F.col("iou"), 2))
@@ -140,7 +146,7 @@ def label_findings(labels: DataFrame, classes: int, background: DataFrame | None
     if background is not None:
         empty = empty.join(background.select(F.col("stem").alias("of_stem")), F.col("stem") == F.col("of_stem"), "left_anti")
     empty = empty.select(*_finding("file_name", F.lit("label_vazio"), MEDIUM, F.lit(NO_INSTANCE), place(1, "path", 1)))
-    found = broken.unionByName(tiny).unionByName(pairs).unionByName(empty)
+    found = single.unionByName(pairs).unionByName(empty)
     return found if bad is None else found.unionByName(bad)
 
 
@@ -162,16 +168,22 @@ def unmatched(left: DataFrame, right: DataFrame, left_key: str, right_key: str)
 def check(images: DataFrame, labels: DataFrame, classes: int, background: DataFrame | None = None) -> DataFrame:
     """All findings of images (path, stem, file_name, content) and labels (path, stem, file_name, raw), with their place.
 
-    Images are judged where they are read, so their content meets no shuffle.
+    Of files with equal stems the last path counts. Images are judged where they are read, so their content meets no
+    shuffle; images and labels meet once.
     """
-    images = images.select("path", "stem", "file_name", image_problem("content").alias("problem"))
-    images = images.join(stem_index(images).select(F.col("path").alias("of_path")), F.col("path") == F.col("of_path"), "left_semi")
-    labels = labels.join(stem_index(labels).select(F.col("path").alias("of_path")), F.col("path") == F.col("of_path"), "left_semi")
-    corrupt = images.where("problem is not null").select(*_finding("file_name", F.lit("imagem_corrompida"), HIGH, F.col("problem"), place(0, "path", 0)))
-    bare = unmatched(images, labels, "stem", "stem").select(*_finding("file_name", F.lit("imagem_sem_label"), HIGH, F.lit(NO_LABEL), place(0, "path", 1)))
-    orphan = unmatched(labels, images, "stem", "stem").select(*_finding("file_name", F.lit("label_orfao"), HIGH, F.lit(NO_IMAGE), place(1, "path", 0)))
-    matched = labels.join(images.select(F.col("stem").alias("of_stem")).distinct(), F.col("stem") == F.col("of_stem"), "left_semi")
-    return corrupt.unionByName(bare).unionByName(orphan).unionByName(label_findings(matched, classes, background))
+    last = lambda rows, name, more: rows.groupBy(F.col("stem").alias(f"{name}_stem")).agg(F.max_by(F.struct("path", "file_name", *more), "path").alias(name))
+    images = last(images.select("path", "stem", "file_name", image_problem("content").alias("problem")), "image", ["problem"])
+    labels = last(labels, "label", [c for c in ("raw", "readable") if c in labels.columns])
+    both = images.join(labels, F.col("image_stem") == F.col("label_stem"), "full_outer")
+    finding = lambda when, side, issue, detail, at: F.when(when, F.struct(*_finding(f"{side}.file_name", F.lit(issue), HIGH, detail, at)))
+    bare, orphan = F.col("label").isNull(), F.col("image").isNull()
+    found = F.array_compact(F.array(
+        finding(F.col("image.problem").isNotNull(), "image", "imagem_corrompida", F.col("image.problem"), place(0, "image.path", 0)),
+        finding(bare, "image", "imagem_sem_label", F.lit(NO_LABEL), place(0, "image.path", 1)),
+        finding(orphan, "label", "label_orfao", F.lit(NO_IMAGE), place(1, "label.path", 0)),
+    ))
+    matched = both.where(~bare & ~orphan).select(F.col("label_stem").alias("stem"), "label.*")
+    return both.select(F.inline(found)).unionByName(label_findings(matched, classes, background))
 
 
 def summary(findings: DataFrame) -> DataFrame:
