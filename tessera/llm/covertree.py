@@ -198,15 +198,20 @@ def dual_search(queries: np.ndarray, query_rows: np.ndarray, data: np.ndarray, i
         return np.arange(found.start, found.stop) if isinstance(found, slice) else found
 
     def search(own: np.ndarray, leaves: np.ndarray, reach: np.ndarray) -> None:
-        """The likeliest few leaves first, so that they set the k-th scores; then those that still reach them, as they lie."""
+        """Leaves that still reach the k-th scores, as they lie; without such scores the likeliest few first, to set them."""
         nonlocal scored
         size = index.points[leaves, 1] - index.points[leaves, 0]
-        best = np.argsort(-reach, kind="stable")
-        best = best[: int(np.searchsorted(np.cumsum(size[best]), FIRST)) + 1]
         rest = np.ones(len(leaves), bool)
-        rest[best] = False
-        todo, step = best, FIRST
+        step = STEP
+        if worst[own].min() == NONE:
+            step = FIRST
+            best = np.argsort(-reach, kind="stable")
+            todo = best[: int(np.searchsorted(np.cumsum(size[best]), FIRST)) + 1]
+        else:
+            lying = np.argsort(index.points[leaves, 0])
+            todo = lying[: int(np.searchsorted(np.cumsum(size[lying]), STEP)) + 1]
         while len(todo):
+            rest[todo] = False
             low, high = index.points[leaves[todo]].T
             part = _ranges(low, high)
             if isinstance(part, slice):
@@ -216,11 +221,10 @@ def dual_search(queries: np.ndarray, query_rows: np.ndarray, data: np.ndarray, i
                 for a in range(0, len(part), STEP):
                     base(own, part[a : a + STEP])
             scored += int(size[todo].sum()) * len(own)
-            left = np.flatnonzero(rest & (reach >= worst[own].min()))
-            left = left[np.argsort(index.points[leaves[left], 0])]
+            left = np.flatnonzero(rest & (reach >= worst[own].min())) if rest.any() else rest[:0]
+            left = left[np.argsort(index.points[leaves[left], 0])] if len(left) else np.zeros(0, np.int64)
             step = min(STEP, 4 * step)
             todo = left[: int(np.searchsorted(np.cumsum(size[left]), step)) + 1]
-            rest[todo] = False
 
     def visit(i: int, nodes: np.ndarray) -> None:
         own = asked.order[slice(*asked.points[i])]
