@@ -183,8 +183,45 @@ def repair(ring: pd.Series) -> pd.Series:
     return pd.Series([None if r is None else [{"x": x, "y": y} for x, y in r] for r in found])
 
 
+def _jpeg_error(content: bytes) -> str | None:
+    """Segments up to the scan, which must come after a frame header with a size."""
+    at, sized = 2, False
+    while at + 4 <= len(content) and content[at] == 0xFF:
+        kind, size = content[at + 1], int.from_bytes(content[at + 2 : at + 4], "big")
+        if kind == 0xFF:  # padding
+            at += 1
+            continue
+        if kind == 0xDA:
+            return None if sized else "JPEG sem dimensões"
+        if 0xC0 <= kind <= 0xCF and kind not in (0xC4, 0xC8, 0xCC):
+            frame = content[at + 5 : at + 9]
+            sized = len(frame) == 4 and 0 < int.from_bytes(frame[:2], "big") and 0 < int.from_bytes(frame[2:], "big")
+        if size < 2:
+            return "JPEG com segmento inválido"
+        at += 2 + size
+    return "JPEG truncado"
+
+
+def _tiff_error(content: bytes) -> str | None:
+    """The first directory lies within the file and names width and height."""
+    order = "little" if content[:2] == b"II" else "big"
+    number = lambda at, n: int.from_bytes(content[at : at + n], order)
+    first = number(4, 4)
+    if first < 8 or first + 2 > len(content) or first + 2 + 12 * number(first, 2) > len(content):
+        return "TIFF truncado"
+    tags = {number(first + 2 + 12 * k, 2) for k in range(number(first, 2))}
+    return None if {256, 257} <= tags else "TIFF sem dimensões"
+
+
+def _bmp_error(content: bytes) -> str | None:
+    """The header names a place for the pixels within the file."""
+    if len(content) < 26:
+        return "BMP truncado"
+    return None if 14 < int.from_bytes(content[10:14], "little") <= len(content) and int.from_bytes(content[14:18], "little") >= 12 else "BMP inválido"
+
+
 def image_error(content: bytes | None) -> str | None:
-    """Why a file is no readable image by its header, or null. PNG chunks are checked by their checksums."""
+    """Why a file is no readable image, or null: PNG by the checksums of its chunks, others by the structure of their headers."""
     content = content or b""
     if content.startswith(b"\x89PNG\r\n\x1a\n"):
         at, kinds = 8, []
@@ -200,14 +237,11 @@ def image_error(content: bytes | None) -> str | None:
             if kind == b"IEND":
                 break
         return None if kinds[:1] == [b"IHDR"] and kinds[-1:] == [b"IEND"] else "PNG incompleto"
-    if content.startswith(b"\xff\xd8\xff"):
-        return None if len(content) > 4 else "JPEG truncado"
-    if content[:4] in (b"II*\0", b"MM\0*"):
-        return None if len(content) >= 8 else "TIFF truncado"
-    if content.startswith(b"BM"):
-        return None if len(content) >= 26 else "BMP truncado"
+    for begins, judge in ((b"\xff\xd8\xff", _jpeg_error), (b"II*\0", _tiff_error), (b"MM\0*", _tiff_error), (b"BM", _bmp_error)):
+        if content.startswith(begins):
+            return judge(content)
     if content.startswith(b"RIFF") and content[8:12] == b"WEBP":
-        return None
+        return None if len(content) >= 20 and len(content) >= 8 + int.from_bytes(content[4:8], "little") else "WEBP truncado"
     return "formato de imagem não identificado"
 
 

@@ -163,3 +163,46 @@ def test_audit_of_crops(spark, crops, tmp_path):
     assert found["suspects"].count() == rows(found["counts"])[0][0]
     judged = cycle.crop_audit(sites.withColumn("label", 1 - F.col("label")).withColumn("kind", F.lit("positive")), head.fit)
     assert judged["suspects"].count() >= 70 and judged["suspects"].first().kind == "misclass"
+
+
+def test_commands_of_the_loop(spark, tmp_path, capsys, monkeypatch):
+    import json
+
+    from tessera import cli
+    from tessera.sources import files
+
+    monkeypatch.setattr(cli, "_session", lambda: spark)
+    tile, path = png.encode(np.full((32, 32, 3), 90, np.uint8)), lambda name: str(tmp_path / name)
+    for name, content in (("live/f_r0_c0.png", tile), ("live/f_r0_c0.txt", b"0 0.1 0.1 0.6 0.1 0.3 0.6"), ("live/g_r0_c0.txt", b"9 0"), ("golden/a.txt", b"0"), ("rasters/r.png", tile)):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(content)
+    spark.createDataFrame([("f_r0_c0.png", 1, [0.1, 0.1, 0.6, 0.1, 0.3, 0.6], 0.9), ("f_r0_c0.png", 2, [0.5, 0.5, 0.9, 0.5, 0.9, 0.9], 0.1)], "image string, idx int, coords array<double>, conf double").write.parquet(path("predictions"))
+    cli.main(["snapshot", path("live"), path("versions")])
+    training = ["--trainer", "tests.test_loop:Fake", "--arch", "a"]
+    cli.main(["train", path("live"), path("versions"), path("history"), path("golden"), "--version", "1", "--tag", "x y", *training])
+    assert files.read_runs(spark, path("history")).first().tag == "x-y"
+    cli.main(["preview", path("live"), path("predictions"), path("previews"), "--stems", "f_r0_c0"])
+    assert png.decode(bytes(spark.read.parquet(path("previews")).first().image)).shape == (44, 32, 3)
+    own = board.TableTracker(spark, path("board"))
+    for label in ("lote", "ciclo", "suspeita", "run"):
+        own.create_label(label)
+    cli.main(["cards", path("live"), path("predictions"), path("board"), "--classes", "2", "--cycle", "3"])
+    assert capsys.readouterr().out.strip().endswith(" 1") and "label_orfao" in " ".join(r.body for r in own.events().where("kind = 'issue'").collect())
+    scores = "image string, score double, mean_iou double, gt_perdidos_ratio double, ghost_conf double, n_gt int, n_pred int"
+    spark.createDataFrame([("a.png", 1.5, 0.2, 0.5, 0.8, 2, 1), ("b.png", 0.1, 0.9, 0.0, 0.0, 1, 1)], scores).write.parquet(path("scores"))
+    cli.main(["suspect-cards", path("scores"), path("board"), "--model", "m"])
+    cli.main(["link-run", path("history"), path("board")])
+    assert [r["labels"] for r in own.issues("Aprovado")] == [["run"]] and len(own.issues("Selecionadas", "suspeita")) == 1
+    spark.createDataFrame([("x",)], "path string").crossJoin(files.read_files(spark, path("rasters")).select("path").withColumnRenamed("path", "p")).selectExpr("p as path", "'s' as stem", "0 as x_off", "0 as y_off", "16 as size").write.parquet(path("tiles"))
+    cli.main(["tiles", path("rasters"), path("tiles"), path("cut")])
+    assert spark.read.parquet(path("cut")).first().valid_ratio == 1
+    own.create_issue("t", "b", "Pronto para treino", [])
+    cli.main(["watch", path("live"), path("versions"), path("history"), path("golden"), path("board"), path("checkpoint"), *training])
+    assert files.read_runs(spark, path("history")).count() == 2 and len(own.issues("Avaliado")) == 1
+    feature = {"type": "Feature", "properties": {}, "geometry": {"type": "Point", "coordinates": [1, 2]}}
+    (tmp_path / "geo").mkdir()
+    (tmp_path / "geo/x.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [feature, feature]}))
+    (tmp_path / "geo/y.geojson").write_text(json.dumps({"type": "FeatureCollection", "features": [feature]}))
+    cli.main(["dedup", path("geo"), "--out", path("deduplicated")])
+    kept = list((tmp_path / "deduplicated").glob("file=*/*.txt"))
+    assert [p.parent.name for p in kept] == ["file=x.dedup.geojson"] and len(json.loads(kept[0].read_text())["features"]) == 1

@@ -82,6 +82,20 @@ def test_image_headers():
     assert "checksum" in image_error(bytes(broken))
 
 
+def test_headers_of_other_images():
+    frame = b"\xff\xc0\x00\x0b\x08\x00\x10\x00\x20\x01\x01\x11\x00"
+    jpeg = b"\xff\xd8\xff\xe0\x00\x04ab" + frame + b"\xff\xda\x00\x02data\xff\xd9"
+    assert image_error(jpeg) is None and image_error(jpeg[:12]) == "JPEG truncado" and image_error(jpeg.replace(frame, b"")) == "JPEG sem dimensões"
+    assert image_error(jpeg.replace(b"\x00\x10\x00\x20", bytes(4))) == "JPEG sem dimensões" and image_error(b"\xff\xd8\xff\xe0\x00\x00ab") == "JPEG com segmento inválido"
+    entry = lambda tag: struct.pack("<HHII", tag, 3, 1, 9)
+    tiff = b"II*\0" + struct.pack("<IH", 8, 2) + entry(256) + entry(257) + bytes(4)
+    assert image_error(tiff) is None and image_error(tiff[:20]) == "TIFF truncado" and image_error(tiff.replace(entry(257), entry(259))) == "TIFF sem dimensões"
+    bmp = b"BM" + struct.pack("<IHHI", 58, 0, 0, 54) + struct.pack("<I", 40) + bytes(40)
+    assert image_error(bmp) is None and image_error(bmp[:30]) == "BMP inválido" and image_error(b"BM") == "BMP truncado"
+    webp = b"RIFF" + struct.pack("<I", 14) + b"WEBPVP8 " + bytes(6)
+    assert image_error(webp) is None and image_error(webp[:-3]) == "WEBP truncado"
+
+
 def test_summary_counts(spark):
     rows = spark.createDataFrame([("a", "x", "alta", ""), ("a", "x", "alta", ""), ("b", "y", "media", "")], "image string, issue string, severity string, detail string")
     assert [tuple(r) for r in qa.summary(rows).collect()] == [("x", 2, 2), ("y", 1, 0)]
