@@ -362,7 +362,7 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP, block: int | None = None,
     groups = {n: -(-s["asked"] // group) for n, s in size.items()}
     of_nodes = spark.createDataFrame([(n, blocks[n], max(1, groups[n])) for n in size], "at_node int, blocks int, groups int")
     deal = lambda seed, count: F.pmod(F.xxhash64(F.lit(seed), "row"), F.col(count)).cast("int")
-    dealt = placed.join(F.broadcast(of_nodes), F.col("node") == F.col("at_node"))  # as few rows as stats
+    dealt = placed.join(of_nodes, F.col("node") == F.col("at_node"))  # as few rows as stats; Spark broadcasts them by their size
     data = dealt.select("node", deal(1, "blocks").alias("to_part"), "row", "vec_id", "vector")
     asked = dealt.where("asked").select("node", deal(2, "groups").alias("part"), "row", "vec_id", "vector")
 
@@ -374,10 +374,10 @@ def top_k(vectors: DataFrame, is_query, k: int = TOP, block: int | None = None,
         streams = {b: -(-n // stream) for b, n in visitors.items()}
         to = spark.createDataFrame([(a, b, blocks[b], streams[b]) for a, b in pairs], "of_node int, to_node int, blocks int, streams int")
         copies = spark.createDataFrame(list(streams.items()), "to_node int, streams int")
-        ours = asked.join(F.broadcast(to), F.col("node") == F.col("of_node")).withColumn("to_part", F.explode(F.expr("sequence(0, blocks - 1)")))
+        ours = asked.join(to, F.col("node") == F.col("of_node")).withColumn("to_part", F.explode(F.expr("sequence(0, blocks - 1)")))
         own = F.pmod(F.xxhash64("node", "part"), F.col("streams")).cast("int").alias("stream")
         ours = ours.select("to_node", "to_part", own, F.lit(True).alias("query"), "node", "part", "row", "vec_id", "vector", "known")
-        theirs = data.join(F.broadcast(copies), F.col("node") == F.col("to_node")).withColumn("stream", F.explode(F.expr("sequence(0, streams - 1)")))
+        theirs = data.join(copies, F.col("node") == F.col("to_node")).withColumn("stream", F.explode(F.expr("sequence(0, streams - 1)")))
         zero = [F.lit(0).alias("part"), "row", "vec_id", "vector", F.lit(0).cast("long").alias("known")]
         theirs = theirs.select("to_node", "to_part", "stream", F.lit(False).alias("query"), "node", *zero)
         return _searched(theirs.unionByName(ours), k)

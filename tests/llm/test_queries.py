@@ -61,3 +61,15 @@ def test_pipeline_stages_keep_the_columns(spark):
     packed = corpus_pipeline.run(spark, SF)
     assert packed.select("doc_id").distinct().count() == sizes[-1]
     assert docs.where("text rlike '@mail[0-9]'").count() == 0
+
+
+def test_predictions_on_held_out_rows(spark):
+    """Languages and quality of the given documents that training never saw."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    found = QUERIES["op1_language"](spark, folder).where("held_out").join(docs.select("doc_id", "lang"), "doc_id")
+    told = [r.lang == r.lang_pred for r in found.where("lang is not null and lang_pred <> 'und'").collect()]
+    assert len(told) > 100 and sum(told) >= 0.98 * len(told)
+    found = QUERIES["op9_quality"](spark, folder).where("held_out").join(labels, "doc_id")
+    told = [r.quality == r.predicted for r in found.where("quality is not null").collect()]
+    assert len(told) > 50 and sum(told) >= 0.9 * len(told)
