@@ -64,7 +64,7 @@ def parse(line: Column | str, classes: int) -> Column:
 
         def told(number: Column, values: Column) -> Column:
             number = F.when(number.between(-(2**31), 2**31 - 1), number)
-            return G.let(G.points(values), lambda r: judged(first, number, r, F.size(rest)))
+            return G.let(values, lambda v: G.let(G.points(v), lambda r: judged(first, number, r, F.size(rest))))
 
         # one pattern tells plain decimals, whose casts need no further look; other tokens are judged one by one
         plain = told(first.try_cast("bigint"), F.transform(rest, lambda t: t.try_cast("double")))
