@@ -120,17 +120,21 @@ def open_ring(ring: Column | str) -> Column:
 
 def centroid(ring: Column | str) -> Column:
     """Area centroid; the mean of the vertices when the area is 0."""
-    ring = col(ring)
-    n = F.size(ring)
-    shifted = F.concat(F.slice(ring, 2, F.greatest(n - 1, F.lit(0))), F.slice(ring, 1, 1))
-    parts = F.zip_with(ring, shifted, lambda a, b: F.struct((a["x"] * b["y"] - b["x"] * a["y"]).alias("k"), (a["x"] + b["x"]).alias("x"), (a["y"] + b["y"]).alias("y")))
-    twice = total(F.transform(parts, lambda s: s["k"]))
-    mean = F.struct((total(F.transform(ring, lambda p: p["x"])) / n).alias("x"), (total(F.transform(ring, lambda p: p["y"])) / n).alias("y"))
-    weighted = F.struct(
-        F.try_divide(total(F.transform(parts, lambda s: s["k"] * s["x"])), 3 * twice).alias("x"),
-        F.try_divide(total(F.transform(parts, lambda s: s["k"] * s["y"])), 3 * twice).alias("y"),
-    )
-    return F.when(twice != 0, weighted).otherwise(mean)
+
+    def of(r: Column) -> Column:
+        n = F.size(r)
+        shifted = F.concat(F.slice(r, 2, F.greatest(n - 1, F.lit(0))), F.slice(r, 1, 1))
+        parts = F.zip_with(r, shifted, lambda a, b: F.struct((a["x"] * b["y"] - b["x"] * a["y"]).alias("k"), (a["x"] + b["x"]).alias("x"), (a["y"] + b["y"]).alias("y")))
+        mean = lambda k: total(F.transform(r, lambda p: p[k])) / n
+
+        def weighted(parts: Column) -> Column:
+            along = lambda k: total(F.transform(parts, lambda s: s["k"] * s[k]))
+            found = lambda twice, k: F.when(twice != 0, F.try_divide(along(k), 3 * twice)).otherwise(mean(k)).alias(k)
+            return let(total(F.transform(parts, lambda s: s["k"])), lambda twice: F.struct(found(twice, "x"), found(twice, "y")))
+
+        return let(parts, weighted)
+
+    return let(col(ring), of)
 
 
 def contains_point(ring: Column | str, x: Column, y: Column) -> Column:

@@ -18,7 +18,8 @@ CLASSES = ["cultivo", "daninha"]
 def usable(polygons: DataFrame, least_pixels: float = 25.0) -> DataFrame:
     """Polygons (ring in pixels, width, height) whose centroid lies in the raster and whose box has enough pixels."""
     out = polygons.withColumn("centroid", G.centroid("ring")).withColumn("box", G.bbox("ring"))
-    inside = F.col("centroid.x").between(0, F.col("width")) & F.col("centroid.y").between(0, F.col("height")) & (F.col("centroid.x") < F.col("width")) & (F.col("centroid.y") < F.col("height"))
+    within = lambda c: (c["x"] >= 0) & (c["x"] < F.col("width")) & (c["y"] >= 0) & (c["y"] < F.col("height"))
+    inside = G.let(F.col("centroid"), within)  # named once, as a filter takes the expression along
     return out.where(inside & (G.box_area(F.col("box")) >= least_pixels))
 
 

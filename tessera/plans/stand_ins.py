@@ -531,7 +531,8 @@ where (x0 + x1) / 2 >= 0 and (x0 + x1) / 2 < 1500 and (y0 + y1) / 2 >= 0 and (y0
 def usable_polygons(spark, sf_dir):
     """Polygons whose centroid lies in the raster and whose box is large enough, with their centroids."""
     ring = lambda b: F.array(*(F.struct((b[x] * 3000).alias("x"), (b[y] * 3000).alias("y")) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1"))))
-    rows = _rings(spark, sf_dir).select("vec_id", ring(G.bbox("ring")).alias("ring"), F.lit(1500).alias("width"), F.lit(1600).alias("height"))
+    rows = _rings(spark, sf_dir).select("vec_id", G.bbox("ring").alias("b"))
+    rows = rows.select("vec_id", ring(F.col("b")).alias("ring"), F.lit(1500).alias("width"), F.lit(1600).alias("height"))
     return crops.usable(rows, 1e6).select("vec_id", _r("centroid.x", 4).alias("x"), _r("centroid.y", 4).alias("y"))
 
 
