@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geometry as G
 from tessera.functions import learning, text
 from tessera.operators import crops, dedup, folds, history, qa, review, scoring, tiling, tracker, versions
-from tessera.sources.staging import shared_folder
+from tessera.sources.staging import fresh_path
 from tessera.streaming import watch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -472,10 +472,8 @@ def seed_missing(spark, sf_dir):
 @query("select user_id as id, min(event_id) >= 0 as seen from events where event_type = 'purchase' group by user_id")
 def watch_stream(spark, sf_dir):
     """Users that purchase, each handled once, by a stream over the event file."""
-    import uuid
-
     schema = _table(spark, sf_dir, "events").schema
-    base = f"{shared_folder(spark)}/watch-{uuid.uuid4().hex}"
+    base = fresh_path(spark, "watch")
     issues = watch.issue_stream(spark, sf_dir, schema, "events.parquet").select(F.col("user_id").alias("id"), F.col("event_type").alias("state"))
     watch.collect_ready(watch.ready_once(issues, "purchase"), f"{base}/out", f"{base}/checkpoint")
     return spark.read.schema("id long, state string").parquet(f"{base}/out").select("id", F.lit(True).alias("seen"))

@@ -6,8 +6,6 @@ or doubled. What a writer has written goes back through its reader, so that a ro
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,14 +14,10 @@ from pyspark.sql.window import Window
 from tessera.functions import geometry as G
 from tessera.functions import learning, png, text
 from tessera.operators import board, crops, dedup, folds, history, pixels, qa, review, scoring, tiling, tracker, versions
-from tessera.plans import cycle
+from tessera.plans import cycle, head
 from tessera.plans.queries import _SQL_BOXES, _SQL_CROPS, _SQL_RUNS, _SQL_SCORES, _crops, _history, _r, _rings, _scores, _sql_lines, _sql_utm, _table, query
 from tessera.sources import files, sinks
-from tessera.sources.staging import shared_folder
-
-
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/tessera-{name}-{uuid.uuid4().hex}"
+from tessera.sources.staging import fresh_path as _folder
 
 
 def _as_files(rows: DataFrame, value: str, folder: str, by: str = "part") -> None:
@@ -589,6 +583,62 @@ def tile_pixels(spark, sf_dir):
     return pixels.tile_pixels(rasters, tiles).select("stem", _r("valid_ratio").alias("valid_ratio"))
 
 
+@query(f"""with {_SQL_BOXES}, wide as (select vec_id, x0 * 3000 as x0, y0 * 3000 as y0, x1 * 3000 as x1, y1 * 3000 as y1 from boxes),
+starts as (select unnest([0, 896, 1792, 1976]) as s, unnest([0, 1, 2, 3]) as k),
+tiles as (
+  select vec_id, vec_id || '_r' || lpad(y.k::varchar, 3, '0') || '_c' || lpad(x.k::varchar, 3, '0') as stem, (vec_id + x.k + y.k) % 5 / 4.0::double as valid,
+    greatest(least(x1, x.s + 1024) - greatest(x0, x.s), 0) * greatest(least(y1, y.s + 1024) - greatest(y0, y.s), 0) as area from wide, starts x, starts y)
+select vec_id::varchar as talhao, stem, case when area >= 1e-4 * 1024 * 1024 then 1 else 0 end as n, area < 1e-4 * 1024 * 1024 as background from tiles
+where valid >= 0.5 and (area >= 1e-4 * 1024 * 1024 or ('0x' || substr(sha256('42:' || stem), 1, 8))::bigint / 4294967296.0::double <= 0.05)""")
+def tile_labels(spark, sf_dir):
+    """The label files of tiles: enough valid pixels, polygons or a place among the background."""
+    box = G.bbox("ring")
+    corner = lambda x, y: F.struct((box[x] * 3000).alias("x"), (box[y] * 3000).alias("y"))
+    rings = _rings(spark, sf_dir).select(F.col("vec_id").cast("string").alias("talhao"), "class_id", F.lit(3000).alias("width"), F.lit(3000).alias("height"), F.array(*(corner(x, y) for x, y in (("x0", "y0"), ("x1", "y0"), ("x1", "y1"), ("x0", "y1")))).alias("ring"))
+    tiles = tiling.windows(rings.select("talhao", "width", "height"))
+    tiles = tiles.withColumn("valid_ratio", (F.col("talhao").cast("long") + F.col("row") + F.col("col")) % 5 / 4)
+    found = tiling.label_files(tiles, tiling.tile_polygons(rings))
+    return found.select("talhao", "stem", F.size("lines").alias("n"), "background")
+
+
+@query("select s_suppkey, round((s_suppkey % 256) / 255.0::double, 4) as mean, 0.0::double as spread from supplier")
+def crop_features(spark, sf_dir):
+    """Features of crops of one colour by the backbone: their mean, and no spread."""
+    drawn = F.udf(lambda v: png.encode(np.full((28, 28, 3), v, np.uint8)), "binary")
+    crops_ = _table(spark, sf_dir, "supplier").select("s_suppkey", drawn((F.col("s_suppkey") % 256).cast("int")).alias("image"))
+    at = lambda k: F.col("features")[k].cast("double")
+    return head.with_features(crops_).select("s_suppkey", _r(at(0), 4).alias("mean"), _r(at(3), 4).alias("spread"))
+
+
+class _Fixed:
+    """A trainer that always reports the same metrics."""
+
+    def train(self, version: DataFrame, golden: DataFrame) -> tuple[dict[str, float], str]:
+        return {"seg_mAP50-95": 0.9, "seg_recall": 0.95}, "w.pt"
+
+
+@query("""with runs as (select strftime(o_orderdate, '%Y%m')::bigint as seq, round(avg(o_totalprice) / 1000000, 4) as m from orders group by 1)
+select max(seq) + 1 as seq, 'v7' as version, 'a-b' as tag, true as promoted, 'ganho real de +' || format('{:.4f}', 0.9 - max(m)) || ' em seg_mAP50-95' as verdict from runs""")
+def train_run(spark, sf_dir):
+    """A run trained, judged against all before, and its history row."""
+    docs = _table(spark, sf_dir, "documents")
+    past = _history(spark, sf_dir, 4)
+    return cycle.train(spark, _Fixed(), 7, docs, docs, past, {"arch": "a"}, "a b").select("seq", "version", "tag", "promoted", "verdict")
+
+
+@query(f"""with recursive {_SQL_BOXES}, {_SQL_SCORES}, flagged as (select image, 1 - mean_iou + gt_perdidos_ratio + ghost_conf as score from scores),
+queued as (select image from flagged order by round(score, 9) desc, image limit 40)
+select 'Revisar ' || image as title, 'Selecionadas' as state, true as below from queued union all select 'Lote ciclo 3', 'Selecionadas', false""")
+def review_board(spark, sf_dir):
+    """The cards that a batch makes on a board, as the board shows them."""
+    none = spark.createDataFrame([], "image string, issue string, severity string, detail string")
+    scores = _scores(spark, sf_dir).withColumn("score", F.round("score", 9))
+    own = board.TableTracker(spark, _folder(spark, "cards"))
+    everything = scoring.Thresholds(mean_iou_below=1.1)  # few of these images are suspect
+    cycle.create_cards(review.queue(none, scoring.suspicious(scores, everything)), own, 3)
+    return own.issue_table().select("title", "state", F.col("parent").isNotNull().alias("below"))
+
+
 @query("""with e as (select event_id as epoch, round((event_id * 7919 % 1000) / 1000.0::double, 3) as f1 from events where event_id < 500),
 g as (select *, f1 > coalesce(max(f1) over (order by epoch rows between unbounded preceding and 1 preceding), -1) as gain from e),
 a as (select *, max(case when gain then epoch end) over (order by epoch) as gained from g),

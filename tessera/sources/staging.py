@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,21 @@ def shared_folder(spark: SparkSession) -> str:
     return qualified(spark, found)
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the driver ends."""
+    path = f"{shared_folder(spark)}/tessera-{name}-{uuid.uuid4().hex}"
+
+    def gone() -> None:
+        try:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+        except Exception:  # noqa: BLE001  the session may have ended before
+            pass
+
+    atexit.register(gone)
+    return path
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """A reliable checkpoint of a table, in the shared folder."""
     spark = df.sparkSession
