@@ -614,7 +614,7 @@ class _Fixed:
     """A trainer that always reports the same metrics."""
 
     def train(self, version: DataFrame, golden: DataFrame) -> tuple[dict[str, float], str]:
-        return {"seg_mAP50-95": 0.9, "seg_recall": 0.95}, "w.pt"
+        return {"seg_mAP50-95": 0.9, "seg_recall": 1.0}, "w.pt"
 
 
 @query("""with runs as (select strftime(o_orderdate, '%Y%m')::bigint as seq, round(avg(o_totalprice) / 1000000, 4) as m from orders group by 1)
