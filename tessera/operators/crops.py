@@ -11,6 +11,7 @@ from tessera.functions.learning import class_weight
 
 CROP = 224
 LOW_CONF = 0.6
+# fixed values: the columns of the crop report, and its classes
 SUSPECT = ["kind", "site", "geojson_source", "polygon_id", "true_class", "pred_class", "prob_daninha", "prob_cultivo", "centroid_lon", "centroid_lat", "centroid_col", "centroid_row"]
 CLASSES = ["cultivo", "daninha"]
 

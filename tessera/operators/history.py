@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from tessera.functions.text import fixed, signed
 
+# fixed values: the metric; the words of verdicts and of the report below are fixed too
 METRIC = "seg_mAP50-95"
 
 

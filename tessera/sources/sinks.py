@@ -12,6 +12,7 @@ from tessera.operators.crops import SUSPECT
 from tessera.operators.qa import FINDING
 from tessera.operators.review import COLUMNS as QUEUE
 
+# fixed values: the columns of the score report; the keys of the manifest and of the changelog below are fixed too
 SCORES = ["image", "score", "mean_iou", "gt_perdidos_ratio", "ghost_conf", "n_gt", "n_pred"]
 
 
